@@ -5,18 +5,34 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prismcube.llm import byte_bpe, word_bpe
+from prismcube.llm import byte_bpe, decontaminate, quality, secrets, warc, word_bpe
 from prismcube.llm.common import table
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE}
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.found_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op9_token_counts)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_byte_bpe, op5_secrets, op7_quality, op9_token_counts, op10_warc)}

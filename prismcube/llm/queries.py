@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prismcube.llm import byte_bpe, decontaminate, parity_join, quality, secrets, warc, word_bpe
+from prismcube.llm import byte_bpe, decontaminate, parity_join, quality, secrets, url_filter, warc, word_bpe
 from prismcube.llm.common import table
 
 ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE}
@@ -31,6 +31,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filtered(table(spark, sf_dir, "pages"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -39,4 +43,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_byte_bpe, op5_secrets, op6_jaccard_join, op7_quality, op9_token_counts, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_byte_bpe, op5_secrets, op6_jaccard_join, op7_quality, op8_url_filter, op9_token_counts, op10_warc)}

@@ -122,7 +122,7 @@ def prefix_blocks(h: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 def set_hash(h: np.ndarray) -> np.int64:
     """One 64-bit name for a set of hashes, whatever their order."""
-    return (np.bitwise_xor.reduce(mixed(h)) ^ mixed(np.sum(h, keepdims=True))[0]).astype(np.int64)
+    return (np.bitwise_xor.reduce(mixed(h)) ^ mixed(np.sum(h, keepdims=True) + U(BASE))[0]).astype(np.int64)
 
 
 SETS = "doc_id long, n long, cls long, p0 long, p1 long, p2 long, p3 long"

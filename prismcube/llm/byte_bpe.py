@@ -275,7 +275,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     def to_ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = coder(path, pattern)
         for some in texts:
-            yield pd.Series([bpe.encode(x or "") for x in some], index=some.index, dtype=object)
+            yield pd.Series([np.array(bpe.encode(x or ""), np.int32) for x in some], index=some.index, dtype=object)
 
     return docs.withColumn("ids", to_ids(F.col(text)))
 

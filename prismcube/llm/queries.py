@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prismcube.llm import byte_bpe, decontaminate, parity_join, pii, quality, secrets, url_filter, warc, word_bpe
+from prismcube.llm import byte_bpe, decontaminate, parity_join, pii, quality, secrets, suffix_dedup, url_filter, warc, word_bpe
 from prismcube.llm.common import table
 
 ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE}
@@ -23,6 +23,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -47,4 +51,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_pii, op3_byte_bpe, op5_secrets, op6_jaccard_join, op7_quality, op8_url_filter, op9_token_counts, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_pii, op3_byte_bpe, op4_suffix_dedup, op5_secrets, op6_jaccard_join, op7_quality, op8_url_filter, op9_token_counts, op10_warc)}

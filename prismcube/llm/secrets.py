@@ -126,10 +126,19 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame |
     return back.withColumns(zero | {"base_sha256": F.coalesce("base_sha256", F.sha2(F.lit(""), 256)), "spans": F.coalesce("spans", F.lit(""))}).select("doc_id", *zero, "base_sha256", "spans")
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]") -> DataFrame:
-    """docs with every valid match of every rule in ``text`` replaced by the mask; other columns and clean texts stay as they are."""
-    text = F.col("text")
-    out = text
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]", ledger: DataFrame | None = None) -> DataFrame:
+    """docs with every match in ``text`` of a blob in which scan() finds something replaced by the mask, rule by rule.
+
+    n_chars, if there is such a column, follows the text. All other rows and columns stay as they are. (In a text with
+    findings the marker characters themselves become replacement characters.)
+    """
+    found, _ = scan(docs, ledger, rules)
+    blobs = found.select("blob").distinct().withColumn("_hit", F.lit(True))
+    text = out = F.col("text")
     for r in rules:
         out = F.regexp_replace(marked(out, r), f"{OPEN}[^{CLOSE}]*+{CLOSE}", mask)
-    return docs.withColumn("text", F.when(text.rlike(hinted(rules)), out).otherwise(text))
+    named = docs.withColumn("_blob", F.sha2(text_of().cast("binary"), 256))
+    done = named.join(blobs, F.col("_blob") == F.col("blob"), "left").withColumn("text", F.when(F.col("_hit"), out).otherwise(text))
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(F.col("_hit"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return done.select(*docs.columns)

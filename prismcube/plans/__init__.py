@@ -1 +1 @@
-
+"""Specifications of jobs as plain dataclasses."""

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from prismcube.queries import cubes, data_jobs, insights, people, patterns, shapes, texts  # noqa: F401  registers them
+from prismcube.queries.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -30,10 +30,10 @@ def bias_metrics(df: DataFrame, dims: Sequence[str], groups: Sequence[str] = (),
     }
     keys = ["group_name", "group_value", "dim_name"]
     cells = rows.groupBy(*keys, "dim_value").agg(F.count("*").alias("n"), *(x for k, (v, c) in parts.items() for x in (F.sum(F.when(c, v)).alias(f"s_{k}"), F.count(F.when(c, v)).alias(f"n_{k}"))))
-    whole = cells.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(*(x for k in parts for x in (F.sum(f"s_{k}").alias(f"S_{k}"), F.sum(f"n_{k}").alias(f"N_{k}"))))
+    whole = cells.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(*(x for k in parts for x in (F.sum(f"s_{k}").alias(f"all_s_{k}"), F.sum(f"n_{k}").alias(f"all_n_{k}"))))
     both = cells.join(whole, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]))
     mean = lambda k: F.try_divide(F.col(f"s_{k}"), F.col(f"n_{k}"))
-    rest = lambda k: F.try_divide(F.col(f"S_{k}") - F.coalesce(F.col(f"s_{k}"), F.lit(0.0)), F.col(f"N_{k}") - F.col(f"n_{k}"))
+    rest = lambda k: F.try_divide(F.col(f"all_s_{k}") - F.coalesce(F.col(f"s_{k}"), F.lit(0.0)), F.col(f"all_n_{k}") - F.col(f"n_{k}"))
     out = [x for k in ("target", "prediction", "residual") for x in (mean(k).alias(f"{k}_mean"), (mean(k) - rest(k)).alias(f"{k}_bias"))]
     return both.select(*keys, "dim_value", "n", *out, *((mean(k) - rest(k)).alias(k) for k in ("equal_opportunity", "mis_opportunity")))
 

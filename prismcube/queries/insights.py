@@ -1 +1,135 @@
-"""Queries."""
+"""Insight and correlation queries (B, C) over monthly cells."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from prismcube.operators.cube import build_cube
+from prismcube.operators.insight import Dim, InsightSpec, add_diffs, compare_cells, correlate_facts, insights, lead_facts, log_normalise, rank_cells, unpivot_correlations, zscore
+from prismcube.plans.cube_spec import CubeSpec, Fact
+from prismcube.queries.cubes import STAR, star
+from prismcube.queries.registry import query, read, rounded
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells by region, flag and quarter number; the quarter is always set."""
+    df = star(spark, sf_dir).withColumn("seq", (F.col("yr_cd").cast("int") * 4 + F.substring("qtr_cd", 6, 1).cast("int")).cast("string"))
+    spec = CubeSpec(dims=("r_name", "l_returnflag", "seq"), mandatory=("seq",), facts=(Fact("revenue"), Fact("quantity", "avg", column="l_quantity")))
+    cube = build_cube(df, spec).withColumn("seq", F.col("seq").cast("int")).drop("aggregation_depth")
+    return cube.withColumns({"revenue": F.round("revenue", 2), "quantity": F.round("quantity", 6)})
+
+
+CELLS = f"""{STAR}, cells AS (SELECT r_name, l_returnflag, CAST(yr_cd AS INT) * 4 + CAST(substr(qtr_cd, 6, 1) AS INT) AS seq, round(sum(revenue), 2) AS revenue, round(avg(l_quantity), 6) AS quantity
+  FROM star GROUP BY GROUPING SETS ((yr_cd, qtr_cd), (yr_cd, qtr_cd, r_name), (yr_cd, qtr_cd, l_returnflag), (yr_cd, qtr_cd, r_name, l_returnflag)))"""
+SPEC = InsightSpec(dims=(Dim("r_name", "variant", percentile=True), Dim("l_returnflag", "nullvariant", percentile=True), Dim("seq", "ephemeral", (1, 4))), facts=("revenue", "quantity"), rates=("quantity",), group=("seq",))
+PAIRS = f"""{CELLS}, pairs AS (
+  SELECT a.*, b.r_name AS r_name_r, b.l_returnflag AS l_returnflag_r, b.seq AS seq_r, b.revenue AS revenue_r, b.quantity AS quantity_r,
+    CASE WHEN a.r_name > b.r_name THEN 'r_name' WHEN a.seq <> b.seq THEN 'seq' ELSE 'l_returnflag' END AS varying
+  FROM cells a JOIN cells b ON (a.r_name > b.r_name AND a.l_returnflag IS NOT DISTINCT FROM b.l_returnflag AND a.seq = b.seq)
+    OR (a.r_name IS NOT DISTINCT FROM b.r_name AND a.l_returnflag IS NOT NULL AND b.l_returnflag IS NULL AND a.seq = b.seq)
+    OR (a.r_name IS NOT DISTINCT FROM b.r_name AND a.l_returnflag IS NOT DISTINCT FROM b.l_returnflag AND a.seq - b.seq IN (1, 4)))"""
+DIFFS = f"""{PAIRS}, diffs AS (SELECT *, CASE WHEN varying = 'seq' AND revenue <> 0 AND revenue_r <> 0 THEN revenue - revenue_r END AS diff_revenue,
+  CASE WHEN varying = 'seq' AND revenue <> 0 AND revenue_r <> 0 THEN 100.0 * (revenue - revenue_r) / abs(revenue_r) END AS pctg_diff_revenue,
+  CASE WHEN quantity <> 0 AND quantity_r <> 0 THEN quantity - quantity_r END AS diff_quantity,
+  CASE WHEN quantity <> 0 AND quantity_r <> 0 THEN 100.0 * (quantity - quantity_r) / abs(quantity_r) END AS pctg_diff_quantity FROM pairs)"""
+
+
+@query(f"WITH {PAIRS} SELECT * FROM pairs")
+def insight_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1, B2: pairs of cells that differ in one dimension."""
+    own = cells(spark, sf_dir)
+    return compare_cells(own, own, SPEC)
+
+
+HIER = InsightSpec(dims=(Dim("r_name", "nullvariant", below=("l_returnflag",)), Dim("l_returnflag", "nullvariant", above=("r_name",)), Dim("seq")), facts=("revenue",))
+
+
+@query(f"""WITH {CELLS} SELECT a.r_name, a.l_returnflag, a.seq, a.revenue, b.r_name AS r_name_r, b.l_returnflag AS l_returnflag_r, b.seq AS seq_r, b.revenue AS revenue_r,
+  CASE WHEN a.l_returnflag IS NULL THEN 'r_name' ELSE 'l_returnflag' END AS varying FROM cells a JOIN cells b ON a.seq = b.seq AND
+  ((a.r_name IS NOT NULL AND b.r_name IS NULL AND a.l_returnflag IS NULL AND b.l_returnflag IS NULL) OR (a.r_name = b.r_name AND a.l_returnflag IS NOT NULL AND b.l_returnflag IS NULL))""")
+def insight_hierarchy_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells against their parents in a hierarchy."""
+    own = cells(spark, sf_dir)
+    return compare_cells(own, own, HIER)
+
+
+@query(f"WITH {DIFFS} SELECT r_name, l_returnflag, seq, r_name_r, l_returnflag_r, seq_r, varying, round(diff_revenue, 3) AS diff_revenue, round(pctg_diff_revenue, 4) AS pctg_diff_revenue, round(diff_quantity, 4) AS diff_quantity, round(pctg_diff_quantity, 4) AS pctg_diff_quantity FROM diffs")
+def insight_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences and percentage differences."""
+    own = cells(spark, sf_dir)
+    out = add_diffs(compare_cells(own, own, SPEC), SPEC)
+    keys = [c for d in SPEC.dims for c in (d.name, f"{d.name}_r")]
+    return out.select(*keys, "varying", F.round("diff_revenue", 3).alias("diff_revenue"), *(F.round(c, 4).alias(c) for c in ("pctg_diff_revenue", "diff_quantity", "pctg_diff_quantity")))
+
+
+@query(f"""WITH {CELLS}, n AS (SELECT *, CASE WHEN quantity - 25.5 > 0 THEN ln(quantity - 25.5) END AS norm_d FROM cells)
+  SELECT r_name, l_returnflag, seq, round(norm_d, 4) AS norm_d,
+  round(CASE WHEN stddev_pop(revenue) OVER w <> 0 AND revenue <> 0 THEN (revenue - avg(revenue) OVER w) / stddev_pop(revenue) OVER w END, 4) AS zscore_revenue,
+  round(CASE WHEN stddev_pop(norm_d) OVER w <> 0 AND norm_d <> 0 THEN (norm_d - avg(norm_d) OVER w) / stddev_pop(norm_d) OVER w END, 4) AS zscore_norm_d
+  FROM n WINDOW w AS (PARTITION BY r_name, l_returnflag)""")
+def insight_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logarithms and group z-scores."""
+    own = log_normalise(cells(spark, sf_dir).withColumn("d", F.col("quantity") - 25.5), ["d"])
+    return rounded(zscore(own, ["revenue", "norm_d"], ["r_name", "l_returnflag"]).select("r_name", "l_returnflag", "seq", "norm_d", "zscore_revenue", "zscore_norm_d"))
+
+
+@query(f"""WITH {CELLS}, s AS (SELECT *, CASE WHEN r_name IS NULL THEN 'f' ELSE 'r' END AS p FROM cells WHERE (r_name IS NULL) <> (l_returnflag IS NULL))
+  SELECT r_name, l_returnflag, seq, round(100 * percent_rank() OVER (PARTITION BY seq, p ORDER BY revenue), 4) AS percentile_revenue, min(revenue) OVER w AS min_revenue, max(revenue) OVER w AS max_revenue,
+  round(CASE WHEN stddev_pop(revenue) OVER w <> 0 AND revenue <> 0 THEN (revenue - avg(revenue) OVER w) / stddev_pop(revenue) OVER w END, 4) AS zscore_revenue FROM s WINDOW w AS (PARTITION BY seq, p)""")
+def insight_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slice for ranking, ranks and z-scores."""
+    out = rank_cells(cells(spark, sf_dir), SPEC)
+    return out.select("r_name", "l_returnflag", "seq", F.round("percentile_revenue", 4).alias("percentile_revenue"), "min_revenue", "max_revenue", F.round("zscore_revenue", 4).alias("zscore_revenue"))
+
+
+@query(f"""WITH {DIFFS}, n AS (SELECT *, CASE WHEN diff_quantity > 0 THEN ln(diff_quantity) END AS nd, CASE WHEN pctg_diff_quantity > 0 THEN ln(pctg_diff_quantity) END AS np FROM diffs),
+  z AS (SELECT *, CASE WHEN stddev_pop(diff_quantity) OVER w <> 0 AND diff_quantity <> 0 THEN (diff_quantity - avg(diff_quantity) OVER w) / stddev_pop(diff_quantity) OVER w END AS zd,
+    CASE WHEN stddev_pop(pctg_diff_quantity) OVER w <> 0 AND pctg_diff_quantity <> 0 THEN (pctg_diff_quantity - avg(pctg_diff_quantity) OVER w) / stddev_pop(pctg_diff_quantity) OVER w END AS zp,
+    CASE WHEN stddev_pop(nd) OVER w <> 0 AND nd <> 0 THEN (nd - avg(nd) OVER w) / stddev_pop(nd) OVER w END AS znd,
+    CASE WHEN stddev_pop(np) OVER w <> 0 AND np <> 0 THEN (np - avg(np) OVER w) / stddev_pop(np) OVER w END AS znp FROM n WINDOW w AS (PARTITION BY seq, varying)),
+  g AS (SELECT *, greatest(abs(zd) / 3, abs(zp), abs(znd), abs(znp)) AS top FROM z)
+  SELECT r_name, l_returnflag, seq, r_name_r, l_returnflag_r, seq_r, varying, CAST((r_name IS NOT NULL)::INT + (l_returnflag IS NOT NULL)::INT + 1 AS INT) AS num_dimensions,
+  CASE WHEN abs(zd) / 3 = top THEN 'DIFFERENCE' WHEN abs(zp) = top THEN 'PERCENTAGE_DIFFERENCE' WHEN abs(znd) = top THEN 'NORM_DIFFERENCE' ELSE 'NORM_PERCENTAGE_DIFFERENCE' END AS reason_quantity,
+  round(abs(zd + zp) * abs(pctg_diff_quantity), 2) AS score_quantity FROM g WHERE top IS NOT NULL
+  UNION ALL SELECT r_name, l_returnflag, seq, NULL, NULL, NULL, NULL, CAST((r_name IS NOT NULL)::INT + (l_returnflag IS NOT NULL)::INT + 1 AS INT), 'PERCENTILE_RANKING', NULL FROM cells WHERE (r_name IS NULL) <> (l_returnflag IS NULL)""")
+def insight_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked and compared rows with reasons and scores."""
+    own = cells(spark, sf_dir)
+    spec = InsightSpec(dims=SPEC.dims, facts=("quantity",), rates=("quantity",), group=("seq",))
+    return insights(own, own, spec).drop("metrics_quantity")
+
+
+@query()
+def insight_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics array of each row."""
+    own = cells(spark, sf_dir)
+    return insights(own, own, InsightSpec(dims=SPEC.dims, facts=("revenue", "quantity"), rates=("quantity",), group=("seq",), reason="'BY_[fact]'", score="abs(pctg_diff_[fact])", prefilter="abs(pctg_diff_quantity) > 0.5"))
+
+
+MONTHS = """months AS (SELECT n_regionkey, strftime(o_orderdate, '%Y%m') AS mnth, count(*) AS orders, round(sum(o_totalprice), 2) AS total, count(DISTINCT o_custkey) AS customers
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)"""
+
+
+def months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", F.date_format("o_orderdate", "yyyyMM").alias("mnth"))
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    return orders.join(c, "o_custkey").join(n, "n_nationkey").groupBy("n_regionkey", "mnth").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"), F.count_distinct("o_custkey").alias("customers"))
+
+
+@query(f"WITH {MONTHS} SELECT *, lead(orders, 1, 0) OVER w AS orders_lead_1, lead(orders, 3, 0) OVER w AS orders_lead_3 FROM months WINDOW w AS (PARTITION BY n_regionkey ORDER BY mnth)")
+def correlation_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later values of a series."""
+    return lead_facts(months(spark, sf_dir), ["orders"], ["n_regionkey"], ["mnth"], [1, 3])
+
+
+@query(f"""WITH {MONTHS}, led AS (SELECT *, lead(orders, 1, 0) OVER w AS o1, lead(total, 1, 0) OVER w AS t1, lead(customers, 1, 0) OVER w AS c1 FROM months WINDOW w AS (PARTITION BY n_regionkey ORDER BY mnth)),
+  c AS (SELECT n_regionkey, 'orders' AS fact, 'total' AS other, 0 AS lag, corr(orders, total) AS r, count(*) AS n FROM led GROUP BY 1 UNION ALL SELECT n_regionkey, 'orders', 'total', 1, corr(orders, t1), count(*) FROM led GROUP BY 1
+  UNION ALL SELECT n_regionkey, 'orders', 'customers', 0, corr(orders, customers), count(*) FROM led GROUP BY 1 UNION ALL SELECT n_regionkey, 'orders', 'customers', 1, corr(orders, c1), count(*) FROM led GROUP BY 1
+  UNION ALL SELECT n_regionkey, 'total', 'customers', 0, corr(total, customers), count(*) FROM led GROUP BY 1 UNION ALL SELECT n_regionkey, 'total', 'customers', 1, corr(total, c1), count(*) FROM led GROUP BY 1)
+  SELECT n_regionkey, fact, other, CAST(lag AS INT) AS lag, round(r, 4) AS corr, n FROM c""")
+def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlations by lag, as rows."""
+    facts = ["orders", "total", "customers"]
+    return unpivot_correlations(correlate_facts(months(spark, sf_dir), facts, ["n_regionkey"], order=["mnth"], leads=[1]), facts, ["n_regionkey"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -26,8 +27,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner see which earlier results nobody holds any more, so that their shuffle files go now, not when
+    the driver's heap happens to fill."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: its lineage ends there and survives lost executors."""
+    release(df.sparkSession)
     at = scratch(df.sparkSession, name)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)

@@ -29,6 +29,8 @@ from prismcube.llm.common import saved
 SHINGLE, SHARE = 5, 80
 #: Blocks that at least this many texts share go last; the threshold doubles until no more than this many are such (8 bytes each).
 COMMON, MOST_COMMON = 32, 500_000
+#: Rows of two numbers up to which they are broadcast; beyond, the texts are shuffled to them.
+BROADCAST_ROWS = 1_000_000
 U = np.uint64
 #: Base and its inverse modulo 2**64 of the rolling sum, and a table of odd words for bytes, all from one rule.
 BASE = 0x9E3779B97F4A7C15
@@ -172,51 +174,48 @@ def common_blocks(docs: DataFrame, size: int, least: int = COMMON, most: int = M
 
 
 def keyed(docs: DataFrame, common: np.ndarray, size: int) -> DataFrame:
-    """key, n, cls: the blocks to compare by, of each text."""
+    """key, cls: the blocks to compare by, of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            keys, sizes, classes = [], [], []
+            keys, classes = [], []
             for text in rows["text"]:
                 h = shingle_hashes(text, size)
                 if len(h):
                     keys.append(prefix_blocks(h, shared.value))
-                    sizes.append(len(h))
                     classes.append(set_hash(h))
             times = [len(k) for k in keys]
-            out = pd.DataFrame({"key": np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64), "n": np.repeat(np.array(sizes, np.int32), times), "cls": np.repeat(np.array(classes, np.int64), times)})
+            out = pd.DataFrame({"key": np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64), "cls": np.repeat(np.array(classes, np.int64), times)})
             yield out.drop_duplicates()
 
-    return docs.select("text").mapInPandas(each, "key long, n int, cls long")
+    return docs.select("text").mapInPandas(each, "key long, cls long")
 
 
 def grouped(keys: DataFrame) -> DataFrame:
-    """key, n, cls, first_n, first: the members after the first of every group of two classes or more.
+    """key, cls, first: the members after the first of every group of two classes or more.
 
     Partitions are sorted, so a group is a run of neighbours and only its first member is held.
     """
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # key, n and class of the first member of the last group, and its last member's class
+        held = None  # key and class of the first member of the last group, and its last member's class
         for rows in batches:
-            key, n, cls = (rows[c].to_numpy() for c in ("key", "n", "cls"))
+            key, cls = rows["key"].to_numpy(), rows["cls"].to_numpy()
             if not len(key):
                 continue
             new = np.r_[True, key[1:] != key[:-1]]
             same = np.r_[False, (key[1:] == key[:-1]) & (cls[1:] == cls[:-1])]
             if held and held[0] == key[0]:
-                new[0], same[0] = False, held[3] == cls[0]
+                new[0], same[0] = False, held[2] == cls[0]
             at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-            first, first_n = cls[at], n[at]
-            if held:
-                first, first_n = np.where(at < 0, held[2], first), np.where(at < 0, held[1], first_n)
+            first = np.where(at < 0, held[1], cls[at]) if held else cls[at]
             keep = ~new & ~same
-            held = (key[-1], first_n[-1], first[-1], cls[-1])
+            held = (key[-1], first[-1], cls[-1])
             if keep.any():
-                yield pd.DataFrame({"key": key[keep], "n": n[keep], "cls": cls[keep], "first_n": first_n[keep], "first": first[keep]})
+                yield pd.DataFrame({"key": key[keep], "cls": cls[keep], "first": first[keep]})
 
-    return keys.repartition("key").sortWithinPartitions("key", "n", "cls").mapInPandas(each, "key long, n int, cls long, first_n int, first long")
+    return keys.repartition("key").sortWithinPartitions("key", "cls").mapInPandas(each, "key long, cls long, first long")
 
 
 def close(left: str, right: str) -> Column:
@@ -242,7 +241,9 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int) ->
         for rows in batches:
             yield pd.DataFrame({"cls": rows["cls"], "h": [shingle_hashes(x, size).view(np.int64) for x in rows["text"]]})
 
-    texts = docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id")
+    wanted = saved(wanted, "wanted")
+    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = docs.select("doc_id", "text").join(F.broadcast(wanted) if small else wanted.hint("shuffle_hash"), "doc_id")
     h = texts.select("cls", "text").mapInPandas(sets, "cls long, h array<long>").dropDuplicates(["cls"])
     h = saved(h, "sets")
     both = pairs.join(h.select(F.col("cls").alias("a"), F.col("h").alias("ha")), "a").join(h.select(F.col("cls").alias("b"), F.col("h").alias("hb")), "b")

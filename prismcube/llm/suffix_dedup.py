@@ -14,7 +14,8 @@ same offset below v, that agree on the next length - v + 1 bytes.
    the others of their bucket, and adjacent equal prefixes are marked.
 3. Marked places, each ``length`` bytes long, are united and cut out of each text.
 
-Names and places travel as packed arrays, one row for each bucket and batch, so
+Texts are keyed by a 64-bit hash, so copies of a text are one text that is removed
+whole. Names and places travel as packed arrays, one row for each bucket and batch, so
 the sort costs no row for each suffix. Names are 64 bits of a rolling hash with a
 mixed finaliser; two different strings of one name would need a chance of 2**-64.
 """
@@ -128,9 +129,12 @@ def packed(rows: DataFrame, buckets: int, names: Callable[[dict], tuple[np.ndarr
     """The packed names of all texts; names gives those of one row (a dict of its columns) and their places."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packer = Packer(buckets)
+        packer, seen = Packer(buckets), set()
         for some in batches:
             for row in some.to_dict("records"):
+                if row["k"] in seen:  # a copy within the task
+                    continue
+                seen.add(row["k"])
                 packer.add(row["k"], *names(row))
                 if packer.size >= 3 * BUCKET_NAMES // 2:
                     yield packer.rows()
@@ -140,26 +144,26 @@ def packed(rows: DataFrame, buckets: int, names: Callable[[dict], tuple[np.ndarr
 
 
 def repeated(names: DataFrame) -> DataFrame:
-    """k, places: of every bucket, sorted by name, the places whose neighbour has the same name."""
+    """k, places: of every bucket, sorted by name, the places whose name another text or place has too (copies of a text have its key)."""
 
     def each(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         counts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in rows["counts"]]
         name = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["names"]])
+        keys = np.concatenate([np.repeat(np.frombuffer(x, np.int64), n) for x, n in zip(rows["keys"], counts, strict=True)])
+        place = np.concatenate([places_of(x, n) for x, n in zip(rows["gaps"], counts, strict=True)])
         order = np.argsort(name)
-        same = name[order][1:] == name[order][:-1]
-        hit = np.zeros(len(name), bool)
-        hit[order] = np.r_[same, False] | np.r_[False, same]
-        out, at = [], 0
-        for keys, n, gaps in zip(rows["keys"], counts, rows["gaps"], strict=True):
-            own = hit[at : at + n.sum()]
-            at += len(own)
-            if own.any():
-                keys, places = np.frombuffer(keys, np.int64), places_of(gaps, n)
-                owner = np.repeat(np.arange(len(n)), n)[own]
-                places = places[own]
-                first = np.flatnonzero(np.r_[True, np.diff(owner) != 0])
-                for a, b in zip(first, np.r_[first[1:], len(owner)], strict=True):
-                    out.append((keys[owner[a]], gaps_of(places[a:b], np.zeros(1, np.int64))))
+        name, keys, place = name[order], keys[order], place[order]
+        first = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+        sizes = np.diff(np.r_[first, len(name)])
+        other = (keys != np.repeat(keys[first], sizes)) | (place != np.repeat(place[first], sizes))
+        hit = np.repeat(np.logical_or.reduceat(other, first), sizes)
+        keys, place = keys[hit], place[hit]
+        order = np.lexsort((place, keys))
+        keys, place = keys[order], place[order]
+        fresh = np.r_[True, (keys[1:] != keys[:-1]) | (place[1:] != place[:-1])][: len(keys)]
+        keys, place = keys[fresh], place[fresh]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        out = [(keys[a], gaps_of(place[a:b], np.zeros(1, np.int64))) for a, b in zip(first, np.r_[first[1:], len(keys)], strict=True)]
         return pd.DataFrame(out, columns=["k", "places"])
 
     return names.groupBy("bucket").applyInPandas(each, PLACES)
@@ -197,7 +201,7 @@ def cut_out(raw: bytes, starts: np.ndarray, length: int) -> tuple[int, int, str]
 
 
 def candidates(docs: DataFrame, length: int) -> DataFrame:
-    """k, raw, places: texts that hold sampled suffixes whose prefix stands elsewhere too, and where."""
+    """k, raw, places: distinct texts that hold sampled suffixes whose prefix stands elsewhere too, and where."""
     v, cover = cover_for(length)
     prefix = length - v + 1
 
@@ -211,7 +215,7 @@ def candidates(docs: DataFrame, length: int) -> DataFrame:
     long_ones = docs.filter(F.octet_length("raw") >= length).select("k", "raw")
     names = packed(long_ones, max(8, total * len(cover) // v // BUCKET_NAMES), sampled)
     found = repeated(names).groupBy("k").agg(F.collect_list("places").alias("places"))
-    return long_ones.join(found.hint("shuffle_hash"), "k")
+    return long_ones.join(found.hint("shuffle_hash"), "k").dropDuplicates(["k"])
 
 
 def marked(found: DataFrame, length: int) -> DataFrame:
@@ -236,17 +240,20 @@ def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     so all of their bytes go if there are enough. Other columns aren't read.
     """
     raw = text_of().cast("binary")
-    rows = docs.select("doc_id", raw.alias("raw")).withColumn("k", F.xxhash64("doc_id", "raw"))
+    rows = docs.select("doc_id", raw.alias("raw")).withColumn("k", F.xxhash64("raw"))
     found = saved(candidates(rows, length), "candidates")
-    starts = marked(found, length)
+    starts = saved(marked(found, length), "starts")
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in batches:
             made = [cut_out(x, united(list(p)), length) for x, p in zip(some["raw"], some["places"], strict=True)]
             yield pd.DataFrame({"k": some["k"], "n_removed": [x[0] for x in made], "n_spans": [x[1] for x in made], "kept": [x[2] for x in made]})
 
-    cut = found.select("k", "raw").join(starts, "k").mapInPandas(each, "k long, n_removed long, n_spans long, kept string").dropDuplicates(["k"])
+    cut = found.select("k", "raw").join(starts.hint("shuffle_hash"), "k").mapInPandas(each, "k long, n_removed long, n_spans long, kept string")
     plain = rows.select("doc_id", "k", F.octet_length("raw").cast("long").alias("n_bytes"), F.sha2("raw", 256).alias("whole"))
-    out = plain.join(cut, "k", "left")
+    copies = plain.groupBy("k").agg(F.count("*").alias("n"))
+    out = plain.join(copies, "k").join(cut, "k", "left")
+    gone = (F.col("n") > 1) & (F.col("n_bytes") >= length)  # a copy elsewhere: every string of it
+    out = out.withColumns({"n_removed": F.when(gone, F.col("n_bytes")).otherwise(F.col("n_removed")), "n_spans": F.when(gone, F.lit(1).cast("long")).otherwise(F.col("n_spans")), "kept": F.when(gone, F.sha2(F.lit(b""), 256)).otherwise(F.col("kept"))})
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return out.select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept", "whole").alias("kept_sha256"))

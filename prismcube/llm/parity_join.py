@@ -10,8 +10,8 @@ The order puts blocks that very many texts share last, and empty ones after them
 
 Within a group that shares a block every class is compared with the group's first
 one; groups that then still hold several components are compared with another of
-theirs, at last pair by pair across components. Pairs pass a 256-bit parity sketch
-(whose Hamming distance also bounds the symmetric difference) before the sets
+theirs, at last pair by pair across components. Pairs pass bit sketches of as many
+bits as shingles, whose Hamming distance also bounds the symmetric difference, before the sets
 themselves are intersected, so no pair of different texts is lost and none added.
 """
 
@@ -127,23 +127,23 @@ def set_hash(h: np.ndarray) -> np.int64:
     return (np.bitwise_xor.reduce(mixed(h)) ^ mixed(np.sum(h, keepdims=True) + U(BASE))[0]).astype(np.int64)
 
 
-SETS = "doc_id long, n long, cls long, p0 long, p1 long, p2 long, p3 long"
+SETS = "doc_id long, n long, cls long, bits array<long>"
+
+
+def parity_bits(h: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set: a power of two of bits, at least 256 and as many as shingles, in words of 64."""
+    size = max(256, 1 << (len(h) - 1).bit_length())
+    odd = np.bincount((h & U(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def sketched(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, cls (hash of the set), p0..p3 (its 256-bit parity sketch)."""
+    """doc_id, n, cls (hash of the set), bits (its parity sketch)."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            out = np.zeros((len(rows), 6), np.int64)
-            for i, text in enumerate(rows["text"]):
-                h = shingle_hashes(text, size)
-                out[i, 0] = len(h)
-                if len(h):
-                    out[i, 1] = set_hash(h)
-                    odd = np.bincount((h >> U(56)).astype(np.int64), minlength=256) & 1
-                    out[i, 2:] = np.packbits(odd.astype(np.uint8)).view(np.int64)
-            made = pd.DataFrame(out, columns=["n", "cls", "p0", "p1", "p2", "p3"])
+            sets = [shingle_hashes(text, size) for text in rows["text"]]
+            made = pd.DataFrame({"n": [len(h) for h in sets], "cls": [set_hash(h) if len(h) else np.int64(0) for h in sets], "bits": [parity_bits(h) if len(h) else np.empty(0, np.int64) for h in sets]})
             made.insert(0, "doc_id", rows["doc_id"].to_numpy())
             yield made
 
@@ -218,17 +218,25 @@ def grouped(keys: DataFrame) -> DataFrame:
     return keys.repartition("key").sortWithinPartitions("key", "cls").mapInPandas(each, "key long, cls long, first long")
 
 
+def folded(bits: Column, other: Column) -> Column:
+    """A sketch at the other's size, if that is half of its own: bits that fall together are added modulo two."""
+    half = F.size(other)
+    return F.when(F.size(bits) == 2 * half, F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(bits)
+
+
 def close(left: str, right: str) -> Column:
-    """Whether sizes and 256-bit sketches of two classes allow a similarity of SHARE percent."""
-    a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
-    differ = sum((F.bit_count(F.col(f"{left}.p{i}").bitwiseXOR(F.col(f"{right}.p{i}"))) for i in range(4)), F.lit(0))
-    return (100 * F.least(a, b) >= SHARE * F.greatest(a, b)) & (9 * differ <= a + b)
+    """Whether sizes and sketches of two classes allow a similarity of SHARE percent: the Hamming distance of the
+    sketches is at most the symmetric difference. Sizes that pass are within a factor of two, so sketches are too."""
+    a, b, p, q = F.col(f"{left}.n"), F.col(f"{right}.n"), F.col(f"{left}.bits"), F.col(f"{right}.bits")
+    near = 100 * F.least(a, b) >= SHARE * F.greatest(a, b)
+    words = F.zip_with(folded(p, q), folded(q, p), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.when(near, 9 * F.aggregate(words, F.lit(0), lambda s, x: s + x) <= a + b).otherwise(False)
 
 
 def pairs_of(found: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b (classes, a below b) of distinct candidate pairs that pass the sketches."""
     both = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a <> b").distinct()
-    of = lambda c: classes.select(F.col("cls").alias(c), F.struct("n", "p0", "p1", "p2", "p3").alias(f"s{c}"))
+    of = lambda c: classes.select(F.col("cls").alias(c), F.struct("n", "bits").alias(f"s{c}"))
     return both.join(of("a"), "a").join(of("b"), "b").filter(close("sa", "sb")).select("a", "b")
 
 
@@ -273,7 +281,7 @@ def joined(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     keeps null as its component unless copies or links lead to a smaller id. Other columns aren't read.
     """
     rows = saved(sketched(docs, size), "shingles")
-    classes = saved(rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "p0", "p1", "p2", "p3"))), "classes")
+    classes = saved(rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     groups = saved(grouped(keyed(docs, common_blocks(docs, size), size)), "groups")
     links = linked(pairs_of(groups.select(F.col("first").alias("x"), F.col("cls").alias("y")), classes), classes, docs, size)
     whole = groups.select("key", "cls").union(groups.select("key", "first")).distinct()
@@ -287,7 +295,7 @@ def joined(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             second = some.filter("component = high").groupBy("key").agg(F.min("cls").alias("pivot"))
             more = some.filter("component < high").join(second, "key").select(F.col("cls").alias("x"), F.col("pivot").alias("y"))
         else:  # what is left, pair by pair across components
-            sketches = some.join(classes, "cls").select("key", "cls", "component", F.struct("n", "p0", "p1", "p2", "p3").alias("s"))
+            sketches = some.join(classes, "cls").select("key", "cls", "component", F.struct("n", "bits").alias("s"))
             x, y = sketches.alias("x"), sketches.alias("y")
             near = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & close("x.s", "y.s")
             more = x.join(y, near).select(F.col("x.cls").alias("x"), F.col("y.cls").alias("y"))
@@ -297,7 +305,7 @@ def joined(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
     labels = components(by_id.filter("a is not null and b is not null"))
     table = classes.select("cls", F.col("doc_id").alias("class_id")).join(labels, F.col("class_id") == labels["id"], "left").join(degree, "cls", "left").select("cls", F.coalesce("component", "class_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = rows.withColumn("cls", F.when(F.col("n") > 0, F.col("cls"))).join(table, "cls", "left")
+    out = rows.select("doc_id", "n", "cls").withColumn("cls", F.when(F.col("n") > 0, F.col("cls"))).join(table, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 

@@ -19,8 +19,9 @@ from prismcube.llm.common import saved, text_of, words_of
 #: The contract's symbols and window.
 SYMBOLS, WINDOW = r"[#*$%&|<>]+", 8
 BAD, ABSTAIN, GOOD = -1, 0, 1
-#: Rounds of estimation, and the weight of the prior counts.
-ROUNDS, SMOOTH = 50, 1.0
+#: Rounds of estimation, the weight of the prior counts, and the share of good texts that a rule may call bad at most:
+#: bad votes have wide thresholds, and without a bound two classes can't tell junk of one kind from a rule's errors.
+ROUNDS, SMOOTH, FALSE_ALARMS = 50, 1.0, 0.002
 
 
 def repeated_words(words: Column, size: int = WINDOW) -> Column:
@@ -98,7 +99,7 @@ def posterior(patterns: Sequence[tuple[tuple[int, ...], int]], rounds: int = ROU
     """The probability that a text is good, for each pattern of votes; patterns and their counts are all that is needed.
 
     Two classes; for each rule and class the probabilities of the three votes. The first guess takes a pattern with a bad
-    vote for bad; the rounds then weigh the rules by how they agree.
+    vote for bad; the rounds then weigh the rules by how they agree, false alarms staying below their bound.
     """
     if not patterns:
         return {}
@@ -112,6 +113,9 @@ def posterior(patterns: Sequence[tuple[tuple[int, ...], int]], rounds: int = ROU
                 total[y] += weight
                 for j, v in enumerate(p):
                     seen[y][j][v] += weight
+        for s in seen[1]:
+            rest = s[ABSTAIN] + s[GOOD]
+            s[BAD] = min(s[BAD], rest * FALSE_ALARMS / (1 - FALSE_ALARMS))
         log = [[{v: math.log(c / sum(s.values())) for v, c in s.items()} for s in own] for own in seen]
         prior = [math.log(t / sum(total)) for t in total]
         for p, _ in patterns:

@@ -158,11 +158,13 @@ def repeated(names: DataFrame) -> DataFrame:
         other = (keys != np.repeat(keys[first], sizes)) | (place != np.repeat(place[first], sizes))
         hit = np.repeat(np.logical_or.reduceat(other, first), sizes)
         keys, place = keys[hit], place[hit]
+        if not len(keys):
+            return pd.DataFrame(columns=["k", "places"])
         order = np.lexsort((place, keys))
         keys, place = keys[order], place[order]
-        fresh = np.r_[True, (keys[1:] != keys[:-1]) | (place[1:] != place[:-1])][: len(keys)]
+        fresh = np.r_[True, (keys[1:] != keys[:-1]) | (place[1:] != place[:-1])]
         keys, place = keys[fresh], place[fresh]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         out = [(keys[a], gaps_of(place[a:b], np.zeros(1, np.int64))) for a, b in zip(first, np.r_[first[1:], len(keys)], strict=True)]
         return pd.DataFrame(out, columns=["k", "places"])
 

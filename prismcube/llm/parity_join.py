@@ -10,8 +10,8 @@ The order puts blocks that very many texts share last, and empty ones after them
 
 Within a group that shares a block every class is compared with the group's first
 one; groups that then still hold several components are compared with another of
-theirs, at last pair by pair across components. Pairs pass bit sketches of as many
-bits as shingles, whose Hamming distance also bounds the symmetric difference, before the sets
+theirs, at last pair by pair across components. Pairs pass sketches of four bits
+for each shingle, whose Hamming distance also bounds the symmetric difference, before the sets
 themselves are intersected, so no pair of different texts is lost and none added.
 """
 
@@ -131,8 +131,8 @@ SETS = "doc_id long, n long, cls long, bits array<long>"
 
 
 def parity_bits(h: np.ndarray) -> np.ndarray:
-    """The parity sketch of a set: a power of two of bits, at least 256 and as many as shingles, in words of 64."""
-    size = max(256, 1 << (len(h) - 1).bit_length())
+    """The parity sketch of a set: a power of two of bits, at least 256 and four for each shingle, in words of 64."""
+    size = max(256, 1 << (4 * len(h) - 1).bit_length())
     odd = np.bincount((h & U(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -195,7 +195,8 @@ def keyed(docs: DataFrame, common: np.ndarray, size: int) -> DataFrame:
 def grouped(keys: DataFrame) -> DataFrame:
     """key, cls, first: the members after the first of every group of two classes or more.
 
-    Partitions are sorted, so a group is a run of neighbours and only its first member is held.
+    Partitions are sorted, so a group is a run of neighbours and only its first member is held. Which one comes first
+    differs from key to key, so in a large family a member meets about as many others as it has keys.
     """
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,7 +216,7 @@ def grouped(keys: DataFrame) -> DataFrame:
             if keep.any():
                 yield pd.DataFrame({"key": key[keep], "cls": cls[keep], "first": first[keep]})
 
-    return keys.repartition("key").sortWithinPartitions("key", "cls").mapInPandas(each, "key long, cls long, first long")
+    return keys.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "cls")).mapInPandas(each, "key long, cls long, first long")
 
 
 def folded(bits: Column, other: Column) -> Column:

@@ -31,6 +31,8 @@ SHINGLE, SHARE = 5, 80
 COMMON, MOST_COMMON = 32, 500_000
 #: Rows of two numbers up to which they are broadcast; beyond, the texts are shuffled to them.
 BROADCAST_ROWS = 1_000_000
+#: Words hashed at once: a longer text is hashed in overlapping stretches.
+WORDS_AT_ONCE = 500_000
 U = np.uint64
 #: Base and its inverse modulo 2**64 of the rolling sum, and a table of odd words for bytes, all from one rule.
 BASE = 0x9E3779B97F4A7C15
@@ -67,6 +69,13 @@ def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six blanks only
     if not words:
         return np.empty(0, np.uint64)
+    if len(words) <= WORDS_AT_ONCE:
+        return np.unique(hashes_of(words, size))
+    parts = [hashes_of(words[i : i + WORDS_AT_ONCE + size - 1], size) for i in range(0, len(words) - size + 1, WORDS_AT_ONCE)]
+    return np.unique(np.concatenate(parts))
+
+
+def hashes_of(words: list[bytes], size: int) -> np.ndarray:
     raw = np.frombuffer(b" ".join(words), np.uint8)
     ends = np.append(np.flatnonzero(raw == 32), len(raw))
     starts = np.append(0, ends[:-1] + 1)
@@ -74,12 +83,7 @@ def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
     first, last = starts[:n], ends[min(size, len(words)) - 1 :]
     up, down = Powers.to(len(raw))
     sums = np.append(U(0), np.cumsum(BYTES[raw] * up))
-    return np.unique(mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)))
-
-
-def largest_difference(n: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """The most shingles by which a set of n may differ from a similar one of at most ``top``."""
-    return (n + np.minimum(n * 5 // 4, top)) // 9
+    return mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
 
 
 def blocks(h: np.ndarray, unit: int) -> tuple[np.ndarray, int]:

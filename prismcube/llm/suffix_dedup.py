@@ -43,10 +43,11 @@ COVERS = {
     3: (0, 1),
     1: (0,),
 }
-#: Names in a bucket, about; starts hashed at once; bytes of text handled as one batch. All bound memory only.
-BUCKET_NAMES, STARTS_AT_ONCE, BATCH_BYTES = 1_500_000, 1 << 19, 8 << 20
+#: Names in a bucket, about; starts hashed at once. Both bound memory only.
+BUCKET_NAMES, STARTS_AT_ONCE = 1_000_000, 1 << 19
 U = np.uint64
 PACKED = "bucket int, keys binary, counts binary, names binary, gaps binary"
+SENT = "target int, keys binary, counts binary, gaps binary"
 PLACES = "k long, places binary"
 
 
@@ -143,41 +144,61 @@ def packed(rows: DataFrame, buckets: int, names: Callable[[dict], tuple[np.ndarr
     return rows.mapInPandas(each, PACKED)
 
 
-def repeated(names: DataFrame) -> DataFrame:
-    """k, places: of every bucket, sorted by name, the places whose name another text or place has too (copies of a text have its key)."""
+def bundled(keys: np.ndarray, places: np.ndarray, targets: int) -> pd.DataFrame:
+    """Keys and places packed by target, one row for each target."""
+    target = (mixed(keys.view(np.uint64)) % U(targets)).astype(np.int64)
+    order = np.lexsort((places, keys, target))
+    keys, places, target = keys[order], places[order], target[order]
+    cuts, out = np.flatnonzero(np.r_[True, target[1:] != target[:-1], True]), []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        own = keys[a:b]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        out.append((int(target[a]), own[first].tobytes(), np.diff(np.r_[first, b - a]).astype(np.uint32).tobytes(), gaps_of(places[a:b], first)))
+    return pd.DataFrame(out, columns=["target", "keys", "counts", "gaps"])
 
-    def each(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        counts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in rows["counts"]]
+
+def unbundled(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and places of packed rows."""
+    counts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in rows["counts"]]
+    keys = np.concatenate([np.repeat(np.frombuffer(x, np.int64), n) for x, n in zip(rows["keys"], counts, strict=True)])
+    return keys, np.concatenate([places_of(x, n) for x, n in zip(rows["gaps"], counts, strict=True)])
+
+
+def repeated(names: DataFrame, buckets: int) -> DataFrame:
+    """k, places: of every bucket, sorted by name, the places whose name another text or place has too (copies of a text have its key).
+
+    Buckets send what they mark to a quarter as many targets by key, in one row each; a target gives one row for each text.
+    """
+
+    def marks(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         name = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["names"]])
-        keys = np.concatenate([np.repeat(np.frombuffer(x, np.int64), n) for x, n in zip(rows["keys"], counts, strict=True)])
-        place = np.concatenate([places_of(x, n) for x, n in zip(rows["gaps"], counts, strict=True)])
+        keys, place = unbundled(rows)
         order = np.argsort(name)
         name, keys, place = name[order], keys[order], place[order]
         first = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
         sizes = np.diff(np.r_[first, len(name)])
         other = (keys != np.repeat(keys[first], sizes)) | (place != np.repeat(place[first], sizes))
         hit = np.repeat(np.logical_or.reduceat(other, first), sizes)
-        keys, place = keys[hit], place[hit]
-        if not len(keys):
-            return pd.DataFrame(columns=["k", "places"])
+        if not hit.any():
+            return pd.DataFrame(columns=["target", "keys", "counts", "gaps"])
+        return bundled(keys[hit], place[hit], max(4, buckets // 4))
+
+    def merged(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        keys, place = unbundled(rows)
         order = np.lexsort((place, keys))
         keys, place = keys[order], place[order]
-        fresh = np.r_[True, (keys[1:] != keys[:-1]) | (place[1:] != place[:-1])]
+        fresh = np.r_[True, (keys[1:] != keys[:-1]) | (place[1:] != place[:-1])]  # not twice from copies
         keys, place = keys[fresh], place[fresh]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         out = [(keys[a], gaps_of(place[a:b], np.zeros(1, np.int64))) for a, b in zip(first, np.r_[first[1:], len(keys)], strict=True)]
         return pd.DataFrame(out, columns=["k", "places"])
 
-    return names.groupBy("bucket").applyInPandas(each, PLACES)
+    return names.groupBy("bucket").applyInPandas(marks, SENT).groupBy("target").applyInPandas(merged, PLACES)
 
 
-def united(lists: list[bytes]) -> np.ndarray:
-    """Sorted places from packed lists of one key each."""
-    out = []
-    for x in lists:
-        n = (len(x) - 1) // (2 if x[:1] == b"2" else 4)
-        out.append(places_of(x, np.array([n])))
-    return np.sort(np.concatenate(out)) if out else np.empty(0, np.int64)
+def listed(raw: bytes) -> np.ndarray:
+    """The places of one key."""
+    return places_of(raw, np.array([(len(raw) - 1) // (2 if raw[:1] == b"2" else 4)]))
 
 
 def runs(starts: np.ndarray, before: int, after: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
@@ -215,8 +236,8 @@ def candidates(docs: DataFrame, length: int) -> DataFrame:
 
     total = docs.agg(F.sum(F.octet_length("raw")).alias("n")).first()["n"] or 0
     long_ones = docs.filter(F.octet_length("raw") >= length).select("k", "raw")
-    names = packed(long_ones, max(8, total * len(cover) // v // BUCKET_NAMES), sampled)
-    found = repeated(names).groupBy("k").agg(F.collect_list("places").alias("places"))
+    buckets = max(8, total * len(cover) // v // BUCKET_NAMES)
+    found = repeated(packed(long_ones, buckets, sampled), buckets)
     return long_ones.join(found.hint("shuffle_hash"), "k").dropDuplicates(["k"])
 
 
@@ -226,12 +247,13 @@ def marked(found: DataFrame, length: int) -> DataFrame:
 
     def near(row: dict) -> tuple[np.ndarray, np.ndarray]:
         raw = np.frombuffer(row["raw"], np.uint8)
-        begins, ends = runs(united(list(row["places"])), v - 1, 1, 0, len(raw) - length + 1)
+        begins, ends = runs(listed(row["places"]), v - 1, 1, 0, len(raw) - length + 1)
         at = np.concatenate([np.arange(a, b) for a, b in zip(begins, ends, strict=True)]) if len(begins) else np.empty(0, np.int64)
         return prefix_names(raw, at, length), at
 
     total = found.agg(F.sum(F.octet_length("raw")).alias("n")).first()["n"] or 0
-    return repeated(packed(found, max(8, total // BUCKET_NAMES), near)).groupBy("k").agg(F.collect_list("places").alias("places"))
+    buckets = max(8, total // BUCKET_NAMES)
+    return repeated(packed(found, buckets, near), buckets)
 
 
 def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -248,7 +270,7 @@ def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in batches:
-            made = [cut_out(x, united(list(p)), length) for x, p in zip(some["raw"], some["places"], strict=True)]
+            made = [cut_out(x, listed(p), length) for x, p in zip(some["raw"], some["places"], strict=True)]
             yield pd.DataFrame({"k": some["k"], "n_removed": [x[0] for x in made], "n_spans": [x[1] for x in made], "kept": [x[2] for x in made]})
 
     cut = found.select("k", "raw").join(starts.hint("shuffle_hash"), "k").mapInPandas(each, "k long, n_removed long, n_spans long, kept string")

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from prismcube.sources.checkpoints import cut
+
 
 def dimension_key(dims: Sequence[str], values: Sequence[str] = ()) -> Column:
     """The names of the set dimensions, sorted, joined by _, then the values of other columns."""
@@ -17,9 +19,17 @@ def dimension_key(dims: Sequence[str], values: Sequence[str] = ()) -> Column:
 
 
 def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    """Codes from 0 by falling frequency, ties by value; null stays null (D3)."""
+    """Codes from 0 by falling frequency, ties by value; null stays null (D3).
+
+    Values are dealt in ranges of that order; a code is the place inside the range plus the values of the ranges before,
+    so no task numbers all values.
+    """
     n = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
-    codes = n.select("_v", (F.row_number().over(Window.orderBy(F.col("_n").desc(), "_v")) - 1).alias(out or f"{column}_code"))
+    dealt = cut(n.repartitionByRange(F.col("_n").desc(), "_v").withColumn("_p", F.spark_partition_id()), "codes")
+    ranges = dealt.groupBy("_p").agg(F.count("*").alias("_size"))  # a row for each partition
+    before = ranges.select("_p", (F.sum("_size").over(Window.orderBy("_p")) - F.col("_size")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_p").orderBy(F.col("_n").desc(), "_v")) - 1
+    codes = dealt.withColumn("_place", place).join(F.broadcast(before), "_p").select("_v", (F.col("_place") + F.col("_before")).cast("int").alias(out or f"{column}_code"))
     return df.join(codes, F.col(column) == F.col("_v"), "left").drop("_v")
 
 

@@ -19,7 +19,7 @@ def plain(x: object) -> str:
     if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x):
         return "~"
     if isinstance(x, (int, float)) and not isinstance(x, bool) or hasattr(x, "dtype") and getattr(x, "ndim", 1) == 0 and x.dtype.kind in "iuf":
-        return f"{float(x):.6g}"
+        return f"{float(x):.10g}"
     return str(list(x)) if hasattr(x, "tolist") and getattr(x, "ndim", 0) else str(x)
 
 

@@ -243,20 +243,27 @@ class ByteBpe:
             n += len(ids)
         return n, ids_hash.hexdigest(), back_hash.hexdigest()
 
-    def digest_all(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """digest() of many texts; the pieces that are new among short ones are merged together."""
-        out: list[tuple[int, str, str]] = []
+    def batches(self, texts: list[str]) -> Iterator[list[tuple[str, list[int] | None]]]:
+        """Texts with their ids, some hundreds at a time, the new pieces of all short ones merged together; long ones get None."""
         for i in range(0, len(texts), TEXTS_AT_ONCE):
             some = texts[i : i + TEXTS_AT_ONCE]
             split = [self.pattern.findall(x) if len(x) <= AT_ONCE else None for x in some]
             self.learn(list(set().union(*filter(None, split)).difference(self.kept)))
-            made = []
-            for own in split:
-                ids = list(self.ids_of(own or ()))
-                made.append((len(ids), hashlib.sha256(" ".join(map(self.names.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(self.decode_bytes(ids)).hexdigest()))
+            made = [(x, None if own is None else list(self.ids_of(own))) for x, own in zip(some, split, strict=True)]
             self.forget()
-            out += [self.digest(x) if own is None else m for x, own, m in zip(some, split, made, strict=True)]
-        return out
+            yield made
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """encode() of many texts."""
+        return [np.array(self.encode(x) if ids is None else ids, np.int32) for some in self.batches(texts) for x, ids in some]
+
+    def digest_all(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """digest() of many texts."""
+
+        def one(ids: list[int]) -> tuple[int, str, str]:
+            return len(ids), hashlib.sha256(" ".join(map(self.names.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(self.decode_bytes(ids)).hexdigest()
+
+        return [self.digest(x) if ids is None else one(ids) for some in self.batches(texts) for x, ids in some]
 
 
 @lru_cache(maxsize=2)
@@ -275,7 +282,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     def to_ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = coder(path, pattern)
         for some in texts:
-            yield pd.Series([np.array(bpe.encode(x or ""), np.int32) for x in some], index=some.index, dtype=object)
+            yield pd.Series(bpe.encode_all([x or "" for x in some]), index=some.index, dtype=object)
 
     return docs.withColumn("ids", to_ids(F.col(text)))
 

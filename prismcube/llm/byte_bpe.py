@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces of at most 64 bytes kept by each Python worker: a bound on its memory, not on the input.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 250_000
 #: Matches, and texts of no more characters than that, handled at once: a very long text needs no list of all its pieces.
 AT_ONCE, TEXTS_AT_ONCE = 50_000, 1_000
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 #: The byte-to-character table of byte-level vocabularies is this rule.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Pieces kept by each worker, and symbols merged at once: bounds on memory.
-KEPT_PIECES, SYMBOLS_AT_ONCE = 1_000_000, 1_000_000
+KEPT_PIECES, SYMBOLS_AT_ONCE = 300_000, 1_000_000
 BIG = np.int64(1 << 60)
 
 

@@ -50,23 +50,23 @@ def flagship_sets(s: set[str]) -> bool:
     return nested and "r_name" in s and len(s & {"c_mktsegment", "o_orderpriority"}) <= 1 and len(s & {"r_name", "yr_cd", "c_mktsegment", "o_orderpriority"}) <= 3
 
 
-@query(f"""WITH {STAR} SELECT {', '.join(FLAG_DIMS)}, round(sum(revenue), 2) AS revenue, count(l_quantity) AS items, round(avg(l_quantity), 4) AS avg_quantity,
+@query(f"""WITH {STAR} SELECT {', '.join(FLAG_DIMS)}, round(sum(revenue), 4) AS revenue, count(l_quantity) AS items, round(avg(l_quantity), 4) AS avg_quantity,
   max(l_quantity) AS max_quantity, min(l_quantity) AS min_quantity, {depth_sql(('c_mktsegment', 'o_orderpriority', 'r_name', 'yr_cd'))}
   FROM star GROUP BY {sql_sets(FLAG_DIMS, flagship_sets)}""")
 def cube_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two hierarchies, a group of exclusive dimensions, a mandatory one."""
     out = build_cube(star(spark, sf_dir), FLAGSHIP)
-    return out.withColumns({"revenue": F.round("revenue", 2), "avg_quantity": F.round("avg_quantity", 4)})
+    return out.withColumns({"revenue": F.round("revenue", 4), "avg_quantity": F.round("avg_quantity", 4)})
 
 
 @query(f"""WITH {STAR}, nulled AS (SELECT CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_returnflag END AS flag, c_mktsegment, revenue, l_quantity FROM star)
-  SELECT flag, c_mktsegment, round(sum(revenue), 2) AS revenue, count(l_quantity) AS n, {depth_sql(('flag', 'c_mktsegment'))} FROM nulled
+  SELECT flag, c_mktsegment, round(sum(revenue), 4) AS revenue, count(l_quantity) AS n, {depth_sql(('flag', 'c_mktsegment'))} FROM nulled
   GROUP BY GROUPING SETS ((flag), (flag, c_mktsegment), (c_mktsegment), ()) HAVING NOT (grouping(flag) = 0 AND flag IS NULL)""")
 def cube_null_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: null values are told from rolled-up ones, and their cells dropped."""
     df = star(spark, sf_dir).withColumn("flag", F.when(F.col("l_returnflag") != "A", F.col("l_returnflag")))
     out = build_cube(df, CubeSpec(dims=("flag", "c_mktsegment"), facts=(Fact("revenue"), Fact("n", "count", column="l_quantity"))))
-    return out.withColumn("revenue", F.round("revenue", 2))
+    return out.withColumn("revenue", F.round("revenue", 4))
 
 
 @query(f"""WITH {STAR}, nulled AS (SELECT CASE WHEN l_returnflag = 'A' THEN '__NULL__' ELSE l_returnflag END AS flag, c_mktsegment, l_quantity FROM star)
@@ -77,12 +77,12 @@ def cube_keep_null_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_cube(df, CubeSpec(dims=("flag", "c_mktsegment"), facts=(Fact("n", "count", column="l_quantity"),), ignore_null_groupings=False))
 
 
-@query(f"""WITH {STAR} SELECT r_name, c_mktsegment, l_returnflag, round(sum(revenue), 2) AS revenue, {depth_sql(('r_name', 'c_mktsegment', 'l_returnflag'))}
+@query(f"""WITH {STAR} SELECT r_name, c_mktsegment, l_returnflag, round(sum(revenue), 4) AS revenue, {depth_sql(('r_name', 'c_mktsegment', 'l_returnflag'))}
   FROM star GROUP BY GROUPING SETS ((r_name), (r_name, c_mktsegment), (c_mktsegment, l_returnflag))""")
 def cube_explicit_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Given grouping sets."""
     out = build_cube(star(spark, sf_dir), CubeSpec(grouping_sets=(("r_name",), ("r_name", "c_mktsegment"), ("c_mktsegment", "l_returnflag")), facts=(Fact("revenue"),)))
-    return out.withColumn("revenue", F.round("revenue", 2))
+    return out.withColumn("revenue", F.round("revenue", 4))
 
 
 LIMITED = ["r_name", "c_mktsegment", "o_orderpriority", "l_returnflag"]
@@ -156,12 +156,12 @@ def cube_partitioned_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {STAR}, cells AS (SELECT r_name, l_returnflag, sum(revenue) AS revenue, sum(l_quantity) AS quantity FROM star WHERE yr_cd >= '1996' GROUP BY CUBE (r_name, l_returnflag)),
   more AS (SELECT *, revenue / quantity AS price FROM cells)
-  SELECT r_name, l_returnflag, round(revenue, 2) AS revenue, round(quantity, 2) AS quantity, round(CASE WHEN price >= 1000 THEN price END, 4) AS price, {depth_sql(('r_name', 'l_returnflag'))}
+  SELECT r_name, l_returnflag, round(revenue, 4) AS revenue, round(quantity, 2) AS quantity, round(CASE WHEN price >= 1000 THEN price END, 4) AS price, {depth_sql(('r_name', 'l_returnflag'))}
   FROM more WHERE quantity > 100""")
 def cube_post_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Derived columns with a range, filters before and after."""
     spec = CubeSpec(dims=("r_name", "l_returnflag"), facts=(Fact("revenue"), Fact("quantity", column="l_quantity")), filters=("yr_cd >= '1996'",), post=(Derived("price", "revenue / quantity", (1000, None)),), post_filters=("quantity > 100",))
-    return build_cube(star(spark, sf_dir), spec).withColumns({"revenue": F.round("revenue", 2), "quantity": F.round("quantity", 2), "price": F.round("price", 4)})
+    return build_cube(star(spark, sf_dir), spec).withColumns({"revenue": F.round("revenue", 4), "quantity": F.round("quantity", 2), "price": F.round("price", 4)})
 
 
 CALENDAR = """days AS (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS d),

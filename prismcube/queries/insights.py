@@ -17,10 +17,10 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = star(spark, sf_dir).withColumn("seq", (F.col("yr_cd").cast("int") * 4 + F.substring("qtr_cd", 6, 1).cast("int")).cast("string"))
     spec = CubeSpec(dims=("r_name", "l_returnflag", "seq"), mandatory=("seq",), facts=(Fact("revenue"), Fact("quantity", "avg", column="l_quantity")))
     cube = build_cube(df, spec).withColumn("seq", F.col("seq").cast("int")).drop("aggregation_depth")
-    return cube.withColumns({"revenue": F.round("revenue", 2), "quantity": F.round("quantity", 6)})
+    return cube.withColumns({"revenue": F.round("revenue", 4), "quantity": F.round("quantity", 6)})
 
 
-CELLS = f"""{STAR}, cells AS (SELECT r_name, l_returnflag, CAST(yr_cd AS INT) * 4 + CAST(substr(qtr_cd, 6, 1) AS INT) AS seq, round(sum(revenue), 2) AS revenue, round(avg(l_quantity), 6) AS quantity
+CELLS = f"""{STAR}, cells AS (SELECT r_name, l_returnflag, CAST(yr_cd AS INT) * 4 + CAST(substr(qtr_cd, 6, 1) AS INT) AS seq, round(sum(revenue), 4) AS revenue, round(avg(l_quantity), 6) AS quantity
   FROM star GROUP BY GROUPING SETS ((yr_cd, qtr_cd), (yr_cd, qtr_cd, r_name), (yr_cd, qtr_cd, l_returnflag), (yr_cd, qtr_cd, r_name, l_returnflag)))"""
 SPEC = InsightSpec(dims=(Dim("r_name", "variant", percentile=True), Dim("l_returnflag", "nullvariant", percentile=True), Dim("seq", "ephemeral", (1, 4))), facts=("revenue", "quantity"), rates=("quantity",), group=("seq",))
 PAIRS = f"""{CELLS}, pairs AS (
@@ -54,13 +54,13 @@ def insight_hierarchy_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_cells(own, own, HIER)
 
 
-@query(f"WITH {DIFFS} SELECT r_name, l_returnflag, seq, r_name_r, l_returnflag_r, seq_r, varying, round(diff_revenue, 3) AS diff_revenue, round(pctg_diff_revenue, 4) AS pctg_diff_revenue, round(diff_quantity, 4) AS diff_quantity, round(pctg_diff_quantity, 4) AS pctg_diff_quantity FROM diffs")
+@query(f"WITH {DIFFS} SELECT r_name, l_returnflag, seq, r_name_r, l_returnflag_r, seq_r, varying, round(diff_revenue, 4) AS diff_revenue, round(pctg_diff_revenue, 4) AS pctg_diff_revenue, round(diff_quantity, 4) AS diff_quantity, round(pctg_diff_quantity, 4) AS pctg_diff_quantity FROM diffs")
 def insight_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differences and percentage differences."""
     own = cells(spark, sf_dir)
     out = add_diffs(compare_cells(own, own, SPEC), SPEC)
     keys = [c for d in SPEC.dims for c in (d.name, f"{d.name}_r")]
-    return out.select(*keys, "varying", F.round("diff_revenue", 3).alias("diff_revenue"), *(F.round(c, 4).alias(c) for c in ("pctg_diff_revenue", "diff_quantity", "pctg_diff_quantity")))
+    return out.select(*keys, "varying", F.round("diff_revenue", 4).alias("diff_revenue"), *(F.round(c, 4).alias(c) for c in ("pctg_diff_revenue", "diff_quantity", "pctg_diff_quantity")))
 
 
 @query(f"""WITH {CELLS}, n AS (SELECT *, CASE WHEN quantity - 25.5 > 0 THEN ln(quantity - 25.5) END AS norm_d FROM cells)

@@ -12,7 +12,12 @@ Within a group that shares a block every class is compared with the group's firs
 one; groups that then still hold several components are compared with another of
 theirs, at last pair by pair across components. Pairs pass sketches of four bits
 for each shingle, whose Hamming distance also bounds the symmetric difference, before the sets
-themselves are intersected, so no pair of different texts is lost and none added.
+themselves are intersected, so no pair that could tie two components is lost and none added.
+
+Links are counted afterwards: a link's ends are in one component, so within each
+component all classes are compared with all others, in tiles, by the exact sizes
+of their intersections. Only counts leave a tile, but the work of a component
+grows with the square of its classes.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ SHINGLE, SHARE = 5, 80
 COMMON, MOST_COMMON = 32, 500_000
 #: Rows of two numbers up to which they are broadcast; beyond, the texts are shuffled to them.
 BROADCAST_ROWS = 1_000_000
+#: Classes and shingles of a component's part, and shingles compared at once: pairs of parts are tiles, small components share one.
+TILE, TILE_SHINGLES, COLUMNS = 512, 500_000, 8192
 #: Words hashed at once: a longer text is hashed in overlapping stretches.
 WORDS_AT_ONCE = 500_000
 U = np.uint64
@@ -245,20 +252,26 @@ def pairs_of(found: DataFrame, classes: DataFrame) -> DataFrame:
     return both.join(of("a"), "a").join(of("b"), "b").filter(close("sa", "sb")).select("a", "b")
 
 
-def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """The pairs whose sets are similar: the texts of their classes are read again and the sets intersected."""
-    pairs = saved(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls").select("cls", "doc_id")
+def sets_of(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """cls, h (its set) of each wanted (cls, doc_id): the texts are read again."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            yield pd.DataFrame({"cls": rows["cls"], "h": [shingle_hashes(x, size).view(np.int64) for x in rows["text"]]})
+            h = [shingle_hashes(x, size) for x in rows["text"]]
+            own = np.array([len(x) > 0 and set_hash(x) == c for x, c in zip(h, rows["cls"], strict=True)], bool)  # another text may have the same doc_id
+            yield pd.DataFrame({"cls": rows["cls"], "h": [x.view(np.int64) for x in h]})[own]
 
     wanted = saved(wanted, "wanted")
     small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     texts = docs.select("doc_id", "text").join(F.broadcast(wanted) if small else wanted.hint("shuffle_hash"), "doc_id")
-    h = texts.select("cls", "text").mapInPandas(sets, "cls long, h array<long>").dropDuplicates(["cls"])
-    h = saved(h, "sets")
+    return saved(texts.select("cls", "text").mapInPandas(sets, "cls long, h array<long>").dropDuplicates(["cls"]), "sets")
+
+
+def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """The pairs whose sets are similar: the texts of their classes are read again and the sets intersected."""
+    pairs = saved(pairs, "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls").select("cls", "doc_id")
+    h = sets_of(wanted, docs, size)
     both = pairs.join(h.select(F.col("cls").alias("a"), F.col("h").alias("ha")), "a").join(h.select(F.col("cls").alias("b"), F.col("h").alias("hb")), "b")
     common = F.size(F.array_intersect("ha", "hb"))
     return saved(both.filter(100 * common >= SHARE * (F.size("ha") + F.size("hb") - common)).select("a", "b"), "links")
@@ -279,12 +292,81 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def common_sizes(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of a has in common with each of b."""
+    out = np.zeros((len(a), len(b)), np.int64)
+    if not len(a) or not len(b):
+        return out
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    flat = []
+    for sets in (a, b):
+        row, h = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets)
+        known = np.isin(h, both)
+        row, at = row[known], np.searchsorted(both, h[known])
+        order = np.argsort(at, kind="stable")
+        flat.append((row[order], at[order]))
+    for start in range(0, len(both), COLUMNS):
+        x, y = (np.zeros((len(sets), min(COLUMNS, len(both) - start)), np.float32) for sets in (a, b))
+        for m, (row, at) in zip((x, y), flat, strict=True):
+            cut = slice(*np.searchsorted(at, [start, start + COLUMNS]))
+            m[row[cut], at[cut] - start] = 1
+        out += (x @ y.T).astype(np.int64)
+    return out
+
+
+def links_in_tile(rows: pd.DataFrame) -> pd.DataFrame:
+    """cls, n_links: links between the part i and the part j of every component in a tile."""
+    out = []
+    for _, own in rows.groupby("component_id"):
+        i, j, part, cls = own["i"].iloc[0], own["j"].iloc[0], own["part"].to_numpy(), own["cls"].to_numpy()
+        h = own["h"].to_numpy()
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        n = np.array([len(x) for x in h], np.int64)
+        common = common_sizes(list(h[left]), list(h[right]))
+        near = 100 * common >= SHARE * (n[left][:, None] + n[right][None] - common)
+        if i == j:
+            np.fill_diagonal(near, False)
+        out.append(pd.DataFrame({"cls": cls[left], "n_links": near.sum(1)}))
+        if i != j:
+            out.append(pd.DataFrame({"cls": cls[right], "n_links": near.sum(0)}))
+    return pd.concat(out)
+
+
+def degrees(table: DataFrame, links: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """cls, n_links: links of each class (cls, class_id, component_id, n) that has any.
+
+    In a component of two classes the link is one of ``links``; in larger ones all pairs are compared.
+    """
+    facts = table.filter("component_id is not null").groupBy("component_id").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 2")
+    parts = F.ceil(F.greatest(F.col("m") / TILE, F.col("total") / TILE_SHINGLES)).cast("int")
+    facts = saved(facts.select("component_id", "total", parts.alias("parts")), "components")
+    seen = facts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.when(F.col("parts") == 1, F.col("total"))), F.lit(0)).alias("total")).first()
+    bundles = seen["total"] // TILE_SHINGLES + 1
+    members = saved(table.join(F.broadcast(facts) if seen["n"] <= BROADCAST_ROWS else facts, "component_id").select("component_id", "cls", "class_id", "parts"), "members")
+    pairs = links.select(F.explode(F.array("a", "b")).alias("cls")).join(members.select("cls"), "cls", "left_anti").groupBy("cls").agg(F.count("*").alias("n_links"))
+    h = sets_of(members.select("cls", F.col("class_id").alias("doc_id")), docs, size)
+    part = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+    rows = members.withColumn("part", part).join(h, "cls").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tile = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component_id"), F.lit(bundles))).otherwise(F.col("component_id"))
+    rows = rows.select("component_id", "cls", "h", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("parts") == 1).alias("small"), tile.alias("tile"))
+    counts = rows.groupBy("small", "tile", "i", "j").applyInPandas(links_in_tile, "cls long, n_links long")
+    return saved(pairs.union(counts.groupBy("cls").agg(F.sum("n_links").alias("n_links")).filter("n_links > 0")), "degrees")
+
+
 def joined(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (links of the row's class to other classes) of every row.
+    """doc_id, n_shingles, component_id, n_links (links of the row's class to all other classes) of every row.
 
     Null and empty texts have no shingles and link with nothing; rows with one doc_id twice are one node. A null doc_id
     keeps null as its component unless copies or links lead to a smaller id. Other columns aren't read.
     """
+    rows, table, links = labelled(docs, size)
+    degree = degrees(table, links, docs, size)
+    out = rows.join(table.join(degree, "cls", "left").select("cls", "component_id", "n_links"), "cls", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def labelled(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows (doc_id, n, cls, null without words), the classes (cls, class_id, component_id, n), and links enough to tie the components."""
     rows = saved(sketched(docs, size), "shingles")
     classes = saved(rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     groups = saved(grouped(keyed(docs, common_blocks(docs, size), size)), "groups")
@@ -307,15 +389,15 @@ def joined(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         links = saved(links.union(linked(pairs_of(more, classes), classes, docs, size)).distinct(), "links")
     ids = classes.select("cls", "doc_id")
     by_id = links.join(ids.select(F.col("cls").alias("a"), F.col("doc_id").alias("da")), "a").join(ids.select(F.col("cls").alias("b"), F.col("doc_id").alias("db")), "b").select(F.col("da").alias("a"), F.col("db").alias("b"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
     labels = components(by_id.filter("a is not null and b is not null"))
-    table = classes.select("cls", F.col("doc_id").alias("class_id")).join(labels, F.col("class_id") == labels["id"], "left").join(degree, "cls", "left").select("cls", F.coalesce("component", "class_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = rows.select("doc_id", "n", "cls").withColumn("cls", F.when(F.col("n") > 0, F.col("cls"))).join(table, "cls", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    table = classes.select("cls", F.col("doc_id").alias("class_id"), "n").join(labels, F.col("class_id") == labels["id"], "left").select("cls", "class_id", F.coalesce("component", "class_id").alias("component_id"), "n")
+    return rows.select("doc_id", "n", "cls").withColumn("cls", F.when(F.col("n") > 0, F.col("cls"))), saved(table, "table"), links
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """docs without near duplicates: of each component the rows of its least doc_id stay; texts without words stay."""
-    first = joined(docs, size).filter((F.col("component_id") == F.col("doc_id")) | F.col("doc_id").isNull()).select("doc_id").distinct()
+    rows, table, _ = labelled(docs, size)
+    component = F.coalesce("component_id", "doc_id").alias("component_id")
+    first = rows.join(table.select("cls", "component_id"), "cls", "left").select("doc_id", component).filter((F.col("component_id") == F.col("doc_id")) | F.col("doc_id").isNull()).select("doc_id").distinct()
     ids = first.withColumnRenamed("doc_id", "_first")
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_first"]), "left_semi")

@@ -291,6 +291,30 @@ def test_near_duplicates(spark, docs, odd):
     assert parity_join.joined(none(docs)).count() == 0
 
 
+def test_links_are_all_links(spark, monkeypatch):
+    """n_links in a large family, in chains and in pairs, whether a component is one part or many."""
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    made = []
+    for _ in range(150):  # most but not all of them are similar to each other
+        own = list(base)
+        for _ in range(rnd.choice([1, 2])):
+            own[rnd.randrange(len(own))] = f"v{rnd.randrange(10**6)}"
+        made.append(own)
+    for start in range(0, 60, 3):  # a chain: ends aren't similar
+        made.append([f"c{i}" for i in range(start, start + 80)])
+    made += [[f"p{k}q{i}" for i in range(30)] for k in range(5)] + [[f"p{k}q{i}" for i in range(29)] for k in range(5)]
+    data = [(i, " ".join(w)) for i, w in enumerate([*made, *made[:20]])]
+    sets = {d: frozenset(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for d, t in data}
+    near = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    expected = {d: sum(near(s, x) for x in {*sets.values()} - {s}) for d, s in sets.items()}
+    assert max(expected.values()) > 100
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    for tile in (1000, 40):
+        monkeypatch.setattr(parity_join, "TILE", tile)
+        assert {r["doc_id"]: r["n_links"] for r in parity_join.joined(df).collect()} == expected
+
+
 # --- 7: quality ------------------------------------------------------------------------------------------------------
 
 

@@ -26,8 +26,10 @@ NUMBER, UNIT, NAME = "\ue010", "\ue011", "\ue012"
 _NUMBER = r"\p{N}++(?:[.,:/]\p{N}++)*+"
 #: Units of measure.
 UNITS = "km|cm|mm|m|kg|g|mg|lb|lbs|oz|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|meters?|metres?|feet|foot|inch|inches|dollars?|euros?|cents?|percent|degrees?|kmh|mph|usd|eur|gb|mb|kb|hz|khz|mhz|watts?|volts?"
-_UNIT = rf"(?<={NUMBER} |{NUMBER})(?i:{UNITS}|%|°C|°F|€|\$)(?![\p{{L}}\p{{N}}])"
-_NAME = rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},;{NUMBER}-{NAME}] .)\p{{L}}*+"
+#: Runs of blanks but a single space; each becomes one, so that at most two follow a placeholder.
+_BLANKS = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*+| [\s\p{Z}]++"
+_UNIT = rf"(?<={NUMBER} {{0,2}})(?i:{UNITS}|%|°C|°F|€|\$)(?![\p{{L}}\p{{N}}])"
+_NAME = rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},;{NUMBER}-{NAME}] {{1,2}}.)\p{{L}}*+"
 _MARKS = f"[{NUMBER}-{NAME}]"
 _BETWEEN = rf"[^\p{{L}}\p{{N}}{NUMBER}-{NAME}]+"
 
@@ -43,6 +45,7 @@ class Slots:
 def canonical(text: Column) -> Slots:
     """The template of a text; values: for each placeholder, the string and pattern that give its values in order."""
     held = F.when(text.rlike(_MARKS), F.regexp_replace(text, _MARKS, " ")).otherwise(text)
+    held = F.regexp_replace(held, _BLANKS, " ")
     numbers = F.when(held.rlike(r"\p{N}"), F.regexp_replace(held, _NUMBER, f" {NUMBER} ")).otherwise(held)
     units = F.when(numbers.contains(NUMBER), F.regexp_replace(numbers, _UNIT, f" {UNIT} ")).otherwise(numbers)
     names = F.regexp_replace(units, _NAME, f" {NAME} ")

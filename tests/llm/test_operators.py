@@ -385,6 +385,17 @@ def test_benchmark_cases(spark):
     assert decontaminate.found_items(none(df), b).count() == 0 == decontaminate.found_items(df, none(b)).count()
 
 
+def test_units_after_blanks_and_wrapped_copies_are_found(spark):
+    b = spark.createDataFrame([(1, "the runner went 5 km along the river and then 20 % more than the coach had asked"), (2, "we met our friends Anna and Boris with Clara near the old bridge of Prague")], "item_id long, text string")
+    cases = [
+        (1, "the runner went 5 miles along the river and then 20 percent more than the coach had asked"),
+        (2, "we met our friends\nAnna and\tBoris with  Clara near the old bridge of\r\n Prague"),
+        (3, "the runner went  5\nkm along the river and then 20% more than the coach had asked"),
+    ]
+    got = {(r["doc_id"], r["item_id"], r["kind"]) for r in decontaminate.found_items(spark.createDataFrame(cases, "doc_id long, text string"), b).collect()}
+    assert got == {(1, 1, "changed"), (2, 2, "verbatim"), (3, 1, "verbatim")}
+
+
 def test_benchmark_passages_are_found(spark, docs):
     b = spark.read.parquet(f"{SF}/benchmark.parquet")
     norm = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "

@@ -2,10 +2,11 @@
 
 Patterns find the base spans. The field then labels every token that holds a digit
 or an at sign: node potentials come from the token's shape, chain potentials tie
-neighbours, and skip potentials tie each token to the next one of equal or similar
-form, however far away, so that a value which is recognised once is recognised
-where it stands again without its telling form. Loopy max-marginal inference passes
-messages along both kinds of edges. The weights are fitted by pseudo-likelihood to
+neighbours, and skip potentials tie all tokens of equal or similar form to one form
+node of the text, which is observed where the patterns find the form, so that a value
+which is recognised once is recognised wherever it stands again without its telling
+form, however often and far away. Loopy inference passes messages along both kinds
+of edges until they settle. The weights are fitted by pseudo-likelihood to
 the base labels of all documents, summed up by pattern of features and neighbours.
 """
 
@@ -30,8 +31,8 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
-#: Labels: 0 is none, then the kinds. Rounds of messages, belief from which a token counts.
-LABELS, ROUNDS, BELIEF = 1 + len(KINDS), 8, 0.9
+#: Labels: 0 is none, then the kinds. Largest change of settled messages, rounds that messages which never settle end after, belief from which a token counts.
+LABELS, SETTLED, MOST_ROUNDS, BELIEF = 1 + len(KINDS), 1e-3, 1000, 0.9
 FEATURES = 12
 
 
@@ -107,10 +108,13 @@ class Graph:
         self.bits: list[int] = []
         self.label: list[int] = []
         self.chain: list[tuple[int, int]] = []
-        self.skip: list[tuple[int, int]] = []
+        self.skip: list[tuple[int, int]] = []  # neighbours of one form, to fit by
+        self.form: list[tuple[int, int]] = []  # token and form node, to infer by
+        self.forms = 0
 
     def add(self, number: int, text: str, base: list[tuple[int, int, int]]) -> None:
         seen: dict[str, int] = {}
+        same: dict[str, list[int]] = {}
         k, before = 0, None
         for m in TOKEN.finditer(text):
             start, end = m.span()
@@ -125,11 +129,16 @@ class Graph:
                 if key in seen and seen[key] != i - 1:
                     self.skip.append((seen[key], i))
                 seen[key] = i
+                same.setdefault(key, []).append(i)
             self.text.append(number)
             self.span.append((start, end))
             self.bits.append(shape(m.group()))
             self.label.append(label)
             before = end
+        for tokens in same.values():
+            if len(tokens) > 1:
+                self.form += [(i, self.forms) for i in tokens]
+                self.forms += 1
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         edge = lambda x: np.array(x, np.int64).reshape(-1, 2)
@@ -168,10 +177,16 @@ class Field:
             agree += rate * ((off * skip).sum() - 1e-4 * ridge * agree)
         return cls(node, chain, max(0.0, float(agree)))
 
-    def beliefs(self, bits: np.ndarray, known: np.ndarray, chain: np.ndarray, skip: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-        """Marginals of every node after some rounds of messages; nodes with a base label are held to it."""
-        n, k = len(bits), LABELS
-        own = design(bits) @ self.node.T
+    def beliefs(self, bits: np.ndarray, known: np.ndarray, chain: np.ndarray, form: np.ndarray) -> np.ndarray:
+        """Marginals of every token once the messages have settled; tokens with a base label, and forms that most often have it, are held to it."""
+        tokens, k = len(bits), LABELS
+        forms = form[:, 1].max() + 1 if len(form) else 0
+        votes = np.zeros((forms, k), np.int64)
+        np.add.at(votes, (form[:, 1], known[form[:, 0]]), 1)
+        votes[:, 0] = 0
+        known = np.r_[known, votes.argmax(1)] if forms else known
+        n, skip = tokens + forms, np.c_[form[:, 0], form[:, 1] + tokens]
+        own = np.r_[design(bits) @ self.node.T, np.zeros((forms, k))]
         own[known > 0] = -50.0
         own[known > 0, known[known > 0]] = 0.0
         ends = np.r_[chain, chain[:, ::-1], skip, skip[:, ::-1]]
@@ -184,13 +199,16 @@ class Field:
         def gathered() -> np.ndarray:
             return own + np.stack([np.bincount(ends[:, 1], message[:, j], n) for j in range(k)], 1) if len(ends) else own
 
-        for _ in range(rounds if len(ends) else 0):
+        for _ in range(MOST_ROUNDS if len(ends) else 0):
             from_ = gathered()[ends[:, 0]] - message[back]
             made = from_[:, :, None] + pair
             top = made.max(1)
             made = top + np.log(np.exp(made - top[:, None, :]).sum(1))
-            message = 0.5 * message + 0.5 * (made - made.max(1, keepdims=True))
-        score = gathered()
+            made -= made.max(1, keepdims=True)
+            change, message = np.abs(made - message).max(), 0.5 * message + 0.5 * made
+            if change < SETTLED:
+                break
+        score = gathered()[:tokens]
         p = np.exp(score - score.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 
@@ -276,8 +294,8 @@ def report(docs: DataFrame, field: Field | None = None) -> DataFrame:
                 if "@" in text or DIGIT.search(text):
                     base[i] = base_spans(text)
                     g.add(i, text, base[i])
-            bits, label, chain, skip = g.arrays()
-            more = added_spans(g, field.beliefs(bits, label, chain, skip), base, texts) if len(bits) else {}
+            bits, label, chain, _ = g.arrays()
+            more = added_spans(g, field.beliefs(bits, label, chain, np.array(g.form, np.int64).reshape(-1, 2)), base, texts) if len(bits) else {}
             out = []
             for i in range(len(texts)):
                 own = base.get(i, [])

@@ -158,6 +158,17 @@ def test_skip_edges_carry_a_label_to_a_bare_repeat(spark):
     assert got[900].startswith("phone:") and "field_phone" in got[900] and got[901] == ""
 
 
+def test_a_value_is_known_at_all_its_repeats(spark):
+    rnd = random.Random(6)
+    numbers = [f"({rnd.randrange(200, 999)}) 555-{rnd.randrange(1000, 9999)}" for _ in range(200)]
+    train = [(i, f"call +1 {n} now, item {rnd.randrange(10, 99)} of 4.0 or later +1 {n} again") for i, n in enumerate(numbers)]
+    field = pii.fit(spark.createDataFrame(train, "doc_id long, text string"))
+    n = numbers[0]
+    probe = f"call +1 {n} now." + f" Much later, the desk {n} again." * 50
+    (row,) = pii.report(spark.createDataFrame([(1, probe)], "doc_id long, text string"), field).collect()
+    assert row["n_phone"] == 1 and row["spans"].count("field_phone") == 50
+
+
 # --- 4: repeated strings ---------------------------------------------------------------------------------------------
 
 

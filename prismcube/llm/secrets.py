@@ -2,7 +2,8 @@
 
 Every version of a text is a blob named by its SHA-256. A scan looks only at
 (blob, rule version) pairs that the ledger doesn't hold yet, one copy of each
-blob, and joins what it finds back to every row that has the blob.
+blob. The ledger keeps what was found for each pair; new and kept findings are
+joined back to every row that has the blob.
 
 Positions come from marks: a rule's matches are wrapped in two marker characters,
 the text is split at the opening one, and running sums of the pieces' lengths
@@ -53,7 +54,7 @@ ADDED = (
     Rule("forge", r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}+", r"gh[pousr]_[A-Za-z0-9]{36}"),
 )
 RULES = BASE + ADDED
-LEDGER = "blob string, rule_version string"
+LEDGER = "blob string, rule_version string, spans array<struct<start: bigint, end: bigint>>"
 
 
 def marked(text: Column, rule: Rule) -> Column:
@@ -109,13 +110,35 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     return reduce(DataFrame.unionByName, found), new
 
 
+def ledger_rows(found: DataFrame, new: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows (LEDGER) to add for what scan() returned: empty spans where a rule found nothing."""
+    version = F.element_at(F.lit([r.version for r in rules]), F.col("order") + 1)
+    spans = found.groupBy("blob", version.alias("rule_version")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    none = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    return new.join(spans, ["blob", "rule_version"], "left").select("blob", "rule_version", F.coalesce("spans", none).alias("spans"))
+
+
+def findings(docs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """blob, kind, order, start, end of all findings in docs, those of earlier scans from the ledger.
+
+    What the ledger lists without spans is scanned again.
+    """
+    if ledger is None or "spans" not in ledger.columns:
+        return scan(docs, None, rules)[0]
+    kept = ledger.filter("spans is not null").dropDuplicates(["blob", "rule_version"])
+    kinds = F.array(*(F.struct(F.lit(r.version).alias("rule_version"), F.lit(r.kind).alias("kind"), F.lit(i).alias("order")) for i, r in enumerate(rules)))
+    named = kept.withColumn("r", F.explode(F.filter(kinds, lambda r: r["rule_version"] == F.col("rule_version")))).select("blob", "r.kind", "r.order", F.explode("spans").alias("s"))
+    old = named.join(blobs_of(docs).select("blob").distinct(), "blob", "left_semi").select("blob", "kind", "order", "s.start", "s.end")
+    return scan(docs, kept, rules)[0].unionByName(old)
+
+
 def joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
 def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every row; null texts count as empty, repeated rows repeat."""
-    found, _ = scan(docs, ledger, rules)
+    found = findings(docs, ledger, rules)
     n = len(BASE)
     spans = found.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "order", "kind", "end"))).alias("all"))
     spans = spans.withColumn("base", F.filter("all", lambda s: s["order"] < n))
@@ -127,12 +150,12 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame |
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]", ledger: DataFrame | None = None) -> DataFrame:
-    """docs with every match in ``text`` of a blob in which scan() finds something replaced by the mask, rule by rule.
+    """docs with every match in ``text`` of a blob in which this or an earlier scan found something replaced by the mask, rule by rule.
 
     n_chars, if there is such a column, follows the text. All other rows and columns stay as they are. (In a text with
     findings the marker characters themselves become replacement characters.)
     """
-    found, _ = scan(docs, ledger, rules)
+    found = findings(docs, ledger, rules)
     blobs = found.select("blob").distinct().withColumn("_hit", F.lit(True))
     text = out = F.col("text")
     for r in rules:

@@ -248,6 +248,16 @@ def test_ledger_scans_only_unseen_pairs(leaky):
     assert again.count() == none_new.count() == 0
 
 
+def test_reports_and_masks_with_a_ledger_are_whole(leaky):
+    first = leaky.filter("doc_id % 3 > 0").dropDuplicates(["doc_id"])
+    ledger = secrets.ledger_rows(*secrets.scan(first))
+    later = leaky.unionByName(leaky.filter("doc_id > 1000").select((F.col("doc_id") + 5000).alias("doc_id"), "text"))
+    assert by_id(secrets.report(later, ledger=ledger)) == by_id(secrets.report(later))
+    assert by_id(secrets.redact(later, ledger=ledger)) == by_id(secrets.redact(later))
+    # a ledger of pairs alone says nothing of what was found
+    assert by_id(secrets.report(first, ledger=ledger.select("blob", "rule_version"))) == by_id(secrets.report(first))
+
+
 def test_redaction_leaves_no_finding(leaky, docs):
     for df in (leaky, docs):
         clean = secrets.redact(df, secrets.BASE)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -11,12 +10,16 @@ from pyspark.sql import functions as F
 
 #: Fixed: the word characters of every contract are those outside these six blanks.
 BLANK = r"[ \t\n\x0B\f\r]"
+#: Spark's setting by which the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share: ``spark.checkpoint.dir``; only where that is unset (tests) a local one."""
+    """The folder all machines share, ``spark.checkpoint.dir``. Only a session of one machine may leave it unset."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -27,19 +30,38 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner see which earlier results nobody holds any more, so that their shuffle files go now, not when
-    the driver's heap happens to fill."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def written(df: DataFrame, at: str) -> DataFrame:
+    """df written to a path and read again; the shuffle files behind it go as soon as it is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(at)
+    finally:
+        conf.set(CLEANUP, before)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: its lineage ends there and survives lost executors."""
-    release(df.sparkSession)
-    at = scratch(df.sparkSession, name)
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    return written(df, scratch(df.sparkSession, name))
+
+
+class States:
+    """Named intermediate tables of one job in the shared folder. Of each name the last two versions are kept, so that a
+    new one can be made from the one before; clear() empties those that nothing reads any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.at, self.versions = spark, scratch(spark, name), {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        self.versions[name] = self.versions.get(name, 0) + 1
+        return written(df, f"{self.at}/{name}-{self.versions[name] % 2}")
+
+    def clear(self, *names: str) -> None:
+        for name in names:
+            for version in range(max(1, self.versions.get(name, 0) - 1), self.versions.pop(name, 0) + 1):
+                self.spark.range(0).coalesce(1).write.mode("overwrite").parquet(f"{self.at}/{name}-{version % 2}")
 
 
 def text_of(col: str | Column = "text") -> Column:

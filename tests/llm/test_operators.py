@@ -336,6 +336,24 @@ def test_links_are_all_links(spark, monkeypatch):
         assert {r["doc_id"]: r["n_links"] for r in parity_join.joined(df).collect()} == expected
 
 
+def test_sets_of_long_texts_and_of_any_words(monkeypatch):
+    """Texts hashed in stretches have the sets of whole ones, and equal words give equal sets whatever stands between them."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(11)
+    texts_ = [None, "", " \t", "a b", "A  B\n", "é" * 200, "x" * 900, " ".join(rnd.choice(["ab", "CD", "e\x0bf", "日本 \r g"]) for _ in range(700)), "", "a b c d e f"]
+    made = lambda: {i + low: tuple(h[sum(n[:i]) : sum(n[: i + 1])].tolist()) for low, _, h, n in parity_join.sets_in(pa.array(texts_)) for i in range(len(n))}
+    whole = made()
+    assert [len(whole[i]) for i in (0, 1, 2, 3, 5, 6, 9)] == [0, 0, 0, 1, 1, 1, 2] and whole[3] == whole[4]
+    words = texts_[7].lower().split()
+    assert len(whole[7]) == len({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+    for at_once in (1, 7, 64):
+        monkeypatch.setattr(parity_join, "AT_ONCE", at_once)
+        assert made() == whole
+    assert np.array_equal(parity_join.forest(np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4]), 6), [True, False, True, True])
+
+
 # --- 7: quality ------------------------------------------------------------------------------------------------------
 
 

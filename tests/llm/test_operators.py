@@ -193,10 +193,27 @@ def brute_removed(data, length):
 @pytest.mark.parametrize(("which", "length"), [("odd", 20), ("odd", 3), ("docs", 400), ("docs", 60)])
 def test_repeated_strings(request, which, length):
     df = request.getfixturevalue(which)
-    assert by_id(suffix_dedup.removed(df, length)) == brute_removed(texts(df), length)
+    out = suffix_dedup.removed(df, length).cache()
+    assert by_id(out.drop("n_shared")) == brute_removed(texts(df), length)
+    passages = {r[0] for r in brute_removed(texts(df), suffix_dedup.passage_of(length)) if r[2]}
+    assert passages <= {r["doc_id"] for r in out.filter("n_shared > 0").collect()}
     assert suffix_dedup.removed(none(df), length).count() == 0
 
 
+def test_a_hot_passage_is_sent_once_by_each_batch():
+    """Names that stand several times in a batch are marked there; the bucket gets one of their places."""
+    import numpy as np
+
+    packer = suffix_dedup.Packer(2, 4)
+    for key in range(1, 101):
+        packer.add(key, np.array([7, key * 1000], np.uint64), np.array([5, 9]))
+    out = packer.rows()
+    sent, marked = out[out["bucket"] < 2], out[out["bucket"] >= 2]
+    assert sum(len(x) // 8 for x in sent["names"]) == 101
+    keys, places = suffix_dedup.unbundled(marked)
+    assert sorted(keys.tolist()) == [*range(1, 101)] and {*places.tolist()} == {5}
+
+
 def test_covers_are_difference_covers():
     for v, cover in suffix_dedup.COVERS.items():
         assert {(a - b) % v for a in cover for b in cover} == {*range(v)}

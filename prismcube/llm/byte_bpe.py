@@ -18,14 +18,19 @@ from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 #: Pieces of at most 64 bytes kept by each Python worker: a bound on its memory, not on the input.
-KEPT_PIECES = 250_000
+KEPT_PIECES = 100_000
 #: Matches, and texts of no more characters than that, handled at once: a very long text needs no list of all its pieces.
 AT_ONCE, TEXTS_AT_ONCE = 50_000, 1_000
+#: Bytes of texts that encode() hands out together, unless one text is longer.
+BYTES_AT_ONCE = 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -272,19 +277,31 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(load_ranks(path), pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """docs and a column ``ids`` of array<int>: the ids of each whole text, a null one as empty.
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """docs and a column ``ids`` of array<int> (in place of one of that name): the ids of each whole text, a null one as empty.
 
-    An empty text has no ids. Rows are independent: repeated rows give repeated results.
+    An empty text has no ids. Rows are independent: repeated rows give repeated results. Without keep_text the texts aren't
+    returned. Few texts are held at once, whatever the size of Spark's batches.
     """
+    docs = docs.drop("ids")
+    kept = [c for c in docs.columns if keep_text or c != text]
+    schema = StructType([*(f for f in docs.schema.fields if f.name in kept), StructField("ids", ArrayType(IntegerType()))])
 
-    @F.pandas_udf("array<int>")
-    def to_ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path, pattern)
-        for some in texts:
-            yield pd.Series(bpe.encode_all([x or "" for x in some]), index=some.index, dtype=object)
-
-    return docs.withColumn("ids", to_ids(F.col(text)))
+        for batch in batches:
+            texts = batch.column(len(kept)).fill_null("")
+            ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+            low = 0
+            while low < len(texts):
+                high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + BYTES_AT_ONCE, "right")))
+                made = bpe.encode_all(texts[low:high].to_pylist())
+                places = np.cumsum([0, *map(len, made)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate(made)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i)[low:high] for i in range(len(kept))), ids], [*kept, "ids"])
+                low = high
+
+    return docs.select(*kept, F.col(text).cast("string").alias("_text")).mapInArrow(each, schema)
 
 
 def decode(coded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:

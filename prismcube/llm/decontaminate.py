@@ -11,19 +11,22 @@ has one value too, and the other way round.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prismcube.llm.common import text_of
+from prismcube.llm.common import States, text_of
 
 WORDS, SHARE = 5, 0.8
 #: Distinct benchmark windows (8 bytes each) up to which they are broadcast; beyond, both sides are shuffled by the window.
 BROADCAST_WINDOWS = 2_000_000
+#: Ids of documents up to which they are broadcast; beyond, texts are shuffled to them.
+BROADCAST_IDS = 1_000_000
 #: Placeholders: private-use characters, one for each type of slot.
 NUMBER, UNIT, NAME = "\ue010", "\ue011", "\ue012"
-_NUMBER = r"\p{N}++(?:[.,:/]\p{N}++)*+"
+#: Numbers as words.
+NUMBER_WORDS = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion"
+_NUMBER = rf"\p{{N}}++(?:[.,:/]\p{{N}}++)*+|(?=[TFSENHMBtfsenhmb])(?<![\p{{L}}\p{{N}}])(?i:{NUMBER_WORDS})(?![\p{{L}}\p{{N}}])"
 #: Units of measure.
 UNITS = "km|cm|mm|m|kg|g|mg|lb|lbs|oz|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|meters?|metres?|feet|foot|inch|inches|dollars?|euros?|cents?|percent|degrees?|kmh|mph|usd|eur|gb|mb|kb|hz|khz|mhz|watts?|volts?"
 #: Runs of blanks but a single space; each becomes one, so that at most two follow a placeholder.
@@ -46,7 +49,7 @@ def canonical(text: Column) -> Slots:
     """The template of a text; values: for each placeholder, the string and pattern that give its values in order."""
     held = F.when(text.rlike(_MARKS), F.regexp_replace(text, _MARKS, " ")).otherwise(text)
     held = F.regexp_replace(held, _BLANKS, " ")
-    numbers = F.when(held.rlike(r"\p{N}"), F.regexp_replace(held, _NUMBER, f" {NUMBER} ")).otherwise(held)
+    numbers = F.regexp_replace(held, _NUMBER, f" {NUMBER} ")
     units = F.when(numbers.contains(NUMBER), F.regexp_replace(numbers, _UNIT, f" {UNIT} ")).otherwise(numbers)
     names = F.regexp_replace(units, _NAME, f" {NAME} ")
     return Slots(names, {NUMBER: (held, _NUMBER), UNIT: (numbers, _UNIT), NAME: (units, _NAME)})
@@ -106,17 +109,20 @@ def found_items(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, share:
     texts = docs.select("doc_id", text_of().alias("text"))
     known = exploded.select("size", "hash").distinct()
     words = texts.select("doc_id", template_words(F.col("text")).alias("words"))
-    stands = [words.select("doc_id", F.lit(n).alias("size"), F.posexplode(windows_of(F.col("words"), n)).alias("at", "hash")) for n in lengths or [size]]
-    hits = reduce(DataFrame.unionByName, (x.join(F.broadcast(k) if small else k, "hash", "left_semi") for x, n in zip(stands, lengths or [size], strict=True) for k in [known.filter(F.col("size") == n).select("hash")]))
+    # one pass over the texts: the windows of all lengths
+    windows = F.flatten(F.array(*(F.transform(windows_of(F.col("words"), n), lambda h, i: F.struct(F.lit(n).alias("size"), i.alias("at"), h.alias("hash"))) for n in lengths or [size])))  # noqa: B023  called at once
+    stands = words.select("doc_id", F.explode(windows).alias("w")).select("doc_id", "w.size", "w.at", "w.hash")
+    hits = stands.join(F.broadcast(known) if small else known, ["size", "hash"], "left_semi")
     aligned = hits.join(exploded.withColumnRenamed("at", "item_at"), ["size", "hash"]).withColumn("shift", F.col("at") - F.col("item_at"))
     # an occurrence: all windows of a text and an item at one shift
-    one = aligned.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("hash").alias("hashes"), F.min("at").alias("low"), (F.max("at") + F.first("size")).alias("high"))
+    states = States(docs.sparkSession, "benchmark")
+    one = states.save(aligned.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("hash").alias("hashes"), F.min("at").alias("low"), (F.max("at") + F.first("size")).alias("high")), "occurrences")
     size_of = items.select("item_id", F.size(F.array_distinct(F.transform("windows", lambda w: w["hash"]))).alias("n_item_windows"))
     near = one.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("n")).join(size_of, "item_id").filter(F.col("n") >= share * F.col("n_item_windows"))
-    likely = one.join(near.select("doc_id", "item_id", "n_item_windows"), ["doc_id", "item_id"])
+    likely = states.save(one.join(near.select("doc_id", "item_id", "n_item_windows"), ["doc_id", "item_id"]), "likely")
 
     # slots of those texts and items, side by side
-    ids = near.select("doc_id").distinct()
+    ids = few(likely.select("doc_id").distinct())
     doc_slots = slots_of(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumn("words", template_words(F.col("text"))), "doc_id")
     item_slots = slots_of(items, "item_id")
     both = likely.join(doc_slots, "doc_id").filter((F.col("place") >= F.col("low")) & (F.col("place") < F.col("high")))
@@ -130,6 +136,12 @@ def found_items(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, share:
     return out.select("doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"), F.col("n_item_windows").cast("long").alias("n_item_windows"), "n_slots", "n_changed", F.when(F.col("n_changed") > 0, "changed").otherwise("verbatim").alias("kind"))
 
 
+def few(ids: DataFrame) -> DataFrame:
+    """ids to be broadcast if there are no more than BROADCAST_IDS."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
 def drop_found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs in whose text no item was found (rows of a null doc_id stay)."""
-    return docs.join(found_items(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+    found = States(docs.sparkSession, "found").save(found_items(docs, benchmark).select("doc_id").distinct(), "ids")
+    return docs.join(few(found), "doc_id", "left_anti")

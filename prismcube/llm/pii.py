@@ -275,11 +275,11 @@ def added_spans(g: Graph, beliefs: np.ndarray, base: dict[int, list[tuple[int, i
     return clean
 
 
-RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
 
 
 def report(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row; the field is fitted to docs if none is given.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans of every row; the field is fitted to docs if none is given.
 
     Null texts count as empty; repeated rows repeat; an empty table gives no rows. Spans that the field adds have kinds
     field_email and so on and never overlap base spans.
@@ -300,8 +300,9 @@ def report(docs: DataFrame, field: Field | None = None) -> DataFrame:
             for i in range(len(texts)):
                 own = base.get(i, [])
                 kinds = Counter(k for _, k, _ in own)
-                out.append((*(kinds[k] for k in range(len(KINDS))), hashlib.sha256(named(own).encode()).hexdigest(), named(sorted(own + more.get(i, [])))))
-            made = pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+                every = sorted(own + more.get(i, []))
+                out.append((*(kinds[k] for k in range(len(KINDS))), hashlib.sha256(named(own).encode()).hexdigest(), named(every), len(every)))
+            made = pd.DataFrame(out, columns=[x.split()[0] for x in RESULT.split(", ")[1:]])
             made.insert(0, "doc_id", rows["doc_id"].to_numpy())
             yield made
 

@@ -2,8 +2,9 @@
 
 Every version of a text is a blob named by its SHA-256. A scan looks only at
 (blob, rule version) pairs that the ledger doesn't hold yet, one copy of each
-blob. The ledger keeps what was found for each pair; new and kept findings are
-joined back to every row that has the blob.
+blob. The ledger is a written table that keeps what was found for each pair; every
+report and redaction first brings it up to date and then joins its findings back to
+all rows that have the blob.
 
 Positions come from marks: a rule's matches are wrapped in two marker characters,
 the text is split at the opening one, and running sums of the pieces' lengths
@@ -20,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prismcube.llm.common import text_of
+from prismcube.llm.common import States, text_of
 
 #: Two private-use characters as marks, and what stands for them should a text hold them.
 OPEN, CLOSE, INSTEAD = "\ue000", "\ue001", "\ufffd"
@@ -48,12 +49,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{16,}+", r"AKIA[A-Z0-9]{16}"),
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}+", r"[0-9a-f]{24}"),
 )
+#: What stands in a key: base64, its blanks and header lines, single hyphens. A key without its END line goes on over lines of base64.
+_BODY = r"[A-Za-z0-9+/=:,\s]*+(?:-(?!----)[A-Za-z0-9+/=:,\s]*+)*+"
 ADDED = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", r"PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:" + _BODY + r"-----END [A-Z ]{0,30}PRIVATE KEY-----|(?:\s*+[A-Za-z0-9+/=]{32,}+)*+)", r"PRIVATE KEY-----"),
     Rule("bearer", r"(?<![A-Za-z])[Bb]earer\x20++[A-Za-z0-9+/_.~-]{20,}+=*+", r"[Bb]earer\x20"),
     Rule("forge", r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}+", r"gh[pousr]_[A-Za-z0-9]{36}"),
 )
 RULES = BASE + ADDED
+#: Rows and characters of the findings of blobs up to which they are broadcast; beyond, rows are shuffled to them.
+BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 1 << 25
 LEDGER = "blob string, rule_version string, spans array<struct<start: bigint, end: bigint>>"
 
 
@@ -118,18 +123,28 @@ def ledger_rows(found: DataFrame, new: DataFrame, rules: tuple[Rule, ...] = RULE
     return new.join(spans, ["blob", "rule_version"], "left").select("blob", "rule_version", F.coalesce("spans", none).alias("spans"))
 
 
-def findings(docs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
-    """blob, kind, order, start, end of all findings in docs, those of earlier scans from the ledger.
+def remember(docs: DataFrame, states: States, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger (LEDGER) with what it lacked of docs: new pairs are scanned, and it is written anew with them.
 
-    What the ledger lists without spans is scanned again.
+    Pairs that the given ledger lists without spans are scanned again.
     """
     if ledger is None or "spans" not in ledger.columns:
-        return scan(docs, None, rules)[0]
+        return states.save(ledger_rows(*scan(docs, None, rules), rules), "ledger")
     kept = ledger.filter("spans is not null").dropDuplicates(["blob", "rule_version"])
+    return states.save(kept.select("blob", "rule_version", "spans").unionByName(ledger_rows(*scan(docs, kept, rules), rules)), "ledger")
+
+
+def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """blob, kind, order, start, end of all findings of rules that a ledger has for texts of docs."""
     kinds = F.array(*(F.struct(F.lit(r.version).alias("rule_version"), F.lit(r.kind).alias("kind"), F.lit(i).alias("order")) for i, r in enumerate(rules)))
-    named = kept.withColumn("r", F.explode(F.filter(kinds, lambda r: r["rule_version"] == F.col("rule_version")))).select("blob", "r.kind", "r.order", F.explode("spans").alias("s"))
-    old = named.join(blobs_of(docs).select("blob").distinct(), "blob", "left_semi").select("blob", "kind", "order", "s.start", "s.end")
-    return scan(docs, kept, rules)[0].unionByName(old)
+    some = ledger.filter(F.size("spans") > 0).withColumn("r", F.explode(F.filter(kinds, lambda r: r["rule_version"] == F.col("rule_version"))))
+    return some.select("blob", "r.kind", "r.order", F.explode("spans").alias("s")).select("blob", "kind", "order", "s.start", "s.end")
+
+
+def dealt(found: DataFrame, chars: Column) -> DataFrame:
+    """found to be broadcast where it is small; else adaptive execution splits a text of very many rows."""
+    seen = found.agg(F.count("*").alias("n"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")).first()
+    return F.broadcast(found) if seen["n"] <= BROADCAST_ROWS and seen["chars"] <= BROADCAST_CHARS else found
 
 
 def joined(spans: Column) -> Column:
@@ -137,31 +152,33 @@ def joined(spans: Column) -> Column:
 
 
 def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every row; null texts count as empty, repeated rows repeat."""
-    found = findings(docs, ledger, rules)
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_spans of every row; null texts count as empty, repeated rows repeat."""
+    states = States(docs.sparkSession, "secrets")
+    found = findings(docs, remember(docs, states, ledger, rules), rules)
     n = len(BASE)
     spans = found.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "order", "kind", "end"))).alias("all"))
     spans = spans.withColumn("base", F.filter("all", lambda s: s["order"] < n))
     counts = {f"n_{r.kind}": F.size(F.filter("base", lambda s: s["kind"] == r.kind)).cast("long") for r in BASE}  # noqa: B023  called at once
-    spans = spans.select("blob", *(c.alias(k) for k, c in counts.items()), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("all")).alias("spans"))
-    back = blobs_of(docs).join(spans, "blob", "left")
-    zero = {f"n_{r.kind}": F.coalesce(f"n_{r.kind}", F.lit(0).cast("long")) for r in BASE}
-    return back.withColumns(zero | {"base_sha256": F.coalesce("base_sha256", F.sha2(F.lit(""), 256)), "spans": F.coalesce("spans", F.lit(""))}).select("doc_id", *zero, "base_sha256", "spans")
+    spans = states.save(spans.select("blob", *(c.alias(k) for k, c in counts.items()), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("all")).alias("spans"), F.size("all").cast("long").alias("n_spans")), "spans")
+    back = blobs_of(docs).join(dealt(spans, F.length("spans")), "blob", "left")
+    zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in (*(f"n_{r.kind}" for r in BASE), "n_spans")}
+    return back.withColumns(zero | {"base_sha256": F.coalesce("base_sha256", F.sha2(F.lit(""), 256)), "spans": F.coalesce("spans", F.lit(""))}).select("doc_id", *(f"n_{r.kind}" for r in BASE), "base_sha256", "spans", "n_spans")
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]", ledger: DataFrame | None = None) -> DataFrame:
-    """docs with every match in ``text`` of a blob in which this or an earlier scan found something replaced by the mask, rule by rule.
+    """docs with every match in ``text`` of a blob for which the ledger, brought up to date, has findings replaced by the mask, rule by rule.
 
     n_chars, if there is such a column, follows the text. All other rows and columns stay as they are. (In a text with
     findings the marker characters themselves become replacement characters.)
     """
-    found = findings(docs, ledger, rules)
-    blobs = found.select("blob").distinct().withColumn("_hit", F.lit(True))
+    states = States(docs.sparkSession, "secrets")
+    found = findings(docs, remember(docs, states, ledger, rules), rules)
+    blobs = states.save(found.select("blob").distinct().withColumn("_hit", F.lit(True)), "blobs")
     text = out = F.col("text")
     for r in rules:
         out = F.regexp_replace(marked(out, r), f"{OPEN}[^{CLOSE}]*+{CLOSE}", mask)
     named = docs.withColumn("_blob", F.sha2(text_of().cast("binary"), 256))
-    done = named.join(blobs, F.col("_blob") == F.col("blob"), "left").withColumn("text", F.when(F.col("_hit"), out).otherwise(text))
+    done = named.join(dealt(blobs, F.lit(64)), F.col("_blob") == F.col("blob"), "left").withColumn("text", F.when(F.col("_hit"), out).otherwise(text))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col("_hit"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return done.select(*docs.columns)

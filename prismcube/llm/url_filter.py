@@ -64,8 +64,9 @@ def ruled(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 
 def host_links(pages: DataFrame) -> DataFrame:
-    """src, dst, n: links between different hosts, from the absolute references of each page (relative ones stay on the host)."""
-    found = F.regexp_extract_all(text_of("html"), F.lit(r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?(?:https?:)?(//[^\s"'>]+)"""), F.lit(1))
+    """src, dst, n: links between different hosts, from the absolute references in the tags of each page, whatever their attribute
+    (href, src, action, data, cite); relative ones stay on the host."""
+    found = F.regexp_extract_all(text_of("html"), F.lit(r"""(?i)\s(?:href|src|action|data|cite)\s*=\s*["']?(?:https?:)?(//[^\s"'>]+)"""), F.lit(1))
     links = pages.select(host_of(F.col("url")).alias("src"), F.explode(F.array_distinct(found)).alias("to"))
     links = links.select("src", host_of(F.concat(F.lit("x:"), F.col("to"))).alias("dst")).filter("src <> '' and dst <> '' and src <> dst")
     return links.groupBy("src", "dst").agg(F.count("*").alias("n"))

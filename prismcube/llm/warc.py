@@ -10,18 +10,22 @@ Content-Length, so a payload may hold any text.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from itertools import islice
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismcube.llm.common import scratch, text_of
+from prismcube.llm.common import States, scratch, text_of
 
 END = "\r\n"
-#: Records in a file: with the longest payload, this bounds what a reading task holds.
-RECORDS_A_FILE = 3000
+#: Records in a file: compressed, this is what a reading task holds. Records parsed at once. Repeated payloads that are broadcast at most.
+RECORDS_A_FILE, RECORDS_AT_ONCE, BROADCAST_ROWS = 3000, 500, 500_000
 REQUEST, RESPONSE, REVISIT, METADATA = "request", "response", "revisit", "metadata"
 RECORD = "type string, id string, concurrent_to string, refers_to string, target string, payload_digest string, page_id long, payload binary, payload_bytes long, found_digest string"
 
@@ -30,12 +34,16 @@ def captures(pages: DataFrame, least: int = 1000) -> DataFrame:
     """pages as captures: capture (an id), page_id, url, html, digest, size, first (the capture it revisits, if any).
 
     Of pages with equal payloads of at least ``least`` bytes the one with the largest page_id is the response, the others
-    revisit it; ties go to the later row. A null html is an empty payload, a null page_id comes before all others.
+    revisit it; ties go to the later row. A null html is an empty payload, a null page_id comes before all others. The
+    captures are written once, so that each has one id however often it is read.
     """
+    states = States(pages.sparkSession, "captures")
     base = pages.select("page_id", "url", text_of("html").alias("html"), F.monotonically_increasing_id().alias("capture"))
-    base = base.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html").cast("long")})
-    first = base.filter(F.col("size") >= least).groupBy("digest").agg(F.max(F.struct("page_id", "capture"))["capture"].alias("first"))
-    joined = base.join(first, "digest", "left")
+    base = states.save(base.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html").cast("long")}), "base")
+    first = base.filter(F.col("size") >= least).groupBy("digest").agg(F.max(F.struct("page_id", "capture"))["capture"].alias("first"), F.count("*").alias("n"))
+    first = states.save(first.filter("n > 1").select("digest", "first"), "first")
+    small = first.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    joined = base.join(F.broadcast(first) if small else first, "digest", "left")
     return joined.withColumn("first", F.when(F.col("first") != F.col("capture"), F.col("first")))
 
 
@@ -79,15 +87,16 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     records(captures(pages, least), date).write.option("lineSep", END + END).option("maxRecordsPerFile", RECORDS_A_FILE).option("compression", compression).text(path)
 
 
-def parse(raw: bytes, keep_payload: bool) -> Iterator[tuple]:
-    """The records of one uncompressed archive."""
-    at = 0
-    while (at := raw.find(b"WARC/1.", at)) >= 0:
-        end = raw.index(b"\r\n\r\n", at)
-        fields = dict(x.split(": ", 1) for x in raw[at:end].decode().split(END)[1:])
-        start = end + 4
-        at = start + int(fields["Content-Length"])
-        block, kind = raw[start:at], fields["WARC-Type"]
+def parse(archive: BinaryIO, keep_payload: bool) -> Iterator[tuple]:
+    """The records of one uncompressed archive, read one after the other."""
+    while line := archive.readline():
+        if not line.startswith(b"WARC/1."):
+            continue
+        fields = {}
+        while line := archive.readline().strip():
+            name, _, value = line.decode().partition(": ")
+            fields[name] = value
+        block, kind = archive.read(int(fields["Content-Length"])), fields["WARC-Type"]
         payload = block.partition(b"\r\n\r\n")[2] if kind == RESPONSE else None
         page = block[len("page-id: ") :].strip() if kind == METADATA else b""
         yield (
@@ -98,16 +107,15 @@ def parse(raw: bytes, keep_payload: bool) -> Iterator[tuple]:
 
 def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) -> DataFrame:
     """One row for each record of the archives under path (gzip or plain), with what its payload really holds."""
-    import gzip
-
     names = [x.split()[0] for x in RECORD.split(", ")]
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
             for raw in files["content"]:
-                found = list(parse(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw, keep_payload))
-                out = pd.DataFrame(found, columns=names)
-                yield out.astype({"page_id": "Int64", "payload_bytes": "Int64"})
+                archive = io.BytesIO(raw) if raw[:2] != b"\x1f\x8b" else io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(raw)))
+                found = parse(archive, keep_payload)
+                while some := list(islice(found, RECORDS_AT_ONCE)):
+                    yield pd.DataFrame(some, columns=names).astype({"page_id": "Int64", "payload_bytes": "Int64"})
 
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(each, RECORD)
 
@@ -124,7 +132,8 @@ def assemble(found: DataFrame) -> DataFrame:
     said = found.filter(kind == METADATA).select(F.col("concurrent_to").alias("capture"), F.struct("id", "page_id").alias("metadata"))
     whole = answer.join(asked, "capture", "left").join(said, "capture", "left")
     first = whole.filter(F.col("response.type") == RESPONSE).select(F.col("capture").alias("refers_to"), F.struct(F.col("metadata.page_id").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"), F.col("response.found_digest").alias("found_digest")).alias("original"))
-    return whole.withColumn("refers_to", F.col("response.refers_to")).join(first, "refers_to", "left").drop("refers_to")
+    none = F.concat(F.lit("none of "), F.col("capture"))  # what refers to nothing isn't gathered under one key
+    return whole.withColumn("refers_to", F.coalesce("response.refers_to", none)).join(first, "refers_to", "left").drop("refers_to")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

@@ -275,6 +275,14 @@ def test_reports_and_masks_with_a_ledger_are_whole(leaky):
     assert by_id(secrets.report(first, ledger=ledger.select("blob", "rule_version"))) == by_id(secrets.report(first))
 
 
+def test_whole_keys_are_masked(spark):
+    begin, end, line = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "MIIEow" + "Ab+/" * 14 + "=="
+    keys = [f"{begin}\nProc-Type: 4,ENCRYPTED\n\n{line}\n{line}\n{end}", f"{begin}\n{line}\n{line}"]
+    data = [(1, f"before {keys[0]} after"), (2, f"before {keys[1]}\n\nand then some words"), (3, f"{begin} is how it starts"), (4, "-----BEGIN CERTIFICATE-----")]
+    out = {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert out == {1: "before [SECRET] after", 2: "before [SECRET]\n\nand then some words", 3: "[SECRET] is how it starts", 4: data[3][1]}
+
+
 def test_redaction_leaves_no_finding(leaky, docs):
     for df in (leaky, docs):
         clean = secrets.redact(df, secrets.BASE)
@@ -452,6 +460,14 @@ def test_units_after_blanks_and_wrapped_copies_are_found(spark):
     assert got == {(1, 1, "changed"), (2, 2, "verbatim"), (3, 1, "verbatim")}
 
 
+def test_numbers_as_words_repeated_rows_and_long_texts(spark):
+    b = spark.createDataFrame([(1, "a farmer keeps twelve white sheep and forty brown goats behind the old mill")], "item_id long, text string")
+    text = "a farmer keeps 7 white sheep and ninety brown goats behind the old mill"
+    cases = [(1, text), (1, text), (2, "stone " * 60_000 + text + " river" * 60_000), (3, text.replace("ninety", "7"))]
+    got = [(r["doc_id"], r["item_id"], r["kind"]) for r in decontaminate.found_items(spark.createDataFrame(cases, "doc_id long, text string"), b).collect()]
+    assert sorted(got) == [(1, 1, "changed"), (2, 1, "changed")]
+
+
 def test_benchmark_passages_are_found(spark, docs):
     b = spark.read.parquet(f"{SF}/benchmark.parquet")
     norm = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "

@@ -46,6 +46,8 @@ BROADCAST_ROWS = 1_000_000
 TILE, TILE_SHINGLES, COLUMNS = 512, 500_000, 8192
 #: Shingles whose sketches (two to four bits each) a tile may hold, and bytes of sketches compared at once.
 SKETCH_SHINGLES, SKETCH_BYTES = 8_000_000, 1 << 22
+#: Classes of a tile up to which a table holds its pairs.
+TABLE = 4096
 #: Bytes of texts hashed at once (a longer text in stretches), blocks counted or packed at once, blocks in a bucket, names of texts remembered in a task.
 AT_ONCE, KEYS_AT_ONCE, BUCKET_KEYS, REMEMBERED = 1 << 20, 1 << 20, 1_000_000, 200_000
 U = np.uint64
@@ -369,20 +371,24 @@ def grouped(keys: DataFrame, buckets: int) -> DataFrame:
 
 
 def tiled(members: DataFrame, facts: DataFrame, bundle: int) -> DataFrame:
-    """members with part, i, j, small, tile: each part of a group (sig) with each other; groups of one part share tiles, by their shingles."""
+    """members with part, i, j, parts, tile: each part of a group (sig) with each other. Groups of one home share tiles, and
+    groups of one part share them with others, by their shingles."""
     total = facts.filter("parts = 1").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total")).first()["total"]
-    rows = members.join(facts.select("sig", "parts"), "sig")
+    rows = members.join(facts.select("sig", "home", "parts"), "sig")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    small = F.col("parts") == 1
-    tile = F.when(small, F.pmod(F.xxhash64("sig"), F.lit(total // bundle + 1))).otherwise(F.col("sig"))
-    return rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other"), "small": small, "tile": tile}).drop("parts", "other")
+    tile = F.when(F.col("parts") == 1, F.pmod("home", F.lit(total // bundle + 1))).otherwise(F.col("home"))
+    return rows.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other"), "tile": tile}).drop("home", "other")
 
 
 def group_facts(members: DataFrame, most_shingles: int) -> DataFrame:
-    """sig, total (shingles), parts of each group (sig) of members (sig, cls, n) that has two classes or more; one of those with equal classes."""
-    facts = members.groupBy("sig").agg(F.count("*").alias("g"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("cls")).alias("list")).filter("g > 1")
-    parts = F.ceil(F.greatest(F.col("g") / TILE, F.col("total") / most_shingles)).cast("int")
-    return facts.groupBy("list", "g", "total").agg(F.min("sig").alias("sig")).select("sig", "total", parts.alias("parts"))
+    """sig, home, total (shingles), parts of each group (sig) of members (sig, cls, n) that has two classes or more; one of those with equal classes.
+
+    home is the least hash of the group's classes, which groups of much the same classes mostly share.
+    """
+    name = F.xxhash64("cls")
+    facts = members.groupBy("sig").agg(F.count("*").alias("g"), F.sum("n").alias("total"), F.bit_xor(name).alias("list"), F.min(name).alias("home")).filter("g > 1")
+    parts = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("g") / TILE, F.col("total") / most_shingles, F.lit(1.0))))).cast("int")
+    return facts.groupBy("list", "g", "total", "home").agg(F.min("sig").alias("sig")).select("sig", "home", "total", parts.alias("parts"))
 
 
 def distances(bits: list[bytes], u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -419,33 +425,67 @@ def forest(u: np.ndarray, v: np.ndarray, nodes: int) -> np.ndarray:
     return picked
 
 
-def close_in_tile(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
-    """a, b of pairs of a tile's classes whose sizes and sketches allow a similarity of SHARE percent and whose components differ; a row with sig for each group of which a close pair is left out.
-
-    most is None in the first round: a spanning forest of the close pairs. Then, of each two components, the closest ones.
-    """
-    rows = rows.sort_values(["sig", "cls"])
-    cls, one, at = np.unique(rows["cls"].to_numpy(), return_index=True, return_inverse=True)
-    n, label, bits = rows["n"].to_numpy()[one], np.unique(rows["component"].to_numpy()[one], return_inverse=True)[1], rows["bits"].to_numpy()[one]
+def pairs_in_tile(rows: pd.DataFrame, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """sig, x, y (x below y) of the pairs of each group between the parts i and j of a tile; at gives the numbers of the rows' classes, and rows are sorted by sig and class."""
     sig, part, i, j = rows["sig"].to_numpy(), rows["part"].to_numpy(), rows["i"].iloc[0], rows["j"].iloc[0]
     cuts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1], True]).tolist()
-    codes, owners = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         own = at[a:b]
         if i == j:
-            x, y = (own[k] for k in np.triu_indices(b - a, 1))
+            yield sig[a], *(own[k] for k in np.triu_indices(b - a, 1))
         else:
             left, right = own[part[a:b] == i], own[part[a:b] == j]
             x, y = np.repeat(left, len(right)), np.tile(right, len(left))
-        fit = (100 * np.minimum(n[x], n[y]) >= SHARE * np.maximum(n[x], n[y])) & (label[x] != label[y])
-        codes.append(np.minimum(x, y)[fit] * len(cls) + np.maximum(x, y)[fit])
-        owners.append(np.full(fit.sum(), sig[a]))
-    code, owner = np.concatenate(codes), np.concatenate(owners)
-    pair = np.unique(code)
-    u, v = pair // len(cls), pair % len(cls)
+            yield sig[a], np.minimum(x, y), np.maximum(x, y)
+
+
+class PairSet:
+    """Pairs of numbers below m, x below y: a table of bits where it is small, else sorted codes."""
+
+    def __init__(self, m: int):
+        self.m, self.held = m, 0
+        self.table = np.zeros((m, m), bool) if m <= TABLE else None
+        self.codes = [np.empty(0, np.int64)]
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        if self.table is not None:
+            self.table[x, y] = True
+            return
+        self.codes.append(x * self.m + y)
+        self.held += len(x)
+        if self.held > KEYS_AT_ONCE:
+            self.pairs()
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.table is not None:
+            return np.nonzero(self.table)
+        self.codes, self.held = [np.unique(np.concatenate(self.codes))], 0
+        return self.codes[0] // self.m, self.codes[0] % self.m
+
+    def any_of(self, x: np.ndarray, y: np.ndarray) -> bool:
+        if self.table is not None:
+            return bool(self.table[x, y].any())
+        codes, own = self.codes[0], x * self.m + y  # after pairs()
+        return bool(len(codes)) and bool((codes[np.minimum(np.searchsorted(codes, own), len(codes) - 1)] == own).any())
+
+
+def close_in_tile(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
+    """a, b of pairs of a tile's classes whose sizes and sketches allow a similarity of SHARE percent and whose components differ; a row with sig for each group of which a close pair is left out.
+
+    most is None in the first round: a spanning forest of the close pairs. Then, of each two components, the closest ones.
+    """
+    rows = rows.sort_values(["sig", "cls"])
+    cls, one, at = np.unique(rows["cls"].to_numpy(), return_index=True, return_inverse=True)
+    n, label, bits = rows["n"].to_numpy()[one], np.unique(rows["component"].to_numpy()[one], return_inverse=True)[1], rows["bits"].to_numpy()[one]
+    wanted = PairSet(len(cls))
+    for _, x, y in pairs_in_tile(rows, at):
+        wanted.add(x, y)
+    u, v = wanted.pairs()
+    fit = (100 * np.minimum(n[u], n[v]) >= SHARE * np.maximum(n[u], n[v])) & (label[u] != label[v])
+    u, v = u[fit], v[fit]
     far = distances(list(bits), u, v)
     near = 9 * far <= n[u] + n[v]
-    u, v, far, pair = u[near], v[near], far[near], pair[near]
+    u, v, far = u[near], v[near], far[near]
     if most is None:
         keep = forest(u, v, len(cls))
     else:
@@ -454,15 +494,18 @@ def close_in_tile(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
         first = np.flatnonzero(np.r_[True, (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])][: len(order)])
         keep = np.zeros(len(order), bool)
         keep[order[np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)])) < most]] = True
-    cut = np.unique(owner[np.isin(code, pair[~keep])])
-    return pd.DataFrame({"sig": pd.array([None] * int(keep.sum()) + cut.tolist(), "Int64"), "a": pd.array(cls[u[keep]].tolist() + [None] * len(cut), "Int64"), "b": pd.array(cls[v[keep]].tolist() + [None] * len(cut), "Int64")})
+    left = PairSet(len(cls))
+    left.add(u[~keep], v[~keep])
+    left.pairs()
+    cut = [] if keep.all() else [sig for sig, x, y in pairs_in_tile(rows, at) if left.any_of(x, y)]
+    return pd.DataFrame({"sig": pd.array([None] * int(keep.sum()) + cut, "Int64"), "a": pd.array(cls[u[keep]].tolist() + [None] * len(cut), "Int64"), "b": pd.array(cls[v[keep]].tolist() + [None] * len(cut), "Int64")})
 
 
 def close_pairs(members: DataFrame, classes: DataFrame, most: int | None, states: States) -> DataFrame:
     """sig, a, b: close_in_tile() of all groups of members (sig, cls, n, component)."""
     facts = states.save(group_facts(members, SKETCH_SHINGLES), "facts")
     rows = tiled(members, facts, SKETCH_SHINGLES // 2).join(classes.select("cls", "bits"), "cls")
-    return states.save(rows.groupBy("small", "tile", "i", "j").applyInPandas(lambda rows: close_in_tile(rows, most), "sig long, a long, b long"), "close")
+    return states.save(rows.groupBy("parts", "tile", "i", "j").applyInPandas(lambda rows: close_in_tile(rows, most), "sig long, a long, b long"), "close")
 
 
 def sets_of(wanted: DataFrame, docs: DataFrame, size: int, states: States) -> DataFrame:
@@ -562,7 +605,7 @@ def degrees(table: DataFrame, docs: DataFrame, size: int, states: States) -> Dat
     pairs = members.join(of.filter("m = 2"), "sig").select("cls", F.lit(1).cast("long").alias("n_links"))
     h = sets_of(large.select("cls", F.col("class_id").alias("doc_id")), docs, size, states)
     rows = tiled(large.select("sig", "cls"), facts, TILE_SHINGLES).join(h, "cls")
-    counts = rows.groupBy("small", "tile", "i", "j").applyInPandas(links_in_tile, "cls long, n_links long")
+    counts = rows.groupBy("parts", "tile", "i", "j").applyInPandas(links_in_tile, "cls long, n_links long")
     return states.save(pairs.union(counts.groupBy("cls").agg(F.sum("n_links").alias("n_links")).filter("n_links > 0")), "degrees")
 
 

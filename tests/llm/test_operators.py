@@ -379,6 +379,29 @@ def test_sets_of_long_texts_and_of_any_words(monkeypatch):
     assert np.array_equal(parity_join.forest(np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4]), 6), [True, False, True, True])
 
 
+@pytest.mark.parametrize("table", [0, 4096])
+def test_pairs_of_a_tile(monkeypatch, table):
+    """A forest of the close pairs first, then the closest pairs of components; groups that lose a pair are named."""
+    import numpy as np
+    import pandas as pd
+
+    monkeypatch.setattr(parity_join, "TABLE", table)
+    rnd = np.random.default_rng(3)
+    base = rnd.integers(0, 1 << 63, 100).astype(np.uint64)
+    sets = [np.r_[base[:95], rnd.integers(0, 1 << 63, 5).astype(np.uint64)] for _ in range(20)] + [rnd.integers(0, 1 << 63, 100).astype(np.uint64) for _ in range(5)]
+    rows = pd.DataFrame({"cls": range(25), "n": 100, "bits": [parity_join.parity_bits(x) for x in sets], "component": range(25), "part": [k % 2 for k in range(25)]})
+    for i, j in ((0, 0), (0, 1)):
+        own = rows[rows["part"].isin([i, j])].assign(i=i, j=j)
+        groups = pd.concat([own.assign(sig=s) for s in (5, 6)] + [own[own["cls"] >= 20].assign(sig=7)])
+        out = parity_join.close_in_tile(groups, None)
+        pairs = out[out["sig"].isna()]
+        assert len(pairs) == int(own["cls"].lt(20).sum()) - 1 and pairs[["a", "b"]].max().max() < 20
+        assert {*out["sig"].dropna()} == {5, 6}
+        again = parity_join.close_in_tile(groups.assign(component=groups["cls"] % 4 // 2), 3)
+        assert int(again["sig"].isna().sum()) == 3
+        assert len(parity_join.close_in_tile(groups.assign(component=1), 3)) == 0
+
+
 # --- 7: quality ------------------------------------------------------------------------------------------------------
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import redirect_stdout
 from functools import reduce
+from io import StringIO
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -198,6 +200,17 @@ def binned_percentile(df: DataFrame, by: Sequence[str], column: str, width: floa
 
 
 def distribute(df: DataFrame, spec: CubeSpec, distribute_by: Sequence[str] = (), limit: int | None = None) -> DataFrame:
-    """The cube's input, dealt by given columns or left to adaptive execution; a row limit is the test mode."""
+    """The cube's input, dealt by given columns; else by the mandatory dimensions if they have about as many values as there
+    are shuffle partitions (0.7 of them or more); else left to adaptive execution. A row limit is the test mode (A29)."""
+    if not distribute_by and spec.mandatory:
+        values = df.select(*spec.mandatory).distinct().count()
+        distribute_by = spec.mandatory if values >= 0.7 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else ()
     df = df.repartition(*distribute_by) if distribute_by else df
     return df.limit(limit) if limit else df
+
+
+def explain_cube(df: DataFrame, spec: CubeSpec) -> str:
+    """The plan of a cube as text: the mode that runs nothing."""
+    with redirect_stdout(StringIO()) as text:
+        build_cube(df, spec).explain("formatted")
+    return text.getvalue()

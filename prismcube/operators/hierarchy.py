@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,19 +68,24 @@ def access_rows(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return pairs.select(*by, "ancestor", F.explode(kinds).alias("access")).groupBy(*by, "ancestor", "access").agg(F.count("*").alias("n"))
 
 
-def rollup_to_ancestors(facts: DataFrame, pairs: DataFrame, key: str, aggs: Sequence[Column], by: Sequence[str] = (), at: str | None = None, valid: tuple[str, str] | None = None) -> DataFrame:
-    """by, ancestor and aggregates over the facts of all descendants; with ``at`` only where it lies in the pair's validity.
+def rollup_to_ancestors(facts: DataFrame, pairs: DataFrame, key: str, sums: Mapping[str, str], by: Sequence[str] = (), at: str | None = None, valid: tuple[str, str] | None = None) -> DataFrame:
+    """by, ancestor and sums (name: expression over facts) over all descendants; with ``at`` only where it lies in the pair's validity.
 
-    Facts are summed by node first where no validity is asked for, so a node's facts cross the closure once.
+    Facts are summed by node first, and by time where validity is asked for, so that a node's facts cross the closure once.
     """
-    joined = facts.join(pairs.select(*by, key, "ancestor", *(valid or ())), [*by, key])
-    if at and valid:
+    time = [at] if at and valid else []
+    own = facts.groupBy(*by, key, *time).agg(*(F.sum(F.expr(e)).alias(n) for n, e in sums.items()))
+    joined = own.join(pairs.select(*by, key, "ancestor", *(valid or ())), [*by, key])
+    if time:
         joined = joined.filter(F.col(at).between(F.col(valid[0]), F.col(valid[1])))
-    return joined.groupBy(*by, "ancestor").agg(*aggs)
+    return joined.groupBy(*by, "ancestor").agg(*(F.sum(n).alias(n) for n in sums))
 
 
 def salted(df: DataFrame, by: Sequence[str], rows_a_bucket: int) -> DataFrame:
-    """df and ``salt``: a bucket below ceil(group size / rows_a_bucket), so that groups of any size are dealt in equal parts."""
+    """df and ``salt``: a bucket below ceil(group size / rows_a_bucket), so that groups of any size are dealt in equal parts.
+
+    The bucket follows from the row, so a task that runs again deals alike; rows that are equal in all columns share one.
+    """
     n = df.groupBy(*(F.col(c).alias(f"_g_{c}") for c in by)).agg(F.ceil(F.count("*") / rows_a_bucket).alias("_buckets"))
     same = F.lit(True)
     for c in by:

@@ -137,10 +137,10 @@ def reason_of(fact: str, spec: InsightSpec) -> Column:
     if spec.reason:
         return F.expr(spec.reason.replace("[fact]", fact))
     size = {
-        "DIFFERENCE": F.abs(F.col(f"zscore_diff_{fact}")) / 3,
-        "PERCENTAGE_DIFFERENCE": F.abs(F.col(f"zscore_pctg_diff_{fact}")),
-        "NORM_DIFFERENCE": F.abs(F.col(f"zscore_norm_diff_{fact}")),
-        "NORM_PERCENTAGE_DIFFERENCE": F.abs(F.col(f"zscore_norm_pctg_diff_{fact}")),
+        "ABS_DIFF": F.abs(F.col(f"zscore_diff_{fact}")) / 3,
+        "PCTG_DIFF": F.abs(F.col(f"zscore_pctg_diff_{fact}")),
+        "NORM_ABS_DIFF": F.abs(F.col(f"zscore_norm_diff_{fact}")),
+        "NORM_PCTG_DIFF": F.abs(F.col(f"zscore_norm_pctg_diff_{fact}")),
     }
     top = F.greatest(*size.values())
     reason = F.lit("NO_INSIGHT")
@@ -150,10 +150,11 @@ def reason_of(fact: str, spec: InsightSpec) -> Column:
 
 
 def score_of(fact: str, spec: InsightSpec) -> Column:
-    """|z(diff) + z(percentage)| x |percentage|, or the template, to two places."""
+    """|z(diff) + z(percentage)| x |percentage|, or the template, to two places; without z(percentage) it counts 0, without percentage 1."""
     if spec.score:
         return F.round(F.expr(spec.score.replace("[fact]", fact)), 2)
-    return F.round(F.abs(F.col(f"zscore_diff_{fact}") + F.col(f"zscore_pctg_diff_{fact}")) * F.abs(F.col(f"pctg_diff_{fact}")), 2)
+    z = F.col(f"zscore_diff_{fact}") + F.coalesce(F.col(f"zscore_pctg_diff_{fact}"), F.lit(0.0))
+    return F.round(F.abs(z) * F.coalesce(F.abs(F.col(f"pctg_diff_{fact}")), F.lit(1.0)), 2)
 
 
 #: What the metrics array holds, in order, where a row has it.
@@ -168,7 +169,10 @@ def pack_metrics(df: DataFrame, facts: Sequence[str]) -> DataFrame:
 
 
 def insights(left: DataFrame, right: DataFrame, spec: InsightSpec) -> DataFrame:
-    """Ranked and compared cells with reasons, scores and metrics; rows without any insight are dropped."""
+    """Ranked and compared cells with reasons, scores and metrics; rows without any insight are dropped.
+
+    Both sides are read once for each comparison, so they should be written tables rather than cubes still to be built.
+    """
     pairs = add_diffs(compare_cells(left, right, spec), spec)
     if spec.prefilter:
         pairs = pairs.filter(spec.prefilter)

@@ -82,10 +82,10 @@ def refine_reason(df: DataFrame, reason: str, value: str, low: str, high: str, p
     return df.withColumn(reason, F.concat(head, F.col(reason), tail))
 
 
-def weight_score(df: DataFrame, score: str, dims: Sequence[str], out: str = "weighted_score") -> DataFrame:
-    """The score over one more than the number of dimensions that are set (M8)."""
-    n = reduce(lambda a, b: a + b, [F.col(d).isNotNull().cast("int") for d in dims], F.lit(0))
-    return df.withColumn(out, F.col(score) / (1 + n))
+def weight_score(df: DataFrame, score: str, metric_weight: str, weights: Mapping[str, str], out: str = "weighted_score") -> DataFrame:
+    """The score times the metric's weight times the weight of each dimension that is set; weights names their columns (M8)."""
+    factors = [F.when(F.col(d).isNotNull(), F.col(w)).otherwise(1) for d, w in weights.items()]
+    return df.withColumn(out, reduce(lambda a, b: a * b, factors, F.col(score) * F.col(metric_weight)))
 
 
 def metrics_json(df: DataFrame, metrics: Sequence[str], out: str = "metrics_json") -> DataFrame:
@@ -117,8 +117,8 @@ def prune_dims(df: DataFrame, keys: Sequence[str], size: str, dims: Sequence[str
 def outlier_ladder(df: DataFrame, by: Sequence[str], value: str, fixed: float, fence: float = 1.25, sigma: float = 1.5, exact: bool = False) -> DataFrame:
     """df, group_size, threshold and is_outlier by the size of the group.
 
-    1-2: above the fixed threshold; 3-4: above the mean; 5-20: above Q3 + fence x IQR, or where the IQR is 0 a log z-score
-    of at least sigma; beyond 20: a log z-score of at least sigma.
+    1-2: above the fixed threshold; 3-4: above the mean; 5-20: from Q3 + fence x IQR on, or where the IQR is 0 a log z-score
+    above sigma; beyond 20: a log z-score above sigma. Without deviation (but for rounding) there is no log threshold.
     """
     v = F.col(value).cast("double")
     log = F.when(v > 0, F.log(v))
@@ -126,12 +126,14 @@ def outlier_ladder(df: DataFrame, by: Sequence[str], value: str, fixed: float, f
     stats = df.groupBy(*(F.col(c).alias(f"_g_{c}") for c in by)).agg(F.count(v).alias("group_size"), F.avg(v).alias("_mean"), q(0.25).alias("_q1"), q(0.75).alias("_q3"), F.avg(log).alias("_lm"), F.stddev_pop(log).alias("_ls"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by])
     s = df.join(stats, same, "left")
-    by_log = F.exp(F.col("_lm") + sigma * F.col("_ls"))
+    by_log = F.when(F.col("_ls") > 1e-9, F.exp(F.col("_lm") + sigma * F.col("_ls")))
     iqr = F.col("_q3") - F.col("_q1")
     n = F.col("group_size")
-    top = F.when(n <= 2, F.lit(float(fixed))).when(n <= 4, F.col("_mean")).when((n <= 20) & (iqr > 0), F.col("_q3") + fence * iqr).otherwise(by_log)
+    fenced = (n > 4) & (n <= 20) & (iqr > 0)
+    top = F.when(n <= 2, F.lit(float(fixed))).when(n <= 4, F.col("_mean")).when(fenced, F.col("_q3") + fence * iqr).otherwise(by_log)
     out = s.withColumn("threshold", top)
-    return out.withColumn("is_outlier", F.coalesce(v > F.col("threshold"), F.lit(False))).drop(*(f"_g_{c}" for c in by), "_mean", "_q1", "_q3", "_lm", "_ls")
+    over = F.when(fenced, v >= F.col("threshold")).otherwise(v > F.col("threshold"))
+    return out.withColumn("is_outlier", F.coalesce(over, F.lit(False))).drop(*(f"_g_{c}" for c in by), "_mean", "_q1", "_q3", "_lm", "_ls")
 
 
 def top_n_list(df: DataFrame, by: Sequence[str], label: str, value: str, n: int, out: str = "top_list") -> DataFrame:

@@ -50,11 +50,35 @@ def update_arm_stats(events: DataFrame, previous: DataFrame, rate: float, as_of:
     return previous.join(new, "arm", "full").select("arm", (zero(F.col("_c")) + zero(F.col("clicks")) * rate).alias("clicks"), (zero(F.col("_m")) + zero(F.col("misses")) * rate).alias("misses"))
 
 
+def uniforms(key: np.ndarray, stream: int) -> np.ndarray:
+    """Numbers in (0, 1), one for each key, that depend on key and stream alone: the bits of a mixed counter."""
+    u = np.uint64
+    x = key + u((stream + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> u(30))) * u(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> u(27))) * u(0x94D049BB133111EB)
+    return ((x ^ (x >> u(31))) >> u(11)).astype(float) / (1 << 53) + 2.0**-54
+
+
+def gammas(shape: np.ndarray, key: np.ndarray, stream: int) -> np.ndarray:
+    """Gamma draws of shapes of 1 or more by rejection (Marsaglia and Tsang), all keys at once."""
+    d = shape - 1 / 3
+    c, out, left, turn = 1 / np.sqrt(9 * d), np.empty(len(shape)), np.arange(len(shape)), 0
+    while len(left):
+        one, two, three = (uniforms(key[left], (stream << 20) + 3 * turn + i) for i in range(3))
+        normal = np.sqrt(-2 * np.log(one)) * np.cos(2 * np.pi * two)
+        v = (1 + c[left] * normal) ** 3
+        with np.errstate(invalid="ignore", divide="ignore"):
+            fits = (v > 0) & (np.log(three) < 0.5 * normal**2 + d[left] * (1 - v + np.log(v)))
+        out[left[fits]] = (d[left] * v)[fits]
+        left, turn = left[~fits], turn + 1
+    return out
+
+
 def thompson_rank(arms: DataFrame, by: Sequence[str], seed: int, most: int = 500) -> DataFrame:
     """arms, draw, arm_rank: a beta(clicks + 1, misses + 1) draw for each arm, best first.
 
     Counts beyond ``most`` pulls are scaled down. A draw depends on the seed and the arm alone, so a task that runs again
-    draws the same.
+    draws the same. The arms of a group are ranked in one task: they are the choices of one place, some thousands at most.
     """
     n = F.col("clicks") + F.col("misses")
     scale = F.when(n > most, most / n).otherwise(1.0)
@@ -62,7 +86,9 @@ def thompson_rank(arms: DataFrame, by: Sequence[str], seed: int, most: int = 500
     @F.pandas_udf("double")
     def draw(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for a, b, key in parts:
-            yield pd.Series([np.random.default_rng([seed, int(k) & (2**63 - 1)]).beta(x + 1, y + 1) for x, y, k in zip(a, b, key, strict=True)], dtype=float)
+            own = key.to_numpy(np.int64).view(np.uint64)
+            good, bad = (gammas(x.to_numpy(float) + 1, own, 2 * seed + i) for i, x in enumerate((a, b)))
+            yield pd.Series(good / (good + bad))
 
     drawn = arms.withColumn("draw", draw(F.col("clicks") * scale, F.col("misses") * scale, F.xxhash64(*by, "arm")))
     return drawn.withColumn("arm_rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.col("draw").desc(), "arm")))
@@ -87,11 +113,16 @@ def recent_counts(events: DataFrame, user: str, at: str, metric: str, days: int)
     return near.groupBy(user, metric).agg(F.count("*").alias("n"))
 
 
-def time_grain(df: DataFrame, year: str, quarter: str, month: str) -> DataFrame:
-    """grain and grain_weight of a row: month 1, year 1/month of the year, quarter by the month's place in it."""
-    m = F.substring(F.col(month), -2, 2).try_cast("int")
-    grain = F.when(F.col(month).isNotNull(), "month").when(F.col(quarter).isNotNull(), "quarter").when(F.col(year).isNotNull(), "year")
-    return df.withColumn("grain", grain).withColumn("grain_weight", F.when(F.col("grain") == "month", F.try_divide(F.lit(1.0), (m % 3) + 1)).when(F.col("grain") == "quarter", 0.5).when(F.col("grain") == "year", 0.25))
+def time_grain(df: DataFrame, quarter: str, month: str, at: str) -> DataFrame:
+    """grain (month, quarter or year, by which code a row has) and grain_weight by the month of the row's date.
+
+    A month weighs 1, a year 1/month, a quarter 1, 2/3 and 1/3 in its first, second and third month; without a date 1.
+    """
+    m = F.month(at)
+    given = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
+    grain = F.when(given(month), "month").when(given(quarter), "quarter").otherwise("year")
+    weight = F.when(F.col("grain") == "year", 1 / m).when(F.col("grain") == "quarter", F.when(m % 3 == 0, 1 / 3).when(m % 3 == 2, 2 / 3).otherwise(1.0))
+    return df.withColumn("grain", grain).withColumn("grain_weight", F.coalesce(weight, F.lit(1.0)))
 
 
 def coalesce_score(rules: DataFrame, scored: DataFrame, key: str, score: str) -> DataFrame:

@@ -153,7 +153,7 @@ def seasonality_check(series: DataFrame, order: str, value: str, by: Sequence[st
     v = F.col(value).cast("double")
     s = series.withColumn("_r", F.try_divide(v, F.lag(v, period).over(w))).withColumn("seasonal", F.col("_r") - F.lag("_r").over(w))
     before = w.rowsBetween(-back, -1)
-    s = s.withColumns({"_m": F.avg("seasonal").over(before), "_s": F.stddev_pop("seasonal").over(before), "_n": F.row_number().over(w), "_gap": F.coalesce(F.col(order) - F.lag(order).over(w), F.lit(1))})
+    s = s.withColumns({"_m": F.avg("seasonal").over(before), "_s": F.stddev_samp("seasonal").over(before), "_n": F.row_number().over(w), "_gap": F.coalesce(F.col(order) - F.lag(order).over(w), F.lit(1))})
     s = s.withColumn("_gap", F.max("_gap").over(w))
     off = F.abs(F.col("seasonal") - F.col("_m"))
     status = F.when((F.col("_n") <= least) | (F.col("_gap") != 1) | F.col("seasonal").isNull(), "ERROR").when(off <= passes * F.col("_s"), "PASS").when(off <= warns * F.col("_s"), "WARN").otherwise("FAIL")

@@ -136,11 +136,11 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG = "log AS (SELECT 'prod' AS environment, event_type AS sql_name, user_id AS target_key, CAST(json_extract_string(props, '$.k') AS BIGINT) AS row_count, CAST(round(value) AS BIGINT) AS exec_time_ms, event_id % 5 = 0 AS is_error, event_id AS batch_number, ts AS end_at FROM events)"
 
 
-@query(f"WITH {LOG}, l AS (SELECT target_key, sql_name, arg_max(is_error, batch_number) AS bad FROM log GROUP BY 1, 2) SELECT target_key, sql_name FROM l WHERE bad AND target_key < 500")
+@query(f"WITH {LOG}, l AS (SELECT target_key, sql_name, arg_max(is_error, batch_number) AS bad FROM log GROUP BY 1, 2) SELECT target_key, sql_name FROM l WHERE bad")
 def extract_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: failed pairs to run again."""
     own = log(spark, sf_dir)
-    return extract.failed_targets(own, own.select("target_key").distinct().filter("target_key < 500"))
+    return extract.failed_targets(own, own.select("target_key").distinct())
 
 
 @query(f"WITH {LOG} SELECT environment, sql_name, CASE WHEN sql_name = 'view' THEN TIMESTAMP '2024-01-05' ELSE arg_max(end_at, batch_number) END AS next_start FROM log WHERE NOT is_error AND row_count > 0 GROUP BY 1, 2")

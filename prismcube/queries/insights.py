@@ -10,25 +10,26 @@ from prismcube.operators.insight import Dim, InsightSpec, add_diffs, compare_cel
 from prismcube.plans.cube_spec import CubeSpec, Fact
 from prismcube.queries.cubes import STAR, star
 from prismcube.queries.registry import query, read, rounded
+from prismcube.sources.checkpoints import cut
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells by region, flag and quarter number; the quarter is always set."""
+    """Cells by region, flag and quarter number; the quarter is always set. Written once, as every comparison reads them again."""
     df = star(spark, sf_dir).withColumn("seq", (F.col("yr_cd").cast("int") * 4 + F.substring("qtr_cd", 6, 1).cast("int")).cast("string"))
     spec = CubeSpec(dims=("r_name", "l_returnflag", "seq"), mandatory=("seq",), facts=(Fact("revenue"), Fact("quantity", "avg", column="l_quantity")))
     cube = build_cube(df, spec).withColumn("seq", F.col("seq").cast("int")).drop("aggregation_depth")
-    return cube.withColumns({"revenue": F.round("revenue", 4), "quantity": F.round("quantity", 6)})
+    return cut(cube.withColumns({"revenue": F.round("revenue", 4), "quantity": F.round("quantity", 6)}), "cells")
 
 
-CELLS = f"""{STAR}, cells AS (SELECT r_name, l_returnflag, CAST(yr_cd AS INT) * 4 + CAST(substr(qtr_cd, 6, 1) AS INT) AS seq, round(sum(revenue), 4) AS revenue, round(avg(l_quantity), 6) AS quantity
+CELLS = f"""{STAR}, cells AS MATERIALIZED (SELECT r_name, l_returnflag, CAST(yr_cd AS INT) * 4 + CAST(substr(qtr_cd, 6, 1) AS INT) AS seq, round(sum(revenue), 4) AS revenue, round(avg(l_quantity), 6) AS quantity
   FROM star GROUP BY GROUPING SETS ((yr_cd, qtr_cd), (yr_cd, qtr_cd, r_name), (yr_cd, qtr_cd, l_returnflag), (yr_cd, qtr_cd, r_name, l_returnflag)))"""
 SPEC = InsightSpec(dims=(Dim("r_name", "variant", percentile=True), Dim("l_returnflag", "nullvariant", percentile=True), Dim("seq", "ephemeral", (1, 4))), facts=("revenue", "quantity"), rates=("quantity",), group=("seq",))
-PAIRS = f"""{CELLS}, pairs AS (
-  SELECT a.*, b.r_name AS r_name_r, b.l_returnflag AS l_returnflag_r, b.seq AS seq_r, b.revenue AS revenue_r, b.quantity AS quantity_r,
-    CASE WHEN a.r_name > b.r_name THEN 'r_name' WHEN a.seq <> b.seq THEN 'seq' ELSE 'l_returnflag' END AS varying
-  FROM cells a JOIN cells b ON (a.r_name > b.r_name AND a.l_returnflag IS NOT DISTINCT FROM b.l_returnflag AND a.seq = b.seq)
-    OR (a.r_name IS NOT DISTINCT FROM b.r_name AND a.l_returnflag IS NOT NULL AND b.l_returnflag IS NULL AND a.seq = b.seq)
-    OR (a.r_name IS NOT DISTINCT FROM b.r_name AND a.l_returnflag IS NOT DISTINCT FROM b.l_returnflag AND a.seq - b.seq IN (1, 4)))"""
+RIGHT = "b.r_name AS r_name_r, b.l_returnflag AS l_returnflag_r, b.seq AS seq_r, b.revenue AS revenue_r, b.quantity AS quantity_r"
+PAIRS = f"""{CELLS}, pairs AS MATERIALIZED (
+  SELECT a.*, {RIGHT}, 'r_name' AS varying FROM cells a JOIN cells b ON a.seq = b.seq AND a.l_returnflag IS NOT DISTINCT FROM b.l_returnflag WHERE a.r_name > b.r_name
+  UNION ALL SELECT a.*, {RIGHT}, 'l_returnflag' FROM cells a JOIN cells b ON a.seq = b.seq AND a.r_name IS NOT DISTINCT FROM b.r_name WHERE a.l_returnflag IS NOT NULL AND b.l_returnflag IS NULL
+  UNION ALL SELECT a.*, {RIGHT}, 'seq' FROM cells a JOIN cells b ON a.seq - 1 = b.seq AND a.r_name IS NOT DISTINCT FROM b.r_name AND a.l_returnflag IS NOT DISTINCT FROM b.l_returnflag
+  UNION ALL SELECT a.*, {RIGHT}, 'seq' FROM cells a JOIN cells b ON a.seq - 4 = b.seq AND a.r_name IS NOT DISTINCT FROM b.r_name AND a.l_returnflag IS NOT DISTINCT FROM b.l_returnflag)"""
 DIFFS = f"""{PAIRS}, diffs AS (SELECT *, CASE WHEN varying = 'seq' AND revenue <> 0 AND revenue_r <> 0 THEN revenue - revenue_r END AS diff_revenue,
   CASE WHEN varying = 'seq' AND revenue <> 0 AND revenue_r <> 0 THEN 100.0 * (revenue - revenue_r) / abs(revenue_r) END AS pctg_diff_revenue,
   CASE WHEN quantity <> 0 AND quantity_r <> 0 THEN quantity - quantity_r END AS diff_quantity,
@@ -46,8 +47,8 @@ HIER = InsightSpec(dims=(Dim("r_name", "nullvariant", below=("l_returnflag",)),
 
 
 @query(f"""WITH {CELLS} SELECT a.r_name, a.l_returnflag, a.seq, a.revenue, b.r_name AS r_name_r, b.l_returnflag AS l_returnflag_r, b.seq AS seq_r, b.revenue AS revenue_r,
-  CASE WHEN a.l_returnflag IS NULL THEN 'r_name' ELSE 'l_returnflag' END AS varying FROM cells a JOIN cells b ON a.seq = b.seq AND
-  ((a.r_name IS NOT NULL AND b.r_name IS NULL AND a.l_returnflag IS NULL AND b.l_returnflag IS NULL) OR (a.r_name = b.r_name AND a.l_returnflag IS NOT NULL AND b.l_returnflag IS NULL))""")
+  'r_name' AS varying FROM cells a JOIN cells b ON a.seq = b.seq WHERE a.r_name IS NOT NULL AND b.r_name IS NULL AND a.l_returnflag IS NULL AND b.l_returnflag IS NULL
+  UNION ALL SELECT a.r_name, a.l_returnflag, a.seq, a.revenue, b.r_name, b.l_returnflag, b.seq, b.revenue, 'l_returnflag' FROM cells a JOIN cells b ON a.seq = b.seq AND a.r_name = b.r_name WHERE a.l_returnflag IS NOT NULL AND b.l_returnflag IS NULL""")
 def insight_hierarchy_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells against their parents in a hierarchy."""
     own = cells(spark, sf_dir)
@@ -90,8 +91,8 @@ def insight_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN stddev_pop(np) OVER w <> 0 AND np <> 0 THEN (np - avg(np) OVER w) / stddev_pop(np) OVER w END AS znp FROM n WINDOW w AS (PARTITION BY seq, varying)),
   g AS (SELECT *, greatest(abs(zd) / 3, abs(zp), abs(znd), abs(znp)) AS top FROM z)
   SELECT r_name, l_returnflag, seq, r_name_r, l_returnflag_r, seq_r, varying, CAST((r_name IS NOT NULL)::INT + (l_returnflag IS NOT NULL)::INT + 1 AS INT) AS num_dimensions,
-  CASE WHEN abs(zd) / 3 = top THEN 'DIFFERENCE' WHEN abs(zp) = top THEN 'PERCENTAGE_DIFFERENCE' WHEN abs(znd) = top THEN 'NORM_DIFFERENCE' ELSE 'NORM_PERCENTAGE_DIFFERENCE' END AS reason_quantity,
-  round(abs(zd + zp) * abs(pctg_diff_quantity), 2) AS score_quantity FROM g WHERE top IS NOT NULL
+  CASE WHEN abs(zd) / 3 = top THEN 'ABS_DIFF' WHEN abs(zp) = top THEN 'PCTG_DIFF' WHEN abs(znd) = top THEN 'NORM_ABS_DIFF' ELSE 'NORM_PCTG_DIFF' END AS reason_quantity,
+  round(abs(zd + coalesce(zp, 0)) * coalesce(abs(pctg_diff_quantity), 1), 2) AS score_quantity FROM g WHERE top IS NOT NULL
   UNION ALL SELECT r_name, l_returnflag, seq, NULL, NULL, NULL, NULL, CAST((r_name IS NOT NULL)::INT + (l_returnflag IS NOT NULL)::INT + 1 AS INT), 'PERCENTILE_RANKING', NULL FROM cells WHERE (r_name IS NULL) <> (l_returnflag IS NULL)""")
 def insight_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranked and compared rows with reasons and scores."""
@@ -100,11 +101,31 @@ def insight_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights(own, own, spec).drop("metrics_quantity")
 
 
-@query()
+def z_sql(column: str, by: str) -> str:
+    return f"CASE WHEN stddev_pop({column}) OVER ({by}) <> 0 AND {column} <> 0 THEN ({column} - avg({column}) OVER ({by})) / stddev_pop({column}) OVER ({by}) END"
+
+
+def metrics_sql(fact: str) -> str:
+    """A row for each metric of a fact: of the compared pairs, then of the ranked cells."""
+    pair, rank, nothing = "PARTITION BY seq, varying", "PARTITION BY seq, p", "NULL, " * 5 + "NULL"
+    named = [f"diff_{fact}", f"pctg_diff_{fact}", "nd", "np"]
+    dims = "r_name, l_returnflag, seq"
+    return f"""SELECT {dims}, r_name_r, l_returnflag_r, seq_r, varying, '{fact}' AS fact, unnest(x) AS value, unnest(range(15)) AS i, score FROM (
+  SELECT *, [{fact}, {fact}_r, {', '.join(named)}, {', '.join(z_sql(c, pair) for c in named)}, NULL, NULL, NULL, NULL, NULL] AS x, round(abs(pctg_diff_{fact}), 2) AS score
+  FROM (SELECT *, CASE WHEN diff_{fact} > 0 THEN ln(diff_{fact}) END AS nd, CASE WHEN pctg_diff_{fact} > 0 THEN ln(pctg_diff_{fact}) END AS np FROM diffs WHERE abs(pctg_diff_quantity) > 0.5))
+  UNION ALL SELECT {dims}, NULL, NULL, NULL, NULL, '{fact}', unnest(x), unnest(range(15)), NULL FROM (SELECT *, [{fact}, NULL, NULL, NULL, {nothing}, 100 * percent_rank() OVER ({rank} ORDER BY {fact}), min({fact}) OVER ({rank}), max({fact}) OVER ({rank}), {z_sql(fact, rank)}, {z_sql('lf', rank)}] AS x
+  FROM (SELECT *, r_name IS NULL AS p, CASE WHEN {fact} > 0 THEN ln({fact}) END AS lf FROM cells WHERE (r_name IS NULL) <> (l_returnflag IS NULL)))"""
+
+
+@query(f"WITH {DIFFS}, m AS ({metrics_sql('revenue')} UNION ALL {metrics_sql('quantity')}) SELECT r_name, l_returnflag, seq, r_name_r, l_returnflag_r, seq_r, varying, fact, 'BY_' || fact AS reason, score, CAST(i AS INT) AS i, round(value, 4) + 0.0 AS value FROM m")
 def insight_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metrics array of each row."""
+    """The metrics array of each fact and row, one row for each metric; reasons and scores from templates."""
     own = cells(spark, sf_dir)
-    return insights(own, own, InsightSpec(dims=SPEC.dims, facts=("revenue", "quantity"), rates=("quantity",), group=("seq",), reason="'BY_[fact]'", score="abs(pctg_diff_[fact])", prefilter="abs(pctg_diff_quantity) > 0.5"))
+    out = insights(own, own, InsightSpec(dims=SPEC.dims, facts=("revenue", "quantity"), rates=("quantity",), group=("seq",), reason="'BY_[fact]'", score="abs(pctg_diff_[fact])", prefilter="abs(pctg_diff_quantity) > 0.5"))
+    dims = [c for d in SPEC.dims for c in (d.name, f"{d.name}_r")]
+    each = lambda f: F.struct(F.lit(f).alias("fact"), F.col(f"reason_{f}").alias("reason"), F.col(f"score_{f}").alias("score"), F.col(f"metrics_{f}").alias("m"))
+    rows = out.select(*dims, "varying", F.explode(F.array(each("revenue"), each("quantity"))).alias("f"))
+    return rows.select(*dims, "varying", "f.fact", "f.reason", "f.score", F.posexplode("f.m").alias("i", "value")).withColumn("value", F.round("value", 4))
 
 
 MONTHS = """months AS (SELECT n_regionkey, strftime(o_orderdate, '%Y%m') AS mnth, count(*) AS orders, round(sum(o_totalprice), 2) AS total, count(DISTINCT o_custkey) AS customers

@@ -67,14 +67,14 @@ def pattern_hash_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.hash_id(c, ["c_custkey", "n"]).select("c_custkey", "row_id")
 
 
-@query("""WITH g AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, min(l_quantity) OVER w AS lo, max(l_quantity) OVER w AS hi, l_linenumber % 2 AS a, l_orderkey % 2 AS b, (l_linenumber % 2 = 0)::INT + (l_orderkey % 3 = 0)::INT AS n FROM lineitem WINDOW w AS (PARTITION BY l_orderkey))
-  SELECT l_orderkey, l_linenumber, CASE WHEN q = lo THEN 'MIN_' WHEN q = hi THEN 'MAX_' ELSE '' END || 'DIFF' || CASE WHEN a <> b THEN '_TIME' ELSE '' END AS reason, round(q / (1 + n), 4) AS weighted_score FROM g""")
+@query("""WITH g AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, min(l_quantity) OVER w AS lo, max(l_quantity) OVER w AS hi, l_linenumber % 2 AS a, l_orderkey % 2 AS b, l_discount AS mw, CASE WHEN l_returnflag = 'R' THEN 0.5 ELSE 1 END AS w1, CASE WHEN l_linestatus = 'O' THEN 1.25 ELSE 1 END AS w2 FROM lineitem WINDOW w AS (PARTITION BY l_orderkey))
+  SELECT l_orderkey, l_linenumber, CASE WHEN q = lo THEN 'MIN_' WHEN q = hi THEN 'MAX_' ELSE '' END || 'DIFF' || CASE WHEN a <> b THEN '_TIME' ELSE '' END AS reason, round(q * mw * w1 * w2, 6) AS weighted_score FROM g""")
 def pattern_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7, M8: refined reasons and weighted scores."""
     w, o, n = Window.partitionBy("l_orderkey"), F.col("l_orderkey"), F.col("l_linenumber")
-    g = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("q"), F.min("l_quantity").over(w).alias("lo"), F.max("l_quantity").over(w).alias("hi"), (n % 2).alias("a"), (o % 2).alias("b"), F.when(n % 2 == 0, n).alias("d1"), F.when(o % 3 == 0, o).alias("d2"), F.lit("DIFF").alias("reason"))
-    out = m.weight_score(m.refine_reason(g, "reason", "q", "lo", "hi", "a", "b"), "q", ["d1", "d2"])
-    return rounded(out.select("l_orderkey", "l_linenumber", "reason", "weighted_score"))
+    g = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("q"), F.min("l_quantity").over(w).alias("lo"), F.max("l_quantity").over(w).alias("hi"), (n % 2).alias("a"), (o % 2).alias("b"), F.col("l_discount").alias("mw"), F.when(F.col("l_returnflag") == "R", "R").alias("d1"), F.lit(0.5).alias("w1"), F.when(F.col("l_linestatus") == "O", "O").alias("d2"), F.lit(1.25).alias("w2"), F.lit("DIFF").alias("reason"))
+    out = m.weight_score(m.refine_reason(g, "reason", "q", "lo", "hi", "a", "b"), "q", "mw", {"d1": "w1", "d2": "w2"})
+    return rounded(out.select("l_orderkey", "l_linenumber", "reason", "weighted_score"), 6)
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, user_id FROM events")
@@ -112,8 +112,8 @@ def pattern_prune_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH b AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 40 = 0 THEN l_partkey ELSE l_suppkey * 100000 + l_partkey % 4 END AS g, l_quantity AS v FROM lineitem), s AS (SELECT g, count(v) AS n, avg(v) AS a, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3, avg(ln(v)) AS lm, stddev_pop(ln(v)) AS ls FROM b GROUP BY 1)
-  SELECT l_orderkey, l_linenumber, n AS group_size, round(CASE WHEN n <= 2 THEN 40 WHEN n <= 4 THEN a WHEN n <= 20 AND q3 > q1 THEN q3 + 1.25 * (q3 - q1) ELSE exp(lm + 1.5 * ls) END, 4) AS threshold,
-  v > CASE WHEN n <= 2 THEN 40 WHEN n <= 4 THEN a WHEN n <= 20 AND q3 > q1 THEN q3 + 1.25 * (q3 - q1) ELSE exp(lm + 1.5 * ls) END AS is_outlier FROM b JOIN s USING (g)""")
+  SELECT l_orderkey, l_linenumber, n AS group_size, round(CASE WHEN n <= 2 THEN 40 WHEN n <= 4 THEN a WHEN n <= 20 AND q3 > q1 THEN q3 + 1.25 * (q3 - q1) WHEN ls > 0 THEN exp(lm + 1.5 * ls) END, 4) AS threshold,
+  coalesce(CASE WHEN n <= 2 THEN v > 40 WHEN n <= 4 THEN v > a WHEN n <= 20 AND q3 > q1 THEN v >= q3 + 1.25 * (q3 - q1) WHEN ls > 0 THEN (ln(v) - lm) / ls > 1.5 END, false) AS is_outlier FROM b JOIN s USING (g)""")
 def pattern_outlier_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outliers by the size of the group."""
     p, s = F.col("l_partkey"), F.col("l_suppkey")
@@ -200,12 +200,12 @@ def pattern_latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.latest_partition(read(spark, sf_dir, "orders"), "o_orderdate").select("o_orderkey")
 
 
-@query(f"""WITH {SPANS}, w AS (SELECT unnest(generate_series(DATE '1994-12-26', DATE '2001-12-31', INTERVAL 7 DAY))::DATE AS ws), x AS (SELECT o_orderkey, CAST(s AS DATE) AS s, CAST(e AS DATE) AS e FROM spans WHERE e IS NOT NULL AND o_custkey % 10 = 0)
+@query(f"""WITH {SPANS}, w AS (SELECT unnest(generate_series(DATE '1994-12-26', DATE '2001-12-31', INTERVAL 7 DAY))::DATE AS ws), x AS (SELECT o_orderkey, CAST(s AS DATE) AS s, CAST(e AS DATE) AS e FROM spans WHERE e IS NOT NULL)
   SELECT o_orderkey, strftime(ws, '%Y%m%d') AS wk_start, CAST(date_diff('day', greatest(s, ws), least(e, ws + 6)) + 1 AS INT) AS overlap_days FROM x JOIN w ON s <= ws + 6 AND e >= ws""")
 def pattern_overlap_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlap of spans with calendar weeks."""
     weeks = spark.range(1).select(F.explode(F.sequence(F.lit("1994-12-26").cast("date"), F.lit("2001-12-31").cast("date"), F.expr("interval 7 days"))).alias("wk_start")).withColumn("wk_end", F.date_add("wk_start", 6))
-    x = spans(spark, sf_dir).filter("end is not null and o_custkey % 10 = 0")
+    x = spans(spark, sf_dir).filter("end is not null")
     return m.join_overlap(x, weeks, "start", "end").select("o_orderkey", F.date_format("wk_start", "yyyyMMdd").alias("wk_start"), "overlap_days")
 
 
@@ -217,12 +217,12 @@ def pattern_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.enrich(c, dims).select("c_custkey", "n_name", "r_name")
 
 
-@query("""WITH l AS (SELECT user_id AS k, strftime(ts, '%Y%m%d') AS wk, event_type AS t FROM events WHERE user_id % 3 > 0), x AS (SELECT k, max(wk) AS latest_week FROM l GROUP BY 1), u AS (SELECT DISTINCT user_id AS k FROM events)
+@query("""WITH l AS (SELECT user_id AS k, strftime(ts, '%Y%m%d') AS wk, event_type AS t FROM events WHERE ts < TIMESTAMP '2024-01-16'), x AS (SELECT k, max(wk) AS latest_week FROM l GROUP BY 1), u AS (SELECT DISTINCT user_id AS k FROM events)
   SELECT u.k, latest_week, count(*) FILTER (t = 'click') AS n_click, count(*) FILTER (t = 'error') AS n_error FROM u LEFT JOIN x USING (k) LEFT JOIN l ON l.k = u.k AND l.wk = latest_week GROUP BY 1, 2""")
 def pattern_load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest load of each tenant."""
-    e = read(spark, sf_dir, "events").select(F.col("user_id").alias("k"), F.date_format("ts", "yyyyMMdd").alias("wk"), F.col("event_type").alias("t"))
-    return m.load_status(e.select("k").distinct(), e.filter("k % 3 > 0"), "k", "wk", "t", ["click", "error"])
+    e = read(spark, sf_dir, "events").select(F.col("user_id").alias("k"), "ts", F.date_format("ts", "yyyyMMdd").alias("wk"), F.col("event_type").alias("t"))
+    return m.load_status(e.select("k").distinct(), e.filter("ts < timestamp '2024-01-16'").drop("ts"), "k", "wk", "t", ["click", "error"])
 
 
 @query("SELECT '202401' AS wk_cd, count(*) AS n FROM supplier UNION ALL SELECT '202402', count(*) FROM supplier WHERE s_nationkey < 5")
@@ -234,14 +234,15 @@ def pattern_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(at).groupBy(F.col("wk_cd").cast("string").alias("wk_cd")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH a AS (SELECT o_orderstatus AS st, o_orderpriority AS pr, sum(o_totalprice) AS total FROM orders GROUP BY CUBE (1, 2)), b AS (SELECT o_orderstatus AS st, o_orderpriority AS pr, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0 GROUP BY CUBE (1, 2))
-  SELECT a.st, a.pr, n, round(total / n, 4) AS per_order, round(n / (SELECT max(n) FROM b WHERE st IS NULL AND pr IS NULL), 4) AS n_share FROM a JOIN b ON a.st IS NOT DISTINCT FROM b.st AND a.pr IS NOT DISTINCT FROM b.pr""")
+@query("""WITH a AS (SELECT o_orderstatus AS st, o_orderpriority AS pr, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY CUBE (1, 2)), b AS (SELECT o_orderstatus AS st, o_orderpriority AS pr, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY CUBE (1, 2))
+  SELECT a.st, a.pr, n, round(total / n, 4) AS per_line, round(n / (SELECT max(n) FROM b WHERE st IS NULL AND pr IS NULL), 4) AS n_share FROM a JOIN b ON a.st IS NOT DISTINCT FROM b.st AND a.pr IS NOT DISTINCT FROM b.pr""")
 def pattern_drill_across(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two cubes side by side, ratios and shares."""
+    """A cube of orders and one of their lines side by side, ratios and shares."""
     o = read(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("st"), F.col("o_orderpriority").alias("pr"), "o_totalprice", "o_orderkey")
-    a = o.cube("st", "pr").agg(F.sum("o_totalprice").alias("total"))
-    b = o.filter("o_orderkey % 2 = 0").cube("st", "pr").agg(F.count("*").alias("n"))
-    return rounded(m.drill_across([a, b], ["st", "pr"], {"per_order": ("total", "n")}, "n").drop("total"))
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    a = o.cube("st", "pr").agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
+    b = o.join(lines, "o_orderkey").cube("st", "pr").agg(F.count("*").alias("n"))
+    return rounded(m.drill_across([a, b], ["st", "pr"], {"per_line": ("total", "n")}, "n").drop("total"))
 
 
 @query("SELECT s_suppkey, s_nationkey, 'own' AS src FROM supplier WHERE s_suppkey % 3 = 0 UNION ALL SELECT s_suppkey, s_nationkey + 1, 'hand' FROM supplier WHERE s_suppkey % 3 <> 0")
@@ -266,7 +267,8 @@ def pattern_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", m.band("o_totalprice", [1000, 50000, 100000]).alias("band"))
 
 
-@query()
+@query("""WITH f AS (SELECT o_custkey, min(o_orderdate) AS f FROM orders GROUP BY 1), m AS (SELECT *, (2001 - year(f)) * 12 + 12 - month(f) AS whole, CAST(last_day(CAST(f AS DATE)) AS DATE) = CAST(f AS DATE) OR day(f) = 31 AS even FROM f)
+  SELECT o_custkey, round(round(whole + CASE WHEN even THEN 0 ELSE (86400.0 * (31 - day(f)) - date_diff('second', date_trunc('day', f), f)) / (31 * 86400) END, 8) / 12, 2) AS tenure FROM m""")
 def pattern_tenure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years since the first order at a period's end."""
     first = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"))

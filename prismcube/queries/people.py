@@ -73,8 +73,8 @@ def hierarchy_access(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hierarchy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of all descendants by ancestor."""
     k = F.col("l_partkey")
-    facts = read(spark, sf_dir, "lineitem").groupBy(k.alias("node"), (k % 4).alias("grp")).agg(F.sum("l_quantity").alias("q"), F.count("*").alias("c"))
-    out = hierarchy.rollup_to_ancestors(facts, hierarchy_closure(spark, sf_dir), "node", [F.sum("q").alias("quantity"), F.sum("c").alias("items")], ["grp"])
+    facts = read(spark, sf_dir, "lineitem").select(k.alias("node"), (k % 4).alias("grp"), "l_quantity")
+    out = hierarchy.rollup_to_ancestors(facts, hierarchy_closure(spark, sf_dir), "node", {"quantity": "l_quantity", "items": "1"}, ["grp"])
     return out.withColumn("quantity", F.round("quantity", 2))
 
 
@@ -210,12 +210,12 @@ def rank_recent_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'month' WHEN o_orderkey % 3 = 0 THEN 'quarter' ELSE 'year' END AS grain,
-  round(CASE WHEN o_orderkey % 2 = 0 THEN 1.0 / (month(o_orderdate) % 3 + 1) WHEN o_orderkey % 3 = 0 THEN 0.5 ELSE 0.25 END, 4) AS grain_weight FROM orders""")
+  round(CASE WHEN o_orderkey % 2 = 0 THEN 1.0 WHEN o_orderkey % 3 = 0 THEN [1.0 / 3, 1.0, 2.0 / 3][month(o_orderdate) % 3 + 1] ELSE 1.0 / month(o_orderdate) END, 4) AS grain_weight FROM orders""")
 def rank_time_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grain and weight of each row."""
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    o = read(spark, sf_dir, "orders").select("o_orderkey", F.year(d).cast("string").alias("y"), F.when(k % 3 == 0, F.quarter(d).cast("string")).alias("q"), F.when(k % 2 == 0, F.date_format(d, "yyyyMM")).alias("m"))
-    return rounded(ranking.time_grain(o, "y", "q", "m").select("o_orderkey", "grain", "grain_weight"))
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.when(k % 3 == 0, F.quarter(d).cast("string")).alias("q"), F.when(k % 2 == 0, F.date_format(d, "yyyyMM")).alias("m"))
+    return rounded(ranking.time_grain(o, "q", "m", "o_orderdate").select("o_orderkey", "grain", "grain_weight"))
 
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN s_acctbal * 2 ELSE s_acctbal END AS score FROM supplier")
@@ -225,10 +225,13 @@ def rank_coalesced_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.coalesce_score(s, s.filter(F.col("s_suppkey") % 4 == 0).withColumn("score", F.col("score") * 2), "s_suppkey", "score")
 
 
-@query()
+@query("""WITH e AS (SELECT ts > TIMESTAMP '2024-01-17' AS test FROM events WHERE ts > TIMESTAMP '2023-11-03' AND ts <= TIMESTAMP '2024-02-01') SELECT test, count(*) AS n, true AS fair FROM e GROUP BY 1""")
 def rank_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test, validation and training rows."""
-    return ranking.time_split(read(spark, sf_dir, "events"), "ts", "2024-02-01", "event_id").select("event_id", "fold")
+    """Test rows by date; of the others a fifth, within four deviations, is for validation."""
+    folds = ranking.time_split(read(spark, sf_dir, "events"), "ts", "2024-02-01", "event_id")
+    n = folds.groupBy((F.col("fold") == "test").alias("test")).agg(F.count("*").alias("n"), F.count_if(F.col("fold") == "validation").alias("v"))
+    share = F.abs(F.col("v") - 0.2 * F.col("n")) <= 4 * F.sqrt(0.16 * F.col("n"))
+    return n.select("test", "n", F.when(F.col("test"), F.col("v") == 0).otherwise(share).alias("fair"))
 
 
 @query()

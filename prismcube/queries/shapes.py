@@ -74,7 +74,7 @@ def shape_dixon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {MONTHLY}, r AS (SELECT *, n / lag(n, 12) OVER w AS r, row_number() OVER w AS k, seq - lag(seq) OVER w AS step FROM m WINDOW w AS (ORDER BY seq)), s AS (SELECT *, r - lag(r) OVER (ORDER BY seq) AS s FROM r),
-  t AS (SELECT *, avg(s) OVER b AS a, stddev_pop(s) OVER b AS d, max(coalesce(step, 1)) OVER (ORDER BY seq) AS gap FROM s WINDOW b AS (ORDER BY seq ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING))
+  t AS (SELECT *, avg(s) OVER b AS a, stddev_samp(s) OVER b AS d, max(coalesce(step, 1)) OVER (ORDER BY seq) AS gap FROM s WINDOW b AS (ORDER BY seq ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING))
   SELECT mnth, n, round(s, 4) AS seasonal, CASE WHEN k <= 37 OR gap <> 1 OR s IS NULL THEN 'ERROR' WHEN abs(s - a) <= 2 * d THEN 'PASS' WHEN abs(s - a) <= 3 * d THEN 'WARN' ELSE 'FAIL' END AS status FROM t""")
 def shape_seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seasonal check on monthly counts."""

@@ -40,12 +40,12 @@ def text_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH w AS (SELECT c_custkey, c_mktsegment AS word, c_nationkey FROM customer), v AS (SELECT c_mktsegment AS word, CAST(length(c_mktsegment) AS DOUBLE) AS x, CAST(ascii(c_mktsegment) AS DOUBLE) AS y FROM customer GROUP BY 1)
   SELECT c_nationkey, round(avg(x), 4) AS x, round(avg(y), 4) AS y FROM w JOIN v USING (word) GROUP BY 1""")
 def text_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O3: the mean of token vectors."""
+    """O3: the mean of each customer's token vectors, averaged by nation."""
     c = read(spark, sf_dir, "customer")
-    words = c.groupBy("c_nationkey").agg(F.collect_list("c_mktsegment").alias("tokens"))  # a few tokens for each customer of a nation
+    words = c.select("c_custkey", F.array("c_mktsegment").alias("tokens"))
     v = c.select(F.col("c_mktsegment").alias("word")).distinct().withColumn("vector", F.array(F.length("word").cast("double"), F.ascii("word").cast("double")))
-    out = t.embed_text(words, "tokens", v, "c_nationkey")
-    return rounded(out.select("c_nationkey", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y")))
+    out = t.embed_text(words, "tokens", v, "c_custkey").join(c.select("c_custkey", "c_nationkey"), "c_custkey")
+    return rounded(out.groupBy("c_nationkey").agg(F.avg(F.col("embedding")[0]).alias("x"), F.avg(F.col("embedding")[1]).alias("y")))
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 5 > 0 THEN c_name END AS name, CASE WHEN c_custkey % 5 > 0 THEN c_nationkey END AS nation FROM customer")

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (tests), a folder of this machine."""
+    """spark.checkpoint.dir. Only a session of one machine (tests) may leave it unset: it gets a folder of that machine."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FILE_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+WRITING = Lock()
+
 
 def load(spark: SparkSession, table: str | None = None, path: str | None = None, sql: str | None = None, fmt: str = "parquet") -> DataFrame:
     """A table, a path or a query."""
@@ -74,26 +78,28 @@ def partition_spec(partitions: Sequence[str]) -> tuple[dict[str, str], list[str]
     return {k.lower(): v for k, v in static.items()}, [p.split("=", 1)[0].lower() for p in partitions]
 
 
-def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), mode: str = "overwrite", fmt: str = "parquet", target_file_mb: int = 150, options: Mapping[str, str] | None = None) -> None:
+def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), mode: str = "overwrite", fmt: str = "parquet", target_file_mb: int = 150, options: Mapping[str, str] | None = None, whole: bool = False) -> None:
     """Writes df, lower-cased, under path; partitions are static (``c=v``) or dynamic (``c``), in any order.
 
-    Overwriting replaces the partitions that df has and leaves the others. Rows are rebalanced by partition so that files
-    come out near the target size, whatever the skew of the partitions.
+    Overwriting replaces the partitions that df has and leaves the others, or with ``whole`` the table. Rows are rebalanced
+    by partition so that files come out near the target size, whatever the skew of the partitions. Spark takes that size
+    from a setting of the session, so writers in one process take turns.
     """
     static, names = partition_spec(partitions)
     out = empty_to_null(df.toDF(*(c.lower() for c in df.columns)))
     out = out.withColumns({k: F.lit(v) for k, v in static.items()})
     spark = df.sparkSession
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{target_file_mb}m")
-    try:
-        even = out.hint("rebalance", *names) if names else out.hint("rebalance")
-        writer = even.write.format(fmt).mode(mode).options(**(options or {}))
-        if names:
-            writer = writer.partitionBy(*names).option("partitionOverwriteMode", "dynamic")
-        writer.save(path)
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    even = out.hint("rebalance", *names) if names else out.hint("rebalance")
+    writer = even.write.format(fmt).mode(mode).options(**(options or {}))
+    if names:
+        writer = writer.partitionBy(*names).option("partitionOverwriteMode", "static" if whole else "dynamic")
+    with WRITING:
+        before = spark.conf.get(FILE_SIZE)
+        spark.conf.set(FILE_SIZE, f"{target_file_mb}m")
+        try:
+            writer.save(path)
+        finally:
+            spark.conf.set(FILE_SIZE, before)
 
 
 def insert_select(spark: SparkSession, sql: str, path: str, **options: object) -> None:
@@ -160,11 +166,11 @@ def exclude_ids(df: DataFrame, column: str, ids: Sequence[str]) -> DataFrame:
 
 
 def sync_table(spark: SparkSession, src: DataFrame, path: str, partitions: Sequence[str] = (), force: bool = False) -> None:
-    """Brings the copy under path up to date (J1): whole, or by adding the missing partitions."""
+    """Brings the copy under path up to date (J1): whole, with nothing of the old copy left, or by adding the missing partitions."""
     dst = spark.read.parquet(path) if exists(spark, path) else None
     rows = sync_plan(src, dst, partitions, force)
     whole = dst is None or force or not same_columns(src, dst)
-    write_table(rows, path, partitions, "overwrite" if whole else "append")
+    write_table(rows, path, partitions, "overwrite" if whole else "append", whole=whole)
 
 
 def archive_snapshot(df: DataFrame, path: str, week: str) -> None:

@@ -210,3 +210,103 @@ def test_stream_wrapper(spark, tmp_path):
     q = for_each_batch(stream, str(tmp_path / "cp"), lambda df, n: df.write.mode("overwrite").parquet(str(tmp_path / f"out{n}")))
     q.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out0")).count() == 10
+
+
+def test_time_grain_weights(spark):
+    rows = [(1, "2024Q1", "202401", "2024-01-31"), (2, "2024Q2", None, "2024-04-01"), (3, "2024Q2", "", "2024-05-01"), (4, "2024Q2", None, "2024-06-01"), (5, None, None, "2024-10-09"), (6, None, None, None)]
+    df = spark.createDataFrame(rows, "k int, q string, m string, at string").withColumn("at", F.col("at").cast("date"))
+    got = {r["k"]: (r["grain"], round(r["grain_weight"], 4)) for r in ranking.time_grain(df, "q", "m", "at").collect()}
+    assert got == {1: ("month", 1.0), 2: ("quarter", 1.0), 3: ("quarter", 0.6667), 4: ("quarter", 0.3333), 5: ("year", 0.1), 6: ("year", 1.0)}
+
+
+def test_weighted_scores(spark):
+    df = spark.createDataFrame([(1, 10.0, 2.0, "a", 0.5, None, 7.0), (2, 10.0, 1.0, None, 0.5, "b", 3.0), (3, None, 1.0, "a", 0.5, "b", 3.0)], "k int, s double, w double, d string, dw double, e string, ew double")
+    got = {r["k"]: r["weighted_score"] for r in patterns.weight_score(df, "s", "w", {"d": "dw", "e": "ew"}).collect()}
+    assert got == {1: 10.0, 2: 30.0, 3: None}
+
+
+def test_values_on_the_fence_are_outliers(spark):
+    fenced = [("f", v) for v in (1.0, 2.0, 3.0, 4.0, 5.5)]  # Q1 2, Q3 4, fence 6.5
+    rows = [*fenced, ("g", 1.0), ("g", 2.0), ("g", 3.0), ("g", 4.0), ("g", 6.5)] + [("c", 5.0)] * 30 + [("one", 40.0), ("two", 41.0)]
+    out = patterns.outlier_ladder(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", 40, exact=True)
+    assert {(r["g"], r["v"]) for r in out.filter("is_outlier").collect()} == {("g", 6.5), ("two", 41.0)}
+
+
+def test_seasonality_takes_the_sample_deviation(spark):
+    """At the edge between PASS and WARN the sample deviation is the wider one."""
+    rows = [(i, 100.0 + (i * 7919 % 13)) for i in range(60)]
+    out = [r.asDict() for r in shape.seasonality_check(spark.createDataFrame(rows, "seq int, v double"), "seq", "v").orderBy("seq").collect()]
+    ratio = {i: rows[i][1] / rows[i - 12][1] for i in range(12, 60)}
+    moved = {i: ratio[i] - ratio[i - 1] for i in range(13, 60)}
+    for i in range(37, 60):
+        before = [moved[j] for j in range(max(13, i - 50), i)]
+        mean = sum(before) / len(before)
+        deviation = (sum((x - mean) ** 2 for x in before) / (len(before) - 1)) ** 0.5
+        off = abs(moved[i] - mean)
+        assert out[i]["status"] == ("PASS" if off <= 2 * deviation else "WARN" if off <= 3 * deviation else "FAIL")
+
+
+def test_forced_copies_leave_nothing_old(spark, tmp_path):
+    at = f"file://{tmp_path}/copy"
+    old, new = (spark.createDataFrame(x, "k int, p string") for x in ([(1, "a"), (2, "b")], [(3, "a")]))
+    tables.sync_table(spark, old, at, ["p"])
+    tables.sync_table(spark, new, at, ["p"], force=True)
+    assert [tuple(r) for r in spark.read.parquet(at).select("k", "p").collect()] == [(3, "a")]
+    tables.sync_table(spark, new.select(F.col("k").cast("string").alias("k"), F.lit("c").alias("p")), at, ["p"])
+    assert [tuple(r) for r in spark.read.parquet(at).select("k", "p").collect()] == [("3", "c")]
+
+
+def test_scores_without_percentage(spark):
+    df = spark.createDataFrame([(2.0, 1.0, 10.0), (2.0, None, None), (None, 1.0, 10.0)], "zscore_diff_f double, zscore_pctg_diff_f double, pctg_diff_f double")
+    spec = insight.InsightSpec(dims=(insight.Dim("d"),), facts=("f",))
+    assert [r[0] for r in df.select(insight.score_of("f", spec)).collect()] == [30.0, 2.0, None]
+
+
+def test_facts_cross_the_closure_once(spark):
+    facts = spark.createDataFrame([(2, 1.0), (2, 2.0), (3, 4.0)], "node int, x double")
+    pairs = spark.createDataFrame([(2, 1), (3, 2), (3, 1)], "node int, ancestor int")
+    out = hierarchy.rollup_to_ancestors(facts, pairs, "node", {"total": "x", "n": "1", "twice": "2 * x"})
+    assert sorted(map(tuple, out.collect())) == [(1, 7.0, 3, 14.0), (2, 4.0, 1, 8.0)]
+
+
+def test_draws_have_the_moments_of_beta(spark):
+    arms = spark.range(20000).select(F.lit("x").alias("by"), F.col("id").alias("arm"), F.lit(3).alias("clicks"), F.lit(7).alias("misses"))
+    d = ranking.thompson_rank(arms, ["by"], 5).agg(F.avg("draw").alias("m"), F.var_samp("draw").alias("v"), F.min("draw").alias("low"), F.max("draw").alias("high")).first()
+    assert abs(d["m"] - 1 / 3) < 0.005 and abs(d["v"] - 4 * 8 / (144 * 13)) < 0.001 and 0 < d["low"] < d["high"] < 1
+
+
+def test_mandatory_dimensions_deal_the_input(spark):
+    df = spark.range(100).select((F.col("id") % 9).alias("a"), (F.col("id") % 2).alias("b"))
+    spec = lambda d: CubeSpec(facts=ONE, dims=("a", "b"), mandatory=(d,))
+    assert "hashpartitioning(a" in cube.explain_cube(cube.distribute(df, spec("a")), spec("a")).replace("#", " ").replace("(a ", "(a ")
+    assert cube.distribute(df, spec("b")) is df
+
+
+def test_jdbc_reads_and_writes_are_bounded():
+    """A stand-in for Spark's reader and writer: the predicates, and the number of writers."""
+    seen = {}
+
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            seen.update(url=url, table=table, predicates=predicates, properties=properties)
+
+    class Spark:
+        read = Reader()
+
+    cuts = extract.stride_predicates("id", 0, 100, 4)
+    tables.load_jdbc(Spark(), {"url": "u", "dbtable": "t", "fetchsize": "1000"}, cuts)
+    assert seen == {"url": "u", "table": "t", "predicates": cuts, "properties": {"fetchsize": "1000"}} and len(cuts) == 4
+
+    class Writer:
+        def __getattr__(self, name):
+            return lambda *a, **k: seen.setdefault(name, (a, k)) and self
+
+    class Frame:
+        write = Writer()
+
+        def repartition(self, n):
+            seen["writers"] = n
+            return self
+
+    delta.export_jdbc(Frame(), {"url": "u", "dbtable": "t"}, 3)
+    assert seen["writers"] == 3 and seen["format"][0] == ("jdbc",) and seen["mode"][0] == ("append",) and seen["options"][1] == {"url": "u", "dbtable": "t"}

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 #: Fixed: the word characters of every contract are those outside these six blanks.
 BLANK = r"[ \t\n\x0B\f\r]"
-#: Spark's setting by which the shuffle files of a query go when it ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's settings while a table is written: the shuffle files behind it go when it is done, and Python gets batches of bounded size.
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,12 +33,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, at: str) -> DataFrame:
     """df written to a path and read again; the shuffle files behind it go as soon as it is written."""
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+    before = {k: conf.get(k) for k in WHILE_WRITING}
+    for k, v in WHILE_WRITING.items():
+        conf.set(k, v)
     try:
         df.write.mode("overwrite").parquet(at)
     finally:
-        conf.set(CLEANUP, before)
+        for k, v in before.items():
+            conf.set(k, v)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 

@@ -49,7 +49,7 @@ SKETCH_SHINGLES, SKETCH_BYTES = 8_000_000, 1 << 22
 #: Classes of a tile up to which a table holds its pairs.
 TABLE = 4096
 #: Bytes of texts hashed at once (a longer text in stretches), blocks counted or packed at once, blocks in a bucket, names of texts remembered in a task.
-AT_ONCE, KEYS_AT_ONCE, BUCKET_KEYS, REMEMBERED = 1 << 20, 1 << 20, 1_000_000, 200_000
+AT_ONCE, COUNTED_AT_ONCE, PACKED_AT_ONCE, BUCKET_KEYS, REMEMBERED = 1 << 18, 1 << 20, 1 << 18, 1_000_000, 100_000
 U = np.uint64
 #: Base and its inverse modulo 2**64 of the rolling sum, and a table of odd words for bytes, all from one rule.
 BASE = 0x9E3779B97F4A7C15
@@ -274,7 +274,7 @@ def hashed(docs: DataFrame, size: int) -> DataFrame:
                 none = [pa.nulls(len(n), pa.int64())] * 2
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], pa.array(n, pa.int64()), pa.array(cls, mask=n == 0), pa.array(bits, pa.binary()), *none], names)
                 held += [keys for _, _, keys, _ in all_blocks(h, some)] if len(some) else []
-                if sum(map(len, held)) >= KEYS_AT_ONCE:
+                if sum(map(len, held)) >= COUNTED_AT_ONCE:
                     yield counts(held)
                     held = []
             if held:
@@ -328,7 +328,7 @@ def keyed(docs: DataFrame, common: np.ndarray, size: int, buckets: int) -> DataF
                     seen.clear()
                 h, n, names = h[np.repeat(fresh, n)], n[fresh], names[fresh].view(np.uint64)
                 held += [(keys, names[own]) for keys, own in prefix_blocks(h, n, known) if len(keys)]
-                if sum(len(keys) for keys, _ in held) >= KEYS_AT_ONCE:
+                if sum(len(keys) for keys, _ in held) >= PACKED_AT_ONCE:
                     yield packed(*map(np.concatenate, zip(*held, strict=True)), known)
                     held = []
         if held:
@@ -453,7 +453,7 @@ class PairSet:
             return
         self.codes.append(x * self.m + y)
         self.held += len(x)
-        if self.held > KEYS_AT_ONCE:
+        if self.held > COUNTED_AT_ONCE:
             self.pairs()
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:

@@ -67,6 +67,24 @@ def test_byte_bpe_round_trip(odd):
         assert bytes(r["decoded"]).decode() == (r["text"] or "")
 
 
+def test_long_texts_in_small_batches(spark, monkeypatch):
+    """A text of more pieces than are handled at once, handed out with short and null ones; a column named ids is replaced."""
+    import tiktoken
+
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.load_ranks(RANKS), special_tokens={})
+    rnd = random.Random(12)
+    long = " ".join(rnd.choice(["ab", "Cde", "1234", "é!", "x" * 70]) for _ in range(120_000))
+    data = [(1, long, 1), (2, None, 1), (3, "short", 1), (3, "short", 1), (4, long + "end", 1)]
+    df = spark.createDataFrame(data, "doc_id long, text string, ids int").coalesce(1)
+    got = byte_bpe.encode(df, RANKS, public_tokenizers.PATTERN, keep_text=False)
+    assert got.columns == ["doc_id", "ids"]
+    assert [(r["doc_id"], r["ids"]) for r in got.orderBy("doc_id").collect()] == [(d, own.encode_ordinary(x or "")) for d, x, _ in data]
+    bpe = byte_bpe.coder(RANKS, public_tokenizers.PATTERN)
+    monkeypatch.setattr(byte_bpe, "AT_ONCE", 100)
+    ids = own.encode_ordinary(long[:5000])
+    assert bpe.encode(long[:5000]) == ids and bpe.digest(long[:5000])[0] == len(ids)
+
+
 def test_segment_tree_on_long_pieces():
     import tiktoken
 
@@ -214,6 +232,20 @@ def test_a_hot_passage_is_sent_once_by_each_batch():
     assert sorted(keys.tolist()) == [*range(1, 101)] and {*places.tolist()} == {5}
 
 
+def test_names_of_starts_far_apart(monkeypatch):
+    import numpy as np
+
+    raw = np.frombuffer(bytes(random.Random(13).randrange(97, 99) for _ in range(5000)), np.uint8)
+    starts = np.r_[np.arange(0, 300), np.arange(2000, 2010), np.arange(4700, 4990)]
+    whole = suffix_dedup.prefix_names(raw, starts, 10)
+    same = {}
+    for s, n in zip(starts.tolist(), whole.tolist(), strict=True):
+        assert same.setdefault(raw[s : s + 10].tobytes(), n) == n
+    assert len({*same.values()}) == len(same)
+    monkeypatch.setattr(suffix_dedup, "STARTS_AT_ONCE", 64)
+    assert np.array_equal(suffix_dedup.prefix_names(raw, starts, 10), whole)
+
+
 def test_covers_are_difference_covers():
     for v, cover in suffix_dedup.COVERS.items():
         assert {(a - b) % v for a in cover for b in cover} == {*range(v)}

@@ -173,12 +173,12 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRE
     """
     states = States(docs.sparkSession, "secrets")
     found = findings(docs, remember(docs, states, ledger, rules), rules)
-    blobs = states.save(found.select("blob").distinct().withColumn("_hit", F.lit(True)), "blobs")
+    blobs = states.save(found.select(F.col("blob").alias("_hit")).distinct(), "blobs")
     text = out = F.col("text")
     for r in rules:
         out = F.regexp_replace(marked(out, r), f"{OPEN}[^{CLOSE}]*+{CLOSE}", mask)
     named = docs.withColumn("_blob", F.sha2(text_of().cast("binary"), 256))
-    done = named.join(dealt(blobs, F.lit(64)), F.col("_blob") == F.col("blob"), "left").withColumn("text", F.when(F.col("_hit"), out).otherwise(text))
+    done = named.join(dealt(blobs, F.lit(64)), F.col("_blob") == F.col("_hit"), "left").withColumn("text", F.when(F.col("_hit").isNotNull(), out).otherwise(text))
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("_hit"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        done = done.withColumn("n_chars", F.when(F.col("_hit").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return done.select(*docs.columns)

@@ -26,9 +26,11 @@ BROADCAST_IDS = 1_000_000
 NUMBER, UNIT, NAME = "\ue010", "\ue011", "\ue012"
 #: Numbers as words.
 NUMBER_WORDS = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion"
-_NUMBER = rf"\p{{N}}++(?:[.,:/]\p{{N}}++)*+|(?=[TFSENHMBtfsenhmb])(?<![\p{{L}}\p{{N}}])(?i:{NUMBER_WORDS})(?![\p{{L}}\p{{N}}])"
+_NUMBER = r"\p{N}++(?:[.,:/]\p{N}++)*+"
 #: Units of measure.
 UNITS = "km|cm|mm|m|kg|g|mg|lb|lbs|oz|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|meters?|metres?|feet|foot|inch|inches|dollars?|euros?|cents?|percent|degrees?|kmh|mph|usd|eur|gb|mb|kb|hz|khz|mhz|watts?|volts?"
+#: The units that are words, in both numbers.
+UNIT_WORDS = tuple(sorted({x.replace("?", "") for x in UNITS.split("|")} | {x[:-2] for x in UNITS.split("|") if x.endswith("?")}))
 #: Runs of blanks but a single space; each becomes one, so that at most two follow a placeholder.
 _BLANKS = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*+| [\s\p{Z}]++"
 _UNIT = rf"(?<={NUMBER} {{0,2}})(?i:{UNITS}|%|°C|°F|€|\$)(?![\p{{L}}\p{{N}}])"
@@ -49,32 +51,44 @@ def canonical(text: Column) -> Slots:
     """The template of a text; values: for each placeholder, the string and pattern that give its values in order."""
     held = F.when(text.rlike(_MARKS), F.regexp_replace(text, _MARKS, " ")).otherwise(text)
     held = F.regexp_replace(held, _BLANKS, " ")
-    numbers = F.regexp_replace(held, _NUMBER, f" {NUMBER} ")
+    numbers = F.when(held.rlike(r"\p{N}"), F.regexp_replace(held, _NUMBER, f" {NUMBER} ")).otherwise(held)
     units = F.when(numbers.contains(NUMBER), F.regexp_replace(numbers, _UNIT, f" {UNIT} ")).otherwise(numbers)
     names = F.regexp_replace(units, _NAME, f" {NAME} ")
     return Slots(names, {NUMBER: (held, _NUMBER), UNIT: (numbers, _UNIT), NAME: (units, _NAME)})
 
 
-def template_words(text: Column) -> Column:
+def raw_words(text: Column) -> Column:
+    """The words of a template, numbers and units as words still in place."""
     return F.array_remove(F.split(F.lower(canonical(text).template), _BETWEEN), "")
 
 
+def typed(words: Column) -> Column:
+    """Words in which numbers as words, and unit words after them, are placeholders too."""
+    number = lambda w: w.isin(*NUMBER_WORDS.split("|"))
+    unit = lambda w, i: w.isin(*UNIT_WORDS) & (i > 0) & number(F.get(words, i - 1))
+    each = F.transform(words, lambda w, i: F.when(number(w), NUMBER).when(unit(w, i), UNIT).otherwise(w))
+    return F.when(F.exists(words, number), each).otherwise(words)
+
+
+def with_words(rows: DataFrame) -> DataFrame:
+    """rows and ``words``: the template of ``text``. The raw words are a column of their own, so that they are made once."""
+    return rows.withColumn("_raw", raw_words(F.col("text"))).withColumn("words", typed(F.col("_raw"))).drop("_raw")
+
+
 def windows_of(words: Column, size: int) -> Column:
     """The hashes of all windows of ``size`` words, by place; nothing for shorter texts."""
     hashes = F.transform(F.sequence(F.lit(1), F.size(words) - (size - 1)), lambda i: F.xxhash64(F.slice(words, i, size)))
     return F.when(F.size(words) >= size, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
-def places_of(mark: str) -> Column:
-    return F.filter(F.transform("words", lambda w, i: F.when(w == mark, i)), lambda x: x.isNotNull())
-
-
 def slots_of(rows: DataFrame, key: str) -> DataFrame:
     """key, place (of the word), value (lower case) of every slot of rows (key, text, words)."""
+    rows = rows.withColumn("_raw", raw_words(F.col("text")))
     values = canonical(F.col("text")).values
-    each = []
+    as_words = F.transform("_raw", lambda w, i: F.when(w != F.get("words", i), F.struct(i.alias("place"), w.alias("value"))))
+    each = [F.filter(as_words, lambda x: x.isNotNull())]
     for mark, (held, pattern) in values.items():
-        places = places_of(mark)
+        places = F.filter(F.transform("_raw", lambda w, i: F.when(w == mark, i)), lambda x: x.isNotNull())  # noqa: B023  called at once
         found = F.regexp_extract_all(held, F.lit(pattern), F.lit(0))
         each.append(F.arrays_zip(places.alias("place"), F.transform(found, lambda x: F.lower(x)).alias("value")))
     slots = rows.select(key, F.explode(F.concat(*each)).alias("slot"))
@@ -86,7 +100,7 @@ def benchmark_windows(benchmark: DataFrame, size: int = WORDS) -> DataFrame:
 
     Windows without a literal word say nothing and are left out; items of which nothing is left can't be found.
     """
-    items = benchmark.select("item_id", text_of().alias("text")).withColumn("words", template_words(F.col("text")))
+    items = with_words(benchmark.select("item_id", text_of().alias("text")))
     items = items.filter(F.size("words") > 0).withColumn("size", F.least(F.size("words"), F.lit(size)))
     words = F.col("words")
     places = F.sequence(F.lit(1), F.size(words) - F.col("size") + 1)
@@ -108,10 +122,10 @@ def found_items(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, share:
     lengths, small = sorted(r["size"] for r in facts), sum(r["n"] for r in facts) <= BROADCAST_WINDOWS
     texts = docs.select("doc_id", text_of().alias("text"))
     known = exploded.select("size", "hash").distinct()
-    words = texts.select("doc_id", template_words(F.col("text")).alias("words"))
+    words = with_words(texts).select("doc_id", "words")
     # one pass over the texts: the windows of all lengths
-    windows = F.flatten(F.array(*(F.transform(windows_of(F.col("words"), n), lambda h, i: F.struct(F.lit(n).alias("size"), i.alias("at"), h.alias("hash"))) for n in lengths or [size])))  # noqa: B023  called at once
-    stands = words.select("doc_id", F.explode(windows).alias("w")).select("doc_id", "w.size", "w.at", "w.hash")
+    windows = F.array(*(F.struct(F.lit(n).alias("size"), windows_of(F.col("words"), n).alias("hashes")) for n in lengths or [size]))
+    stands = words.select("doc_id", F.explode(windows).alias("w")).select("doc_id", "w.size", F.posexplode("w.hashes").alias("at", "hash"))
     hits = stands.join(F.broadcast(known) if small else known, ["size", "hash"], "left_semi")
     aligned = hits.join(exploded.withColumnRenamed("at", "item_at"), ["size", "hash"]).withColumn("shift", F.col("at") - F.col("item_at"))
     # an occurrence: all windows of a text and an item at one shift
@@ -123,7 +137,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, share:
 
     # slots of those texts and items, side by side
     ids = few(likely.select("doc_id").distinct())
-    doc_slots = slots_of(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumn("words", template_words(F.col("text"))), "doc_id")
+    doc_slots = slots_of(with_words(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "doc_id")
     item_slots = slots_of(items, "item_id")
     both = likely.join(doc_slots, "doc_id").filter((F.col("place") >= F.col("low")) & (F.col("place") < F.col("high")))
     both = both.withColumn("item_place", F.col("place") - F.col("shift")).join(item_slots.select("item_id", F.col("place").alias("item_place"), F.col("value").alias("item_value")), ["item_id", "item_place"])

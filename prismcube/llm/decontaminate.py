@@ -49,17 +49,37 @@ class Slots:
 
 def canonical(text: Column) -> Slots:
     """The template of a text; values: for each placeholder, the string and pattern that give its values in order."""
-    held = F.when(text.rlike(_MARKS), F.regexp_replace(text, _MARKS, " ")).otherwise(text)
-    held = F.regexp_replace(held, _BLANKS, " ")
-    numbers = F.when(held.rlike(r"\p{N}"), F.regexp_replace(held, _NUMBER, f" {NUMBER} ")).otherwise(held)
-    units = F.when(numbers.contains(NUMBER), F.regexp_replace(numbers, _UNIT, f" {UNIT} ")).otherwise(numbers)
-    names = F.regexp_replace(units, _NAME, f" {NAME} ")
-    return Slots(names, {NUMBER: (held, _NUMBER), UNIT: (numbers, _UNIT), NAME: (units, _NAME)})
+    held = without_marks(text)
+    numbers = with_numbers(held)
+    units = with_units(numbers)
+    return Slots(with_names(units), {NUMBER: (held, _NUMBER), UNIT: (numbers, _UNIT), NAME: (units, _NAME)})
 
 
-def raw_words(text: Column) -> Column:
-    """The words of a template, numbers and units as words still in place."""
-    return F.array_remove(F.split(F.lower(canonical(text).template), _BETWEEN), "")
+def without_marks(text: Column) -> Column:
+    return F.regexp_replace(F.when(text.rlike(_MARKS), F.regexp_replace(text, _MARKS, " ")).otherwise(text), _BLANKS, " ")
+
+
+def with_numbers(held: Column) -> Column:
+    return F.when(held.rlike(r"\p{N}"), F.regexp_replace(held, _NUMBER, f" {NUMBER} ")).otherwise(held)
+
+
+def with_units(numbers: Column) -> Column:
+    return F.when(numbers.contains(NUMBER), F.regexp_replace(numbers, _UNIT, f" {UNIT} ")).otherwise(numbers)
+
+
+def with_names(units: Column) -> Column:
+    return F.regexp_replace(units, _NAME, f" {NAME} ")
+
+
+def raw_words(rows: DataFrame) -> DataFrame:
+    """rows and ``_raw``: the words of the template of ``text``, numbers and units as words still in place.
+
+    Each step is a column of its own: it is used several times by the next one, and made once.
+    """
+    steps = {"_held": without_marks(F.col("text")), "_numbers": with_numbers(F.col("_held")), "_units": with_units(F.col("_numbers"))}
+    for name, step in steps.items():
+        rows = rows.withColumn(name, step)
+    return rows.withColumn("_raw", F.array_remove(F.split(F.lower(with_names(F.col("_units"))), _BETWEEN), "")).drop(*steps)
 
 
 def typed(words: Column) -> Column:
@@ -72,7 +92,7 @@ def typed(words: Column) -> Column:
 
 def with_words(rows: DataFrame) -> DataFrame:
     """rows and ``words``: the template of ``text``. The raw words are a column of their own, so that they are made once."""
-    return rows.withColumn("_raw", raw_words(F.col("text"))).withColumn("words", typed(F.col("_raw"))).drop("_raw")
+    return raw_words(rows).withColumn("words", typed(F.col("_raw"))).drop("_raw")
 
 
 def windows_of(words: Column, size: int) -> Column:
@@ -83,7 +103,7 @@ def windows_of(words: Column, size: int) -> Column:
 
 def slots_of(rows: DataFrame, key: str) -> DataFrame:
     """key, place (of the word), value (lower case) of every slot of rows (key, text, words)."""
-    rows = rows.withColumn("_raw", raw_words(F.col("text")))
+    rows = raw_words(rows)
     values = canonical(F.col("text")).values
     as_words = F.transform("_raw", lambda w, i: F.when(w != F.get("words", i), F.struct(i.alias("place"), w.alias("value"))))
     each = [F.filter(as_words, lambda x: x.isNotNull())]
@@ -95,12 +115,12 @@ def slots_of(rows: DataFrame, key: str) -> DataFrame:
     return slots.select(key, F.col("slot.place").alias("place"), F.col("slot.value").alias("value"))
 
 
-def benchmark_windows(benchmark: DataFrame, size: int = WORDS) -> DataFrame:
-    """item_id, text, words, size, windows of each item; a shorter item is one window of all its words.
+def benchmark_windows(benchmark: DataFrame, states: States, size: int = WORDS) -> DataFrame:
+    """item_id, text, words, size, windows of each item; a shorter item is one window of all its words. The items' words are written once.
 
     Windows without a literal word say nothing and are left out; items of which nothing is left can't be found.
     """
-    items = with_words(benchmark.select("item_id", text_of().alias("text")))
+    items = states.save(with_words(benchmark.select("item_id", text_of().alias("text"))), "items")
     items = items.filter(F.size("words") > 0).withColumn("size", F.least(F.size("words"), F.lit(size)))
     words = F.col("words")
     places = F.sequence(F.lit(1), F.size(words) - F.col("size") + 1)
@@ -115,7 +135,8 @@ def found_items(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, share:
     kind is ``verbatim`` or, where a slot's value was changed consistently, ``changed``. Null texts and empty tables find
     nothing; repeated rows of docs count as one text for each doc_id; other columns aren't read.
     """
-    items = benchmark_windows(benchmark, size)
+    states = States(docs.sparkSession, "benchmark")
+    items = states.save(benchmark_windows(benchmark, states, size), "windows")
     exploded = items.select("item_id", "size", F.explode("windows").alias("w")).select("item_id", "size", "w.hash", "w.at")
     # one pass over the small side: how many windows, and of which lengths
     facts = exploded.groupBy("size").agg(F.count_distinct("hash").alias("n")).collect()  # a row for each of at most five lengths
@@ -129,7 +150,6 @@ def found_items(docs: DataFrame, benchmark: DataFrame, size: int = WORDS, share:
     hits = stands.join(F.broadcast(known) if small else known, ["size", "hash"], "left_semi")
     aligned = hits.join(exploded.withColumnRenamed("at", "item_at"), ["size", "hash"]).withColumn("shift", F.col("at") - F.col("item_at"))
     # an occurrence: all windows of a text and an item at one shift
-    states = States(docs.sparkSession, "benchmark")
     one = states.save(aligned.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("hash").alias("hashes"), F.min("at").alias("low"), (F.max("at") + F.first("size")).alias("high")), "occurrences")
     size_of = items.select("item_id", F.size(F.array_distinct(F.transform("windows", lambda w: w["hash"]))).alias("n_item_windows"))
     near = one.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("n")).join(size_of, "item_id").filter(F.col("n") >= share * F.col("n_item_windows"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from prismcube.llm import byte_bpe, decontaminate, parity_join, pii, quality, secrets, suffix_dedup, url_filter, warc, word_bpe
+from prismcube.llm import byte_bpe, decontaminate, lexical, negatives, parity_join, pii, prefix_bpe, quality, secrets, suffix_dedup, url_filter, warc, word_bpe
 from prismcube.llm.common import table
 
-ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {"op10_warc": warc.ORACLE, "op12_lexical_search": lexical.ORACLE, "op13_hard_negatives": negatives.ORACLE}
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,4 +51,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_pii, op3_byte_bpe, op4_suffix_dedup, op5_secrets, op6_jaccard_join, op7_quality, op8_url_filter, op9_token_counts, op10_warc)}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_pii, op3_byte_bpe, op4_suffix_dedup, op5_secrets, op6_jaccard_join, op7_quality, op8_url_filter, op9_token_counts, op10_warc, op11_bpe, op12_lexical_search, op13_hard_negatives)}

@@ -25,10 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from prismcube.llm.common import tidy
+
 #: Pieces of at most 64 bytes kept by each Python worker: a bound on its memory, not on the input.
 KEPT_PIECES = 100_000
 #: Matches, and texts of no more characters than that, handled at once: a very long text needs no list of all its pieces.
 AT_ONCE, TEXTS_AT_ONCE = 50_000, 1_000
+#: Pieces whose trees are rows of one array.
+MERGED_AT_ONCE = 5_000
 #: Bytes of texts that encode() hands out together, unless one text is longer.
 BYTES_AT_ONCE = 1 << 20
 
@@ -207,8 +211,8 @@ class ByteBpe:
                 self.kept[piece] = tuple(merge_piece(raw, self.ranks))
                 self.long.append(piece)
         for some in short.values():
-            for i in range(0, len(some), 20_000):
-                raws, names = zip(*some[i : i + 20_000], strict=True)
+            for i in range(0, len(some), MERGED_AT_ONCE):
+                raws, names = zip(*some[i : i + MERGED_AT_ONCE], strict=True)
                 ids, counts = merge_batch(raws, self.table)
                 ids = iter(ids.tolist())
                 self.kept.update(zip(names, (tuple(islice(ids, n)) for n in counts.tolist()), strict=True))
@@ -300,8 +304,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep_te
                 ids = pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate(made)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i)[low:high] for i in range(len(kept))), ids], [*kept, "ids"])
                 low = high
+        bpe.kept = {}
 
-    return docs.select(*kept, F.col(text).cast("string").alias("_text")).mapInArrow(each, schema)
+    return docs.select(*kept, F.col(text).cast("string").alias("_text")).mapInArrow(tidy(each), schema)
 
 
 def decode(coded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:

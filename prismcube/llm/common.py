@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +53,21 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return written(df, scratch(df.sparkSession, name))
 
 
+def tidy(each: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over a partition's batches that, when they are done, gives the worker's unused memory back to the machine:
+    workers stay for later stages, and Arrow's pool would keep the largest batch's memory until then."""
+
+    @wraps(each)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from each(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 class States:
     """Named intermediate tables of one job in the shared folder. Of each name the last two versions are kept, so that a
     new one can be made from the one before; clear() empties those that nothing reads any more."""

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prismcube.llm.common import States
+from prismcube.llm.common import States, tidy
 
 SHINGLE, SHARE = 5, 80
 #: Blocks that at least this many texts share go last; the threshold doubles until no more than this many are such (8 bytes each).
@@ -281,7 +281,7 @@ def hashed(docs: DataFrame, size: int) -> DataFrame:
                 yield counts(held)
 
     names = [x.split()[0] for x in HASHED.split(", ")]
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(each, HASHED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(each), HASHED)
 
 
 def common_blocks(counts: DataFrame, states: States, least: int = COMMON, most: int = MOST_COMMON) -> np.ndarray:
@@ -334,7 +334,7 @@ def keyed(docs: DataFrame, common: np.ndarray, size: int, buckets: int) -> DataF
         if held:
             yield packed(*map(np.concatenate, zip(*held, strict=True)), known)
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(each, KEYED)
+    return docs.select(F.col("text").cast("string")).mapInArrow(tidy(each), KEYED)
 
 
 # --- groups and close pairs ------------------------------------------------------------------------------------------
@@ -523,7 +523,7 @@ def sets_of(wanted: DataFrame, docs: DataFrame, size: int, states: States) -> Da
     dealt = lambda x: F.broadcast(x) if small else x.hint("shuffle_hash")
     ids = dealt(wanted.select(F.col("doc_id").alias("_id")).distinct())
     texts = docs.select("doc_id", F.col("text").cast("string")).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    found = texts.select("text").mapInArrow(each, "cls long, h array<long>")
+    found = texts.select("text").mapInArrow(tidy(each), "cls long, h array<long>")
     return states.save(found.join(dealt(wanted.select("cls")), "cls", "left_semi").dropDuplicates(["cls"]), "sets")  # another text may have the same doc_id
 
 

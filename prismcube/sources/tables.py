@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from threading import Lock
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,10 +67,12 @@ def conform(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(types[c]) for c, t in df.dtypes if c in types and types[c] != t})
 
 
-def align_to(df: DataFrame, target: DataFrame, pad: bool = False) -> DataFrame:
-    """df's columns that target has, in target's order and types, names in either case; with pad the others as nulls (L4)."""
+def align_to(df: DataFrame, target: DataFrame, pad: bool = False, lenient: bool = False) -> DataFrame:
+    """df's columns that target has, in target's order and types, names in either case; with pad the others as nulls (L4).
+    A value that its new type can't hold raises, or with lenient becomes null."""
     own = {c.lower(): c for c in df.columns}
-    cols = [F.col(own[c.lower()]).cast(t).alias(c) if c.lower() in own else F.lit(None).cast(t).alias(c) for c, t in target.dtypes if pad or c.lower() in own]
+    typed = lambda c, t: F.col(own[c.lower()]).try_cast(t) if lenient else F.col(own[c.lower()]).cast(t)
+    cols = [typed(c, t).alias(c) if c.lower() in own else F.lit(None).cast(t).alias(c) for c, t in target.dtypes if pad or c.lower() in own]
     return df.select(*cols)
 
 
@@ -124,8 +128,13 @@ def bucketize(df: DataFrame, partition: Sequence[str], n: int, cluster_by: Seque
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether something is stored under path, in whichever file system the path names."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    try:
+        spark.read.format("binaryFile").load(path)  # its schema is fixed, so no file is opened
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def same_columns(a: DataFrame, b: DataFrame) -> bool:
@@ -135,9 +144,11 @@ def same_columns(a: DataFrame, b: DataFrame) -> bool:
 
 
 def evolve_table(old: DataFrame, new: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The next version of a table whose schema changed: new's partitions, and old's others with nulls for what they lack."""
-    kept = old.join(new.select(*partitions).distinct(), [*partitions], "left_anti")
-    return new.unionByName(align_to(kept, new, pad=True), allowMissingColumns=True)
+    """The next version of a table whose schema changed: new's partitions, and old's others with nulls for what they lack
+    and for values that a column's new type can't hold (I6). Null partitions are partitions."""
+    same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in partitions])
+    kept = old.alias("o").join(new.select(*partitions).distinct().alias("n"), same, "left_anti")
+    return new.unionByName(align_to(kept, new, pad=True, lenient=True), allowMissingColumns=True)
 
 
 def repair_versions(versions: Sequence[DataFrame], partitions: Sequence[str]) -> DataFrame:

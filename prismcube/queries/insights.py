@@ -13,10 +13,13 @@ from prismcube.queries.registry import query, read, rounded
 from prismcube.sources.checkpoints import cut
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells by region, flag and quarter number; the quarter is always set. Written once, as every comparison reads them again."""
+def cells(spark: SparkSession, sf_dir: str, events: bool = False) -> DataFrame:
+    """Cells by region, flag and quarter number; the quarter is always set. Written once, as every comparison reads them again.
+
+    With events also the number of lines that the quantity rests on.
+    """
     df = star(spark, sf_dir).withColumn("seq", (F.col("yr_cd").cast("int") * 4 + F.substring("qtr_cd", 6, 1).cast("int")).cast("string"))
-    spec = CubeSpec(dims=("r_name", "l_returnflag", "seq"), mandatory=("seq",), facts=(Fact("revenue"), Fact("quantity", "avg", column="l_quantity")))
+    spec = CubeSpec(dims=("r_name", "l_returnflag", "seq"), mandatory=("seq",), facts=(Fact("revenue"), Fact("quantity", "avg", column="l_quantity"), *([Fact("quantity_events", "count", column="l_quantity")] if events else [])))
     cube = build_cube(df, spec).withColumn("seq", F.col("seq").cast("int")).drop("aggregation_depth")
     return cut(cube.withColumns({"revenue": F.round("revenue", 4), "quantity": F.round("quantity", 6)}), "cells")
 
@@ -106,21 +109,32 @@ def z_sql(column: str, by: str) -> str:
 
 
 def metrics_sql(fact: str) -> str:
-    """A row for each metric of a fact: of the compared pairs, then of the ranked cells."""
-    pair, rank, nothing = "PARTITION BY seq, varying", "PARTITION BY seq, p", "NULL, " * 5 + "NULL"
+    """A row for each of the 29 metrics of a fact: of the compared pairs, then of the ranked cells."""
+    pair, rank = "PARTITION BY seq, varying", "PARTITION BY seq, p"
     named = [f"diff_{fact}", f"pctg_diff_{fact}", "nd", "np"]
     dims = "r_name, l_returnflag, seq"
-    return f"""SELECT {dims}, r_name_r, l_returnflag_r, seq_r, varying, '{fact}' AS fact, unnest(x) AS value, unnest(range(15)) AS i, score FROM (
-  SELECT *, [{fact}, {fact}_r, {', '.join(named)}, {', '.join(z_sql(c, pair) for c in named)}, NULL, NULL, NULL, NULL, NULL] AS x, round(abs(pctg_diff_{fact}), 2) AS score
+    two = lambda *xs: ", ".join(f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 16)), 2) AS DOUBLE)" for x in xs)
+    stats = lambda c, by: (f"avg({c}) OVER ({by})", f"stddev_pop({c}) OVER ({by})")
+    none = lambda n: ", ".join(["NULL"] * n)
+    events = ("quantity_events", "quantity_events_r") if fact == "quantity" else ("NULL", "NULL")
+    compared = ", ".join([two(fact, f"{fact}_r"), *events, two(*named, *(z_sql(c, pair) for c in named)), none(5), two(*(x for c in named for x in stats(c, pair))), none(4)])
+    ranked = ", ".join([two(fact), "NULL", events[0], none(9), f"100 * percent_rank() OVER ({rank} ORDER BY {fact})", two(f"min({fact}) OVER ({rank})", f"max({fact}) OVER ({rank})"), z_sql(fact, rank), z_sql("lf", rank), none(8), two(*stats(fact, rank), *stats("lf", rank))])
+    return f"""SELECT {dims}, r_name_r, l_returnflag_r, seq_r, varying, '{fact}' AS fact, unnest(x) AS value, unnest(range(29)) AS i, score FROM (
+  SELECT *, [{compared}] AS x, round(abs(pctg_diff_{fact}), 2) AS score
   FROM (SELECT *, CASE WHEN diff_{fact} > 0 THEN ln(diff_{fact}) END AS nd, CASE WHEN pctg_diff_{fact} > 0 THEN ln(pctg_diff_{fact}) END AS np FROM diffs WHERE abs(pctg_diff_quantity) > 0.5))
-  UNION ALL SELECT {dims}, NULL, NULL, NULL, NULL, '{fact}', unnest(x), unnest(range(15)), NULL FROM (SELECT *, [{fact}, NULL, NULL, NULL, {nothing}, 100 * percent_rank() OVER ({rank} ORDER BY {fact}), min({fact}) OVER ({rank}), max({fact}) OVER ({rank}), {z_sql(fact, rank)}, {z_sql('lf', rank)}] AS x
+  UNION ALL SELECT {dims}, NULL, NULL, NULL, NULL, '{fact}', unnest(x), unnest(range(29)), NULL FROM (SELECT *, [{ranked}] AS x
   FROM (SELECT *, r_name IS NULL AS p, CASE WHEN {fact} > 0 THEN ln({fact}) END AS lf FROM cells WHERE (r_name IS NULL) <> (l_returnflag IS NULL)))"""
 
 
-@query(f"WITH {DIFFS}, m AS ({metrics_sql('revenue')} UNION ALL {metrics_sql('quantity')}) SELECT r_name, l_returnflag, seq, r_name_r, l_returnflag_r, seq_r, varying, fact, 'BY_' || fact AS reason, score, CAST(i AS INT) AS i, round(value, 4) + 0.0 AS value FROM m")
+QUANTITY = "round(avg(l_quantity), 6) AS quantity"
+#: The SQL of differences over cells that have events.
+WITH_EVENTS = DIFFS.replace(QUANTITY, f"{QUANTITY}, count(l_quantity) AS quantity_events").replace(RIGHT, f"{RIGHT}, b.quantity_events AS quantity_events_r")
+
+
+@query(f"WITH {WITH_EVENTS}, m AS ({metrics_sql('revenue')} UNION ALL {metrics_sql('quantity')}) SELECT r_name, l_returnflag, seq, r_name_r, l_returnflag_r, seq_r, varying, fact, 'BY_' || fact AS reason, score, CAST(i AS INT) AS i, round(value, 4) + 0.0 AS value FROM m")
 def insight_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics array of each fact and row, one row for each metric; reasons and scores from templates."""
-    own = cells(spark, sf_dir)
+    own = cells(spark, sf_dir, events=True)
     out = insights(own, own, InsightSpec(dims=SPEC.dims, facts=("revenue", "quantity"), rates=("quantity",), group=("seq",), reason="'BY_[fact]'", score="abs(pctg_diff_[fact])", prefilter="abs(pctg_diff_quantity) > 0.5"))
     dims = [c for d in SPEC.dims for c in (d.name, f"{d.name}_r")]
     each = lambda f: F.struct(F.lit(f).alias("fact"), F.col(f"reason_{f}").alias("reason"), F.col(f"score_{f}").alias("score"), F.col(f"metrics_{f}").alias("m"))

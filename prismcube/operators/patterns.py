@@ -22,17 +22,6 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_r")).select(*keys, *(F.col("_r")[c].alias(c) for c in [*order, *rest])).select(*df.columns)
 
 
-def join_contained(a: DataFrame, b: DataFrame, on: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Pairs of equal keys in which a's interval lies inside b's (M2); b's bounds get the suffix _b."""
-    r = b.withColumnsRenamed({c: f"{c}_b" for c in b.columns if c not in on})
-    return a.join(r, [*on]).filter((F.col(start) >= F.col(f"{start}_b")) & (F.col(end) <= F.col(f"{end}_b")))
-
-
-def join_point_in_interval(points: DataFrame, intervals: DataFrame, on: Sequence[str], at: str, start: str = "start", end: str = "end") -> DataFrame:
-    """Points with the intervals of their key that hold them, both ends included (M3)."""
-    return points.join(intervals, [*on]).filter(F.col(at).between(F.col(start), F.col(end)))
-
-
 def join_overlap(a: DataFrame, weeks: DataFrame, start: str, end: str, week_start: str = "wk_start", week_end: str = "wk_end") -> DataFrame:
     """a's rows, one for each calendar week that they touch, and overlap_days.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prismcube.operators import patterns as m
+from prismcube.operators.intervals import join_contained, join_point_in_disjoint, join_point_in_interval
 from prismcube.queries.registry import query, read, rounded
 from prismcube.sources.checkpoints import new_path
 from prismcube.sources.tables import archive_snapshot
@@ -32,7 +33,7 @@ def pattern_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spans(spark, sf_dir)
     first = F.date_trunc("year", F.min("start"))
     years = own.groupBy("o_custkey").agg(first.alias("start"), (first + F.expr("interval 2 years")).alias("end"))
-    return m.join_contained(own, years, ["o_custkey"]).select("o_orderkey", "start_b")
+    return join_contained(own, years, ["o_custkey"]).select("o_orderkey", "start_b")
 
 
 @query(f"WITH {SPANS}, p AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT l_orderkey, l_linenumber, o_orderkey FROM p JOIN spans USING (o_custkey) WHERE l_shipdate BETWEEN s AND e")
@@ -40,7 +41,54 @@ def pattern_point_in_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: ship dates in the spans of the same customer."""
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     p = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(o, "l_orderkey")
-    return m.join_point_in_interval(p, spans(spark, sf_dir), ["o_custkey"], "l_shipdate").select("l_orderkey", "l_linenumber", "o_orderkey")
+    return join_point_in_disjoint(p, spans(spark, sf_dir), ["o_custkey"], "l_shipdate").select("l_orderkey", "l_linenumber", "o_orderkey")
+
+
+#: Half of all orders under one key.
+HOT = "hot AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey END AS k, CAST(o_orderdate AS TIMESTAMP) AS d FROM orders)"
+
+
+def hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.when(F.col("o_orderstatus") == "F", 0).otherwise(F.col("o_custkey")).alias("k"), F.col("o_orderdate").cast("timestamp").alias("d"))
+
+
+@query(f"""WITH {HOT}, i AS (SELECT k, d AS s, lead(d) OVER (PARTITION BY k ORDER BY d) AS e FROM (SELECT DISTINCT k, d FROM hot)),
+  p AS (SELECT k, l_orderkey, l_linenumber, l_shipdate FROM lineitem JOIN hot ON l_orderkey = o_orderkey) SELECT k, l_orderkey, l_linenumber, s AS start FROM p JOIN i USING (k) WHERE l_shipdate BETWEEN s AND e""")
+def interval_hot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: ship dates between the order days of a key that holds much of all rows."""
+    o = hot_orders(spark, sf_dir)
+    w = Window.partitionBy("k").orderBy("d")
+    spans = o.select("k", "d").distinct().select("k", F.col("d").alias("start"), F.lead("d").over(w).alias("end"))
+    p = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(o.select(F.col("o_orderkey").alias("l_orderkey"), "k"), "l_orderkey")
+    return join_point_in_disjoint(p, spans, ["k"], "l_shipdate").select("k", "l_orderkey", "l_linenumber", "start")
+
+
+LINES = "l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_suppkey END AS k, CAST(l_shipdate AS TIMESTAMP) AS s, CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(l_quantity AS INT)) AS e FROM lineitem)"
+TERMS = "b AS (SELECT DISTINCT CASE WHEN p_size < 25 THEN 0 ELSE p_partkey % 100 END AS k, TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey AS INT)) AS s, TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey + p_size AS INT)) AS e FROM part WHERE p_retailprice > 1000)"
+
+
+def lines_and_terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    ship = F.col("l_shipdate").cast("timestamp")
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_suppkey")).alias("k"), ship.alias("start"), (ship + F.make_dt_interval(F.col("l_quantity").cast("int"))).alias("end"))
+    day = lambda n: F.lit("1995-01-01").cast("timestamp") + F.make_dt_interval(n.cast("int"))
+    part = read(spark, sf_dir, "part").filter("p_retailprice > 1000")
+    terms = part.select(F.when(F.col("p_size") < 25, 0).otherwise(F.col("p_partkey") % 100).alias("k"), day(F.col("p_partkey")).alias("start"), day(F.col("p_partkey") + F.col("p_size")).alias("end")).distinct()
+    return lines, terms
+
+
+@query(f"WITH {LINES}, {TERMS} SELECT b.k, b.s AS start_b, b.e AS end_b, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS orders FROM l JOIN b ON l.k = b.k AND l.s >= b.s AND l.e <= b.e GROUP BY ALL")
+def interval_hot_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: the lines whose time lies inside a term, where one key holds much of both sides."""
+    found = join_contained(*lines_and_terms(spark, sf_dir), ["k"])
+    return found.groupBy("k", "start_b", "end_b").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("orders"))
+
+
+@query(f"WITH {LINES}, {TERMS} SELECT b.k, b.s AS start, b.e AS \"end\", count(*) AS n FROM l JOIN b ON l.k = b.k AND l.s BETWEEN b.s AND b.e GROUP BY ALL")
+def interval_overlapping_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: the lines shipped during terms that overlap each other."""
+    lines, terms = lines_and_terms(spark, sf_dir)
+    found = join_point_in_interval(lines.select("l_orderkey", "k", F.col("start").alias("at")), terms, ["k"], "at")
+    return found.groupBy("k", "start", "end").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {SPANS}, c AS (SELECT o_custkey, min(s) AS s, CASE WHEN max(s) < TIMESTAMP '2001-06-01' THEN max(s) END AS e, min(c_mktsegment) AS seg FROM spans JOIN customer ON o_custkey = c_custkey GROUP BY 1),

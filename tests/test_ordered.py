@@ -103,3 +103,69 @@ def test_correlations_of_few_values(spark):
     got = {r["g"]: r for r in correlate_facts(df, ["x", "y", "z"], ["g"]).collect()}
     assert got["a"]["corr_x_y"] == [1.0] and got["a"]["n_x_y"] == [2] and got["a"]["n_y_z"] == [3] and got["a"]["corr_y_z"] == [None]
     assert got["b"]["corr_x_y"] == [None] and got[None]["n_x_y"] == [0] and got[None]["n_x_z"] == [1] and got["a"]["n_records"] == 3
+
+
+# --- intervals (M2, M3) -----------------------------------------------------------------------------------------------
+
+
+def some_intervals(rnd, n, longest):
+    """Half under one key; null keys and bounds, empty and reversed ones."""
+    out = []
+    for i in range(n):
+        low = rnd.randrange(-500, 500)
+        out.append((i, "hot" if i % 2 else rnd.choice(["a", "b", None]), rnd.choice([None, low, low, low, low]), low + rnd.choice([0, 1, 2, rnd.randrange(-2, longest)])))
+    return out
+
+
+@pytest.mark.parametrize("longest", [3, 40, 900])
+def test_contained_equals_brute_force(spark, longest):
+    from prismcube.operators.intervals import join_contained, join_point_in_interval
+
+    rnd = random.Random(longest)
+    a, b = some_intervals(rnd, 300, 60), some_intervals(rnd, 200, longest)
+    left = spark.createDataFrame(a, "i int, k string, start int, end int")
+    right = spark.createDataFrame(b, "j int, k string, start int, end int")
+    fits = lambda x, y: x[1] is not None and x[1] == y[1] and None not in (x[2], y[2]) and x[2] <= x[3] and y[2] <= x[2] and x[3] <= y[3]
+    expected = sorted((x[0], y[0]) for x in a for y in b if fits(x, y))
+    assert sorted((r["i"], r["j_b"]) for r in join_contained(left, right, ["k"]).collect()) == expected
+    when = lambda df: df.select(*(F.timestamp_seconds(c).alias(c) if c in ("start", "end") else c for c in df.columns))
+    assert sorted((r["i"], r["j_b"]) for r in join_contained(when(left), when(right), ["k"]).collect()) == expected
+    points = left.select("i", "k", F.col("start").alias("at"))
+    held = sorted((x[0], y[0]) for x in a for y in b if x[1] is not None and x[1] == y[1] and None not in (x[2], y[2]) and y[2] <= x[2] <= y[3])
+    assert sorted((r["i"], r["j"]) for r in join_point_in_interval(points, right, ["k"], "at").collect()) == held
+    assert join_contained(left, right.filter("false"), ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_points_in_disjoint_intervals(spark, parts):
+    from prismcube.operators.intervals import join_point_in_disjoint
+
+    rnd = random.Random(parts)
+    spans = []
+    for k in ("hot", "a", "b"):
+        at = 0
+        for _ in range(150 if k == "hot" else 40):
+            at += rnd.choice([0, 0, 1, 5])
+            end = at + rnd.choice([0, 0, 3, 9])
+            spans.append((len(spans), k, at, end))
+            at = end
+    spans += [(900, None, 0, 99), (901, "a", None, 3), (902, "hot", 5000, 4000)]
+    points = [(i, "hot" if i % 2 else rnd.choice(["a", "b", "c", None]), rnd.choice([None, *range(-5, 700)])) for i in range(900)]
+    points += [(1000 + i, "hot", 44) for i in range(300)]  # very many equal points
+    p, s = spark.createDataFrame(points, "i int, k string, at int"), spark.createDataFrame(spans, "j int, k string, start int, end int")
+    expected = sorted((i, j) for i, k, at in points for j, h, low, high in spans if k is not None and k == h and None not in (at, low) and low <= at <= high)
+    got = join_point_in_disjoint(p, s, ["k"], "at", parts=parts)
+    assert got.columns == ["i", "k", "at", "j", "start", "end"]
+    assert sorted((r["i"], r["j"]) for r in got.collect()) == expected
+    assert join_point_in_disjoint(p.filter("false"), s, ["k"], "at").count() == 0
+
+
+def test_pairs_that_meet_follow_the_result(spark):
+    """One key with all rows: the pairs that are compared stay near those that are returned."""
+    from prismcube.operators.intervals import near
+
+    a = spark.range(20_000).select(F.lit("k").alias("k"), (F.col("id") * 10).alias("start"), (F.col("id") * 10 + 3).alias("end"))
+    b = spark.range(5_000).select(F.lit("k").alias("k"), (F.col("id") * 40).alias("s"), (F.col("id") * 40 + 35).alias("e"))
+    met = near(a, b, ["k"], ("start", "end"), ("s", "e"))
+    inside = met.filter("start >= s AND end <= e").count()
+    assert inside == 20_000 and met.count() <= 6 * inside

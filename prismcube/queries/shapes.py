@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismcube.operators import shape
+from prismcube.operators import shape, sketches
 from prismcube.queries.registry import query, read, rounded
+from prismcube.sources.checkpoints import new_path
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,42 @@ def shape_new_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.new_partitions(o, known, ["mnth"]).groupBy("mnth").agg(F.count("*").alias("n"))
 
 
+def kept_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of all months, stored in three runs: one month, the years to 1998, then what is left."""
+    o, store = orders(spark, sf_dir).drop("seq", "yr"), new_path(spark, "profiles")
+    what = {"analyze": ["o_totalprice", "o_custkey", "o_orderstatus"], "rules": RULES}
+    sketches.collect_profiles(o, store, ["mnth"], only="199703", **what)
+    for rows in (o.filter("mnth < '199901'"), o):
+        sketches.collect_profiles(rows, store, ["mnth"], **what)
+    return sketches.stored(spark, store, ["mnth"])
+
+
+@query(f"""WITH {ORDERS}, v AS (SELECT yr, unnest(['o_totalprice', 'o_custkey', 'o_orderstatus']) AS column_name, unnest(['double', 'bigint', 'string']) AS column_type, unnest([o_totalprice, CAST(o_custkey AS DOUBLE), NULL]) AS x,
+    unnest([CAST(o_totalprice AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus]) AS t, unnest([o_totalprice IS NULL OR o_totalprice < 1000, false, o_orderstatus NOT IN ('F', 'O')]) AS bad FROM o)
+  SELECT yr, column_name, column_type, count(*) AS num_records, count(*) - count(t) AS num_missing, CAST(sum(bad::INT) AS BIGINT) AS num_invalid, round(avg(x), 4) AS mean, round(stddev_pop(x), 4) AS stddev, min(x) AS min, max(x) AS max, true AS distinct_fits, CASE WHEN column_name <> 'o_orderstatus' THEN true END AS percentiles_fit
+  FROM v GROUP BY 1, 2, 3""")
+def shape_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored monthly profiles merged by year; counts and moments equal, percentiles and distinct counts within their bounds."""
+    o = orders(spark, sf_dir)
+    year = sketches.merged(kept_profiles(spark, sf_dir), {"yr": F.substring("mnth", 1, 4)})
+    errors = sketches.quantile_errors(o, year, ["o_totalprice", "o_custkey"], ["yr"]).groupBy("yr", "column_name").agg((F.max("error") <= sketches.RANK_ERROR).alias("percentiles_fit"))
+    exact = shape.profile(o, ["yr"], analyze=["o_totalprice", "o_custkey", "o_orderstatus"]).select("yr", "column_name", F.col("distinct_count").alias("d"))
+    out = year.join(exact, ["yr", "column_name"]).join(errors, ["yr", "column_name"], "left")
+    out = out.withColumn("distinct_fits", F.abs(F.col("distinct_count") - F.col("d")) <= F.greatest(F.lit(1.0), sketches.DISTINCT_ERROR * F.col("d")))
+    return rounded(out.select("yr", "column_name", "column_type", "num_records", "num_missing", "num_invalid", "mean", "stddev", "min", "max", "distinct_fits", "percentiles_fit"))
+
+
+@query("""WITH m AS (SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS mnth FROM orders) SELECT run, CAST(n AS BIGINT) AS n FROM (SELECT 'first' AS run, count(*) FILTER (mnth < '199901') AS n FROM m UNION ALL SELECT 'again', 0 UNION ALL SELECT 'more', count(*) FILTER (mnth >= '199901') FROM m
+  UNION ALL SELECT 'one', count(*) FILTER (mnth = '199901') FROM m UNION ALL SELECT 'known', 0 UNION ALL SELECT 'rerun', count(*) FROM m)""")
+def shape_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many partitions each run profiles: new ones, none twice, one on request, all in a rerun."""
+    o, store = orders(spark, sf_dir), new_path(spark, "profiles")
+    run = lambda rows, **how: sketches.collect_profiles(rows, store, ["mnth"], analyze=["o_totalprice"], **how)
+    early = o.filter("mnth < '199901'")
+    done = [("first", run(early)), ("again", run(early)), ("more", run(o)), ("one", run(o, rerun=True, only="199901")), ("known", run(o, only="199901")), ("rerun", run(o, rerun=True))]
+    return spark.createDataFrame(done, "run string, n long")
+
+
 @query("SELECT 'supplier' AS table_name, count(*) AS n FROM supplier WHERE s_nationkey < 10 UNION ALL SELECT 'customer', count(*) FROM customer WHERE c_nationkey < 5 UNION ALL SELECT 'region', count(*) FROM region")
 def shape_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts under shared filters."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prismcube.queries.registry import query, read, rounded
@@ -109,6 +109,18 @@ def sql_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(at)
 
 
+@query("SELECT c_nationkey, count(*) AS n, CAST(1 AS BIGINT) AS files, true AS sorted FROM customer GROUP BY 1")
+def sql_insert_dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: a query that deals and sorts its rows: each key in one file, in order."""
+    at = new_path(spark, "insert")
+    tables.insert_select(spark, f"SELECT c_nationkey, c_custkey FROM (SELECT * FROM parquet.`{sf_dir}/customer.parquet` ORDER BY c_name) DISTRIBUTE BY c_nationkey SORT BY c_nationkey, c_custkey", at)
+    kept = spark.read.parquet(at).select("c_nationkey", "c_custkey", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("place"))
+    w = Window.partitionBy("f").orderBy("place")
+    before = F.lag(F.struct("c_nationkey", "c_custkey")).over(w)
+    kept = kept.withColumn("fine", F.coalesce(before < F.struct("c_nationkey", "c_custkey"), F.lit(True)))
+    return kept.groupBy("c_nationkey").agg(F.count("*").alias("n"), F.count_distinct("f").alias("files"), F.bool_and("fine").alias("sorted"))
+
+
 @query("SELECT CAST(least(4, c_custkey // greatest(1, (SELECT max(c_custkey) FROM customer) // 5)) AS INT) AS part, count(*) AS n FROM customer GROUP BY 1")
 def extract_strides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1, K2: an extract of five strides, each row in one."""

@@ -82,18 +82,19 @@ def partition_spec(partitions: Sequence[str]) -> tuple[dict[str, str], list[str]
     return {k.lower(): v for k, v in static.items()}, [p.split("=", 1)[0].lower() for p in partitions]
 
 
-def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), mode: str = "overwrite", fmt: str = "parquet", target_file_mb: int = 150, options: Mapping[str, str] | None = None, whole: bool = False) -> None:
+def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), mode: str = "overwrite", fmt: str = "parquet", target_file_mb: int = 150, options: Mapping[str, str] | None = None, whole: bool = False, rebalance: bool = True) -> None:
     """Writes df, lower-cased, under path; partitions are static (``c=v``) or dynamic (``c``), in any order.
 
     Overwriting replaces the partitions that df has and leaves the others, or with ``whole`` the table. Rows are rebalanced
-    by partition so that files come out near the target size, whatever the skew of the partitions. Spark takes that size
-    from a setting of the session, so writers in one process take turns.
+    by partition so that files come out near the target size, whatever the skew of the partitions; without ``rebalance`` they
+    are written as df deals and orders them. Spark takes that size from a setting of the session, so writers in one process
+    take turns.
     """
     static, names = partition_spec(partitions)
     out = empty_to_null(df.toDF(*(c.lower() for c in df.columns)))
     out = out.withColumns({k: F.lit(v) for k, v in static.items()})
     spark = df.sparkSession
-    even = out.hint("rebalance", *names) if names else out.hint("rebalance")
+    even = out.hint("rebalance", *names) if rebalance else out
     writer = even.write.format(fmt).mode(mode).options(**(options or {}))
     if names:
         writer = writer.partitionBy(*names).option("partitionOverwriteMode", "static" if whole else "dynamic")
@@ -106,13 +107,25 @@ def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), mode:
             spark.conf.set(FILE_SIZE, before)
 
 
+def deals_itself(sql: str) -> bool:
+    """Whether a query says at its own level, not in brackets, how its rows are dealt or ordered."""
+    depth, plain = 0, ""
+    for token in re.findall(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|.", sql, re.S):
+        depth += {"(": 1, ")": -1}.get(token, 0)
+        plain += token if depth == 0 and len(token) == 1 else " "
+    return bool(re.search(r"\b(?:distribute|cluster|sort|order)\s+by\b", plain, re.I))
+
+
 def insert_select(spark: SparkSession, sql: str, path: str, **options: object) -> None:
-    """The result of a query through the file-sizing writer; columns match by position where the table exists (P5)."""
+    """The result of a query through the file-sizing writer; columns match by position where the table exists (P5).
+
+    A query's own DISTRIBUTE, CLUSTER, SORT or ORDER BY is kept: its rows are written as it deals and orders them.
+    """
     df = spark.sql(sql)
     if exists(spark, path):
         target = spark.read.parquet(path)
         df = conform(df.toDF(*target.columns), target)
-    write_table(df, path, **options)
+    write_table(df, path, **{"rebalance": not deals_itself(sql), **options})
 
 
 def write_by_value(df: DataFrame, path: str, column: str, fmt: str = "json") -> None:

@@ -77,3 +77,114 @@ def test_unpartitioned_versions(spark, tmp_path):
     t.write(spark.createDataFrame([(3, 4)], "id int, b int"))
     assert values(t.read()) == [(3, 4)] and t.current() == 2
     assert t.subset(1, 2) is False and t.subset(2, 1) is True
+
+
+# --- extraction (K1-K4) -----------------------------------------------------------------------------------------------
+
+
+def rows_of(target, query):
+    """A target that answers with its own rows; one breaks off, one can't be reached."""
+    low, high = map(int, query.split()[-1].split("-"))
+    if target["HOST"] == "down":
+        raise ConnectionError("no route")
+    for i in range(low, high):
+        if target["HOST"] == "broken" and i == 7:
+            raise RuntimeError("lost")
+        yield i, f"{target['HOST']}-{i}"
+
+
+def test_one_failing_target_leaves_the_others(spark):
+    from prismcube.sources.extract import failed_targets
+    from prismcube.sources.targets import Template, extract_targets, pair_log
+
+    targets = [{"TARGET_KEY": str(k), "HOST": h} for k, h in enumerate(["a", "down", "b", "broken", "c"])]
+    templates = {"all": Template("rows of [HOST] in [STRIDE]", "i int, name string", ("0-5", "5-9", "9-12")), "few": Template("rows [STRIDE]", "i long, name string", ("0-2",))}
+    rows, log = extract_targets(spark, rows_of, targets, templates, batch=3, connections=2)
+    assert values(rows["all"]) == sorted(((i, f"{h}-{i}", k) for h, k in (("a", "0"), ("b", "2"), ("c", "4")) for i in range(12)), key=str)
+    assert rows["few"].columns == ["i", "name", "target_key"] and rows["few"].count() == 8  # 'broken' answers here
+    assert log.count() == 5 * 3 + 5 and log.filter("is_error").count() == 3 + 1 + 1
+    assert {r["message"] for r in log.filter("is_error AND sql_name = 'all'").collect()} == {"ConnectionError: no route", "RuntimeError: lost"}
+    pairs = pair_log(log)
+    failed = failed_targets(pairs, spark.createDataFrame([(t["TARGET_KEY"],) for t in targets], "target_key string"))
+    again = {(r["target_key"], r["sql_name"]) for r in failed.collect()}
+    assert again == {("1", "all"), ("1", "few"), ("3", "all")}
+    # the failed pairs again, once their targets work
+    more, second = extract_targets(spark, rows_of, [{**t, "HOST": t["HOST"] + "!"} for t in targets], templates, batch=4, only=again)
+    assert more["all"].count() == 24 and more["few"].count() == 2
+    assert failed_targets(pairs.unionByName(pair_log(second)), failed.select("target_key").distinct()).count() == 0
+
+
+def test_thousands_of_targets_are_one_scan(spark):
+    from prismcube.sources.targets import Template, dealt, extract_targets
+
+    template = Template("[STRIDE]", "i int, name string", tuple(f"{i}-{i + 1}" for i in range(5)))
+    targets = [{"TARGET_KEY": i, "HOST": "h"} for i in range(3000)]
+    work = dealt(targets, template, 2)
+    assert len(work) == 6000 and [len(w.strides) for w in (work[0], work[-1])] == [3, 2]
+    rows, log = extract_targets(spark, rows_of, targets[:40], {"t": template}, connections=1)
+    assert rows["t"].count() == 200 and log.count() == 200
+    rows, log = extract_targets(spark, rows_of, [], {"t": template})
+    assert rows["t"].columns == ["i", "name", "target_key"] and rows["t"].count() == 0 and log.count() == 0
+
+
+# --- keyed and bucketed tables (L2, I4) -------------------------------------------------------------------------------
+
+
+def files_under(path):
+    import hashlib
+    from pathlib import Path
+
+    return {str(p): hashlib.sha256(p.read_bytes()).hexdigest() for p in Path(path).rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("ranges", [False, True])
+def test_merge_rewrites_touched_buckets_only(spark, tmp_path, ranges):
+    from prismcube.sources.delta import apply_delta, delta
+    from prismcube.sources.keyed import KeyedTable, Layout
+
+    old = spark.range(1000).select(F.when(F.col("id") != 999, F.col("id")).alias("k"), (F.col("id") % 7).alias("v"))
+    new = old.filter("k IS NULL OR k NOT BETWEEN 40 AND 120").withColumn("v", F.when(F.col("k") == 130, F.lit(99)).otherwise(F.col("v"))).unionByName(spark.createDataFrame([(45, 5), (-3, 1)], "k long, v long"))
+    at = f"{tmp_path}/t"
+    KeyedTable.create(old, at, Layout(("k",), 20, 0, 1000) if ranges else Layout(("k",), 20))
+    before = files_under(at)
+    t = KeyedTable.open(spark, at)
+    up, gone = delta(new, t.read(), ["k"])
+    touched = t.merge(up, gone)
+    assert values(t.read()) == values(apply_delta(old, *delta(new, old, ["k"]), ["k"])) == values(new)
+    after = files_under(at)
+    kept = {p: h for p, h in before.items() if not any(f"_bucket={b}/" in p for b in touched)}
+    assert kept.items() <= after.items()
+    assert touched == ([0, 1, 2] if ranges else touched) and (len(kept) >= 17 if ranges else True)
+    assert t.merge(up.filter("false"), gone.filter("false")) == []
+    # a bucket of which nothing is left
+    t.merge(new.filter("false"), t.read().filter("k < 60"))
+    assert values(t.read()) == values(new.filter("k IS NULL OR k >= 60"))
+    # other columns replace the table
+    t.merge(spark.createDataFrame([(1, 2, 3)], "k long, v long, w int"), new.filter("false"))
+    assert values(t.read()) == [(1, 2, 3)]
+
+
+def test_layouts_are_checked():
+    from prismcube.sources.keyed import Layout
+
+    for bad in ((), 3), (("k",), 0), (("k",), 2, 1.0), (("k",), 2, 2.0, 1.0):
+        with pytest.raises(ValueError):
+            Layout(*bad)
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_path):
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    from prismcube.sources.keyed import save_bucketed
+
+    a = save_bucketed(spark.range(500).select("id", (F.col("id") % 5).alias("p")), "bucketed_a", 4, ["id"], ["p"], f"{tmp_path}/a")
+    b = save_bucketed(spark.range(0, 1000, 2).withColumn("x", F.col("id") * 2), "bucketed_b", 4, ["id"], path=f"{tmp_path}/b")
+    joined = a.join(b.hint("merge"), "id").groupBy("id").agg(F.sum("x").alias("x"), F.count("*").alias("n"))
+    with redirect_stdout(StringIO()) as text:
+        joined.explain()
+    assert "SortMergeJoin" in text.getvalue() and "Exchange" not in text.getvalue()
+    assert values(joined) == sorted(((i, 2 * i, 1) for i in range(0, 500, 2)), key=str)
+    from pathlib import Path
+
+    assert len([*Path(f"{tmp_path}/b").glob("*.parquet")]) == 4

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from functools import wraps
+from threading import RLock
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,10 @@ from pyspark.sql import functions as F
 #: Fixed: the word characters of every contract are those outside these six blanks.
 BLANK = r"[ \t\n\x0B\f\r]"
 #: Spark's settings while a table is written: the shuffle files behind it go when it is done, and Python gets batches of bounded size.
-WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", BATCH: str(BATCH_BYTES)}
+#: Writers of one session take turns with its settings.
+WRITING = RLock()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,17 +41,27 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, at: str) -> DataFrame:
     """df written to a path and read again; the shuffle files behind it go as soon as it is written."""
     conf = df.sparkSession.conf
-    before = {k: conf.get(k) for k in WHILE_WRITING}
-    for k, v in WHILE_WRITING.items():
-        conf.set(k, v)
-    try:
-        df.write.mode("overwrite").parquet(at)
-    finally:
-        for k, v in before.items():
+    with WRITING:
+        before = {k: conf.get(k) for k in WHILE_WRITING}
+        for k, v in WHILE_WRITING.items():
             conf.set(k, v)
+        try:
+            df.write.mode("overwrite").parquet(at)
+        finally:
+            for k, v in before.items():
+                conf.set(k, v)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, whose Python stage is to get batches of bounded size from whoever writes it: a setting of its session from here on.
+
+    A batch of ten thousand long texts would take some hundred megabytes for each task, in the JVM and again in Python.
+    """
+    df.sparkSession.conf.set(BATCH, str(BATCH_BYTES))
+    return df
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: its lineage ends there and survives lost executors."""
     return written(df, scratch(df.sparkSession, name))

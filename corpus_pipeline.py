@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prismcube.llm import byte_bpe, decontaminate, parity_join, quality, secrets
-from prismcube.llm.common import saved, table
+from prismcube.llm.common import in_small_batches, saved, table
 
 
 def good_ones(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: doc_id, lang, source, n_tokens and the ids of each text, a null one as empty; repeated rows repeat."""
     coded = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_text=False)
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return in_small_batches(coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids"))
 
 
 STAGES = [("quality", good_ones), ("near duplicates", one_of_each), ("decontamination", uncontaminated), ("secrets", without_secrets), ("tokens", tokens)]

@@ -31,19 +31,18 @@ def fact_input(fact: Fact) -> Column:
 
 
 def hist_quantiles(hist: Column, pcts: Sequence[int]) -> Column:
-    """Quantiles from histogram_numeric's bins (x, y): the bin that holds the rank, interpolated to the next bin's centre."""
+    """Quantiles from a histogram's bins (x, y): the first bin that reaches the rank, on the line from the bin before it by the
+    share of its rows that the rank takes; in the first bin its centre (A15)."""
     total = F.aggregate(hist, F.lit(0.0), lambda a, b: a + b["y"])
 
     def one(p: int) -> Column:
         rank = total * (p / 100)
-        start = F.struct(F.lit(0.0).alias("seen"), F.lit(None).cast("double").alias("q"), F.lit(None).cast("double").alias("x"), F.lit(0.0).alias("y"))
+        start = F.struct(F.lit(0.0).alias("seen"), F.lit(None).cast("double").alias("q"), F.lit(None).cast("double").alias("x"))
 
         def step(a: Column, b: Column) -> Column:
             x, y = b["x"].cast("double"), b["y"].cast("double")
-            seen = a["seen"] + y
-            ahead = F.when(a["x"].isNull(), x).otherwise(a["x"] + (x - a["x"]) * F.least(F.lit(1.0), (rank - a["seen"]) / y + 0.5))
-            q = F.when(a["q"].isNull() & (seen >= rank), ahead).otherwise(a["q"])
-            return F.struct(seen.alias("seen"), q.alias("q"), x.alias("x"), y.alias("y"))
+            here = F.when(a["x"].isNull(), x).otherwise(a["x"] + (x - a["x"]) * (rank - a["seen"]) / y)
+            return F.struct((a["seen"] + y).alias("seen"), F.when(a["q"].isNull() & (a["seen"] + y >= rank), here).otherwise(a["q"]).alias("q"), x.alias("x"))
 
         return F.aggregate(hist, start, step, lambda a: a["q"])
 
@@ -54,6 +53,8 @@ def fact_aggregate(fact: Fact, value: Column) -> Column:
     """The aggregate of a one-level fact."""
     shares = F.array(*(F.lit(p / 100) for p in fact.pcts)) if fact.pcts else None
     rounded = F.round(value, fact.round_first) if fact.round_first is not None else value
+    if fact.error is not None:  # the nearest multiple, halves up
+        rounded = F.floor(value / fact.error + 0.5) * F.lit(float(fact.error))
     made = {
         "sum": lambda: F.sum(value),
         "min": lambda: F.min(value),
@@ -65,7 +66,7 @@ def fact_aggregate(fact: Fact, value: Column) -> Column:
         "approx_count_distinct": lambda: F.approx_count_distinct(value, fact.rsd),
         "percent": lambda: F.avg(100 * value),
         "percentile": lambda: F.percentile(rounded, shares) if fact.exact else F.percentile_approx(rounded, shares, fact.accuracy),
-        "hist_percentile": lambda: hist_quantiles(F.expr(f"histogram_numeric({_INPUT(fact)}, {fact.bins})"), fact.pcts),
+        "hist_percentile": lambda: hist_quantiles(F.histogram_numeric(rounded.cast("double"), F.lit(fact.bins)), fact.pcts),
         "num_missing": lambda: F.sum(F.when(value.isNull(), 1)),
         "num_non_missing": lambda: F.count(value),
         "collect_set": lambda: F.array_sort(F.collect_set(value)),
@@ -73,10 +74,6 @@ def fact_aggregate(fact: Fact, value: Column) -> Column:
     return made[fact.agg]()
 
 
-def _INPUT(fact: Fact) -> str:  # noqa: N802
-    return f"`_in_{fact.name}`"
-
-
 def spread_percentiles(df: DataFrame, facts: Sequence[Fact]) -> DataFrame:
     """Array facts as one column for each percentile, ``<fact>_<p>th_percentile``."""
     arrays = {f.name: f.pcts for f in facts if f.pcts}

@@ -94,16 +94,25 @@ def thompson_rank(arms: DataFrame, by: Sequence[str], seed: int, most: int = 500
     return drawn.withColumn("arm_rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.col("draw").desc(), "arm")))
 
 
-def rerank(df: DataFrame, by: Sequence[str], score: str, metric: str, key: str, pick: str, top: int = 4) -> DataFrame:
-    """df and position: the best rows of ``top`` distinct metrics, then the bandit's pick (the row of the largest ``pick``), then the rest by score."""
+def rerank(df: DataFrame, by: Sequence[str], score: str, metric: str, key: str, pick: str, top: int = 4, size: str | None = None, seed: int | None = None) -> DataFrame:
+    """df, is_bandit and position: the best rows of ``top`` distinct metrics, then the bandit's pick, then the rest by score.
+
+    The pick is, of the rows not at the top, that of the largest ``pick`` (an arm's draw); of an arm's rows that of the largest
+    ``size``. With a seed it is put in a drawn place before, between or after the top rows, the same in every run for
+    a group and seed. Ties go by key.
+    """
     group = Window.partitionBy(*by)
     order = [F.col(score).desc(), F.col(key)]
     first = df.withColumn("_own", F.row_number().over(Window.partitionBy(*by, metric).orderBy(*order)))
     first = first.withColumn("_head", F.when(F.col("_own") == 1, F.row_number().over(Window.partitionBy(*by, "_own").orderBy(*order))))
-    first = first.withColumn("_part", F.when(F.col("_head") <= top, 0).otherwise(2))
-    first = first.withColumn("_pick", F.row_number().over(Window.partitionBy(*by, "_part").orderBy(F.col(pick).desc(), key)))
-    first = first.withColumn("_part", F.when((F.col("_part") == 2) & (F.col("_pick") == 1), 1).otherwise(F.col("_part")))
-    return first.withColumn("position", F.row_number().over(group.orderBy("_part", *order))).drop("_own", "_head", "_part", "_pick")
+    first = first.withColumn("_top", F.coalesce(F.col("_head") <= top, F.lit(False)))
+    chosen = [F.col(pick).desc(), *([F.col(size).desc()] if size else []), F.col(key)]
+    first = first.withColumn("is_bandit", ~F.col("_top") & (F.row_number().over(Window.partitionBy(*by, "_top").orderBy(*chosen)) == 1))
+    tops = F.sum(F.col("_top").cast("int")).over(group)
+    drawn = F.pmod(F.xxhash64(F.lit(seed), *by), tops + 1) if seed is not None else tops
+    place = F.when(F.col("_top"), F.col("_head").cast("double")).when(F.col("is_bandit"), drawn + 0.5).otherwise(tops + 1.0)
+    first = first.withColumn("_place", place)
+    return first.withColumn("position", F.row_number().over(group.orderBy("_place", *order))).drop("_own", "_head", "_top", "_place")
 
 
 def recent_counts(events: DataFrame, user: str, at: str, metric: str, days: int) -> DataFrame:

@@ -19,7 +19,8 @@ class SpecError(ValueError):
 class Fact:
     """One output fact. Input: expr, else matches (0/1 from a pattern on column), else column (the name by default), under ``when``.
 
-    Cleaning, the first that is given: exclude_zeros, between (outside: null), default (for nulls).
+    Cleaning, the first that is given: exclude_zeros, between (outside: null), default (for nulls). Percentiles may be taken of
+    values rounded to places (round_first), hist_percentile also of multiples of a step (error).
     """
 
     name: str
@@ -33,6 +34,7 @@ class Fact:
     accuracy: int = 5000
     exact: bool = False
     round_first: int | None = None
+    error: float | None = None
     bins: int = 100
     rsd: float = 0.03
     exclude_zeros: bool = False
@@ -49,6 +51,8 @@ class Fact:
             raise SpecError(f"{self.name}: {self.agg} needs a pattern")
         if self.agg == "hist_percentile" and not 10 <= self.bins <= 10_000:
             raise SpecError(f"{self.name}: bins must lie in [10, 10000]")
+        if self.error is not None and (self.agg != "hist_percentile" or self.error <= 0 or self.round_first is not None):
+            raise SpecError(f"{self.name}: an error step is above 0, for hist_percentile only, and not beside round_first")
 
 
 @dataclass(frozen=True)

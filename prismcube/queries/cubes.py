@@ -138,6 +138,46 @@ def cube_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_cube(star(spark, sf_dir), CubeSpec(dims=("r_name", "l_returnflag"), facts=facts))
 
 
+def hist_sql(name: str, value: str, pcts: tuple[int, ...]) -> str:
+    """Exact quantiles on the line between neighbouring values, for each cell: what a histogram with room for all values gives."""
+    at = ", ".join(f"round(min_by(coalesce(prev + (v - prev) * (total * {p / 100} - (seen - n)) / n, v), v) FILTER (seen >= total * {p / 100}), 4) AS {name}_{p}th_percentile" for p in pcts)
+    return f"""{name}_c AS (SELECT r_name, l_returnflag, {value} AS v, count(*) AS n FROM star GROUP BY GROUPING SETS ((v), (r_name, v), (l_returnflag, v), (r_name, l_returnflag, v))),
+  {name}_s AS (SELECT *, sum(n) OVER w AS seen, sum(n) OVER (PARTITION BY r_name, l_returnflag) AS total, lag(v) OVER w AS prev FROM {name}_c WINDOW w AS (PARTITION BY r_name, l_returnflag ORDER BY v)),
+  {name} AS (SELECT r_name, l_returnflag, {at} FROM {name}_s GROUP BY 1, 2)"""
+
+
+@query(f"""WITH {STAR}, {hist_sql('quantity', 'l_quantity', (25, 50, 75))}, {hist_sql('income', 'floor(revenue / 2000 + 0.5) * 2000', (10, 90))}, {hist_sql('tens', 'round(l_quantity, -1)', (50,))}
+  SELECT a.*, b.* EXCLUDE (r_name, l_returnflag), c.* EXCLUDE (r_name, l_returnflag), {depth_sql(('a.r_name', 'a.l_returnflag'))} FROM quantity a JOIN income b ON a.r_name IS NOT DISTINCT FROM b.r_name AND a.l_returnflag IS NOT DISTINCT FROM b.l_returnflag
+  JOIN tens c ON a.r_name IS NOT DISTINCT FROM c.r_name AND a.l_returnflag IS NOT DISTINCT FROM c.l_returnflag""")
+def cube_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles from histograms that hold all values, of values as they are, of multiples of a step, and of rounded ones."""
+    facts = (
+        Fact("quantity", "hist_percentile", column="l_quantity", pcts=(25, 50, 75), bins=100),
+        Fact("income", "hist_percentile", column="revenue", pcts=(10, 90), bins=200, error=2000),
+        Fact("tens", "hist_percentile", column="l_quantity", pcts=(50,), bins=50, round_first=-1),
+    )
+    return rounded(build_cube(star(spark, sf_dir), CubeSpec(dims=("r_name", "l_returnflag"), facts=facts)))
+
+
+@query(f"WITH {STAR} SELECT r_name, l_returnflag, true AS distinct_fits, true AS percentiles_fit FROM star GROUP BY CUBE (r_name, l_returnflag)")
+def cube_approximate_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate facts against exact ones: distinct counts within three deviations, percentiles within 1 % of the range."""
+    facts = (Fact("near", "approx_count_distinct", column="o_custkey"), Fact("customers", "count_distinct", column="o_custkey"), Fact("a", "percentile", column="revenue", pcts=(30, 70)), Fact("b", "percentile", column="revenue", pcts=(30, 70), exact=True), Fact("low", "min", column="revenue"), Fact("high", "max", column="revenue"))
+    out = build_cube(star(spark, sf_dir), CubeSpec(dims=("r_name", "l_returnflag"), facts=facts))
+    fits = [F.abs(F.col(f"a_{p}th_percentile") - F.col(f"b_{p}th_percentile")) <= 0.01 * (F.col("high") - F.col("low")) for p in (30, 70)]
+    return out.select("r_name", "l_returnflag", (F.abs(F.col("near") - F.col("customers")) <= 1 + 3 * 0.03 * F.col("customers")).alias("distinct_fits"), (fits[0] & fits[1]).alias("percentiles_fit"))
+
+
+@query(f"WITH {STAR} SELECT r_name, c_mktsegment, true AS fits FROM star GROUP BY CUBE (r_name, c_mktsegment)")
+def cube_partitioned_distinct_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sums of yearly approximate distinct counts are within three deviations of the exact sums."""
+    df, dims = star(spark, sf_dir), ["r_name", "c_mktsegment"]
+    near = build_cube(df, CubeSpec(dims=tuple(dims), partition_by=("yr_cd",), facts=(Fact("customers", "count_distinct_partitioned", column="o_custkey"),)))
+    exact = build_cube(df, CubeSpec(dims=(*dims, "yr_cd"), mandatory=("yr_cd",), facts=(Fact("n", "count_distinct", column="o_custkey"),))).groupBy(*dims).agg(F.sum("n").alias("n"))
+    same = F.col("a.r_name").eqNullSafe(F.col("b.r_name")) & F.col("a.c_mktsegment").eqNullSafe(F.col("b.c_mktsegment"))
+    return near.alias("a").join(exact.alias("b"), same).select("a.r_name", "a.c_mktsegment", (F.abs(F.col("customers") - F.col("n")) <= 1 + 3 * 0.03 * F.col("n")).alias("fits"))
+
+
 @query(f"""WITH {STAR}, one AS (SELECT l_returnflag, c_mktsegment, yr_cd, avg(CASE WHEN regexp_matches(o_orderpriority, '^1-') THEN 100.0 ELSE 0 END) AS p
   FROM star GROUP BY GROUPING SETS ((yr_cd), (l_returnflag, yr_cd), (c_mktsegment, yr_cd), (l_returnflag, c_mktsegment, yr_cd)))
   SELECT l_returnflag, c_mktsegment, round(quantile_cont(p, 0.3), 4) AS urgent_30th_percentile, round(quantile_cont(p, 0.7), 4) AS urgent_70th_percentile,

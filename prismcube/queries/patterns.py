@@ -265,12 +265,12 @@ def pattern_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.enrich(c, dims).select("c_custkey", "n_name", "r_name")
 
 
-@query("""WITH l AS (SELECT user_id AS k, strftime(ts, '%Y%m%d') AS wk, event_type AS t FROM events WHERE ts < TIMESTAMP '2024-01-16'), x AS (SELECT k, max(wk) AS latest_week FROM l GROUP BY 1), u AS (SELECT DISTINCT user_id AS k FROM events)
+@query("""WITH l AS (SELECT user_id AS k, strftime(ts, '%Y%m%d') AS wk, event_type AS t FROM events), x AS (SELECT k, max(wk) AS latest_week FROM l GROUP BY 1), u AS (SELECT c_custkey AS k FROM customer)
   SELECT u.k, latest_week, count(*) FILTER (t = 'click') AS n_click, count(*) FILTER (t = 'error') AS n_error FROM u LEFT JOIN x USING (k) LEFT JOIN l ON l.k = u.k AND l.wk = latest_week GROUP BY 1, 2""")
 def pattern_load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest load of each tenant."""
-    e = read(spark, sf_dir, "events").select(F.col("user_id").alias("k"), "ts", F.date_format("ts", "yyyyMMdd").alias("wk"), F.col("event_type").alias("t"))
-    return m.load_status(e.select("k").distinct(), e.filter("ts < timestamp '2024-01-16'").drop("ts"), "k", "wk", "t", ["click", "error"])
+    """The latest load of each tenant; tenants are customers, of whom some have no events."""
+    loads = read(spark, sf_dir, "events").select(F.col("user_id").alias("k"), F.date_format("ts", "yyyyMMdd").alias("wk"), F.col("event_type").alias("t"))
+    return m.load_status(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), loads, "k", "wk", "t", ["click", "error"])
 
 
 @query("SELECT '202401' AS wk_cd, count(*) AS n FROM supplier UNION ALL SELECT '202402', count(*) FROM supplier WHERE s_nationkey < 5")

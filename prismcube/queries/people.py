@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prismcube.operators import bias, features, hierarchy, ranking
@@ -203,6 +203,49 @@ def rank_rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rerank(b, ["g"], "s", "m", "k", "p").select("g", "k", "position")
 
 
+@query("""WITH b AS (SELECT s_suppkey % 10 AS g, s_nationkey % 7 AS m FROM supplier), n AS (SELECT g, count(*) AS n, least(4, count(DISTINCT m)) AS tops FROM b GROUP BY 1) SELECT g, CAST(n > tops AS INT) AS picks, true AS largest, true AS among_top, true AS rest_by_score FROM n""")
+def rank_rerank_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest row of the best arm, in a drawn place among the top rows; the others keep their order."""
+    k = F.col("s_suppkey")
+    b = read(spark, sf_dir, "supplier").select((k % 10).alias("g"), k.alias("k"), (F.col("s_nationkey") % 7).alias("m"), F.col("s_acctbal").alias("s"), ((F.col("s_nationkey") * 37) % 11).alias("arm"), ((k * 53) % 997).alias("size"))
+    out = ranking.rerank(b, ["g"], "s", "m", "k", "arm", size="size", seed=5)
+    plain = ranking.rerank(b, ["g"], "s", "m", "k", "arm", size="size").select("k", F.col("position").alias("p"))
+    w = Window.partitionBy("g")
+    both = out.join(plain, "k").withColumn("tops", F.least(F.lit(4), F.size(F.collect_set("m").over(w))))
+    # without the pick, rows stand as they do where the pick comes after the top
+    others = Window.partitionBy("g", "is_bandit")
+    both = both.withColumn("same", F.row_number().over(others.orderBy("position")) == F.row_number().over(others.orderBy("p")))
+    later = (F.col("p") > F.col("tops")).cast("int")
+    best = F.max(F.when(later == 1, F.struct("arm", "size"))).over(w)
+    both = both.withColumn("best", F.struct("arm", "size") == best)
+    return both.groupBy("g").agg(F.count_if("is_bandit").cast("int").alias("picks"), F.coalesce(F.bool_and(F.when(F.col("is_bandit"), F.col("best"))), F.lit(True)).alias("largest"), F.coalesce(F.bool_and(F.when(F.col("is_bandit"), F.col("position") <= F.col("tops") + 1)), F.lit(True)).alias("among_top"), F.bool_and("same").alias("rest_by_score"))
+
+
+@query("SELECT DISTINCT event_type AS arm, true AS mean_fits, true AS deviation_fits FROM events")
+def rank_thompson_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An arm's draws at many places have the mean and deviation of its beta distribution, within five standard errors."""
+    e = read(spark, sf_dir, "events")
+    arms = e.groupBy(F.col("event_type").alias("arm")).agg(F.count_if(F.col("value") > 60).alias("clicks"), F.count_if(F.col("value") <= 60).alias("misses"))
+    kinds = sorted(r["arm"] for r in arms.select("arm").collect())
+    places = e.select(F.col("event_id").alias("site"), F.explode(F.lit(kinds)).alias("arm"))  # an arm is drawn once for each place
+    draws = ranking.thompson_rank(places.join(arms, "arm"), ["site"], 11)
+    n = F.col("clicks") + F.col("misses")
+    scale = F.when(n > 500, 500 / n).otherwise(1.0)
+    a, b = F.col("clicks") * scale + 1, F.col("misses") * scale + 1
+    out = draws.groupBy("arm").agg(F.avg("draw").alias("mean"), F.stddev_pop("draw").alias("dev"), F.count("*").alias("draws"), F.first(a / (a + b)).alias("m"), F.first(F.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))).alias("d"))
+    return out.select("arm", (F.abs(F.col("mean") - F.col("m")) <= 5 * F.col("d") / F.sqrt("draws")).alias("mean_fits"), (F.abs(F.col("dev") / F.col("d") - 1) <= 5 / F.sqrt(2 * F.col("draws"))).alias("deviation_fits"))
+
+
+@query("SELECT unnest(['accuracy', 'auc', 'f1']) AS measure, true AS fits FROM (SELECT count(*) FROM events)")
+def rank_trained_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees find a signal that is there: whether an event's value is above 60 by day or above 30 by night."""
+    e = read(spark, sf_dir, "events").select("event_id", "ts", "value", F.when(F.hour("ts").between(6, 17), "day").otherwise("night").alias("part"))
+    e = e.withColumn("label", (F.col("value") > F.when(F.col("part") == "day", 60).otherwise(30)).cast("int"))
+    split = ranking.time_split(e, "ts", "2024-02-01", "event_id")
+    _, scores = ranking.train_ranker(split.filter("fold = 'train'"), split.filter("fold = 'test'"), ["value"], ["part"], "label", rounds=5)
+    return spark.createDataFrame([(k, v >= 0.95) for k, v in scores.items()], "measure string, fits boolean")
+
+
 @query("""WITH l AS (SELECT user_id, max(ts) AS t FROM events GROUP BY 1) SELECT e.user_id, event_type, count(*) AS n FROM events e JOIN l ON e.user_id = l.user_id AND ts >= t - INTERVAL 14 DAY GROUP BY 1, 2""")
 def rank_recent_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts near each user's latest event."""

@@ -46,6 +46,8 @@ def test_sets_equal_brute_force(low, high, mandatory, xor, depth):
         lambda: Fact("x", "median"),
         lambda: Fact("x", "percentile", pcts=(0,)),
         lambda: Fact("x", "percent"),
+        lambda: Fact("x", "percentile", pcts=(50,), error=0.5),
+        lambda: Fact("x", "hist_percentile", pcts=(50,), error=0.0),
     ],
 )
 def test_bad_specs(make):
@@ -67,6 +69,14 @@ def test_hist_percentile_is_exact_enough(spark):
     assert all(abs(r[f"v_{p}th_percentile"] - 10 * p) < 10 for p in (25, 50, 75))
 
 
+def test_hist_percentile_of_rounded_values(spark):
+    df = spark.createDataFrame([("a", 1.26), ("a", 1.31), ("a", 2.49), ("a", None)], "d string, v double")
+    of = lambda **how: cube.build_cube(df, CubeSpec(facts=(Fact("v", "hist_percentile", pcts=(50,), **how),), dims=("d",))).filter("d is not null").first()["v_50th_percentile"]
+    assert of(round_first=0) == 1.0  # 1, 1, 2
+    assert of(error=0.5) == 1.5  # 1.5, 1.5, 2.5
+    assert of() == pytest.approx(1.26 + 0.05 * 0.5)  # half of the second value's row, from the first one
+
+
 def test_child_level_sums_to_parent(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("a"), (F.col("id") % 7).alias("b"), F.col("id").alias("v"))
     c = cube.build_cube(df, CubeSpec(facts=(Fact("v"),), hierarchies=(("a", "b"),)))

@@ -188,3 +188,30 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_path):
     from pathlib import Path
 
     assert len([*Path(f"{tmp_path}/b").glob("*.parquet")]) == 4
+
+
+# --- JDBC (L5, P2, K1) ------------------------------------------------------------------------------------------------
+
+
+def test_jdbc_round_trip(spark, tmp_path):
+    """Through the embedded database that comes with Spark: written by few connections, read in strides and whole, appended to."""
+    from prismcube.sources.delta import export_jdbc
+    from prismcube.sources.extract import stride_predicates
+    from prismcube.sources.tables import load_jdbc
+
+    try:
+        options = {"url": f"jdbc:derby:memory:{tmp_path.name};create=true", "dbtable": "items", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+        df = spark.range(200).select(F.when(F.col("id") != 7, F.col("id")).alias("K"), (F.col("id") * 1.5).alias("V"), F.concat(F.lit("n"), "id").alias("NAME"))
+        export_jdbc(df.repartition(9), options, 3, mode="overwrite")
+    except Exception as e:
+        if "ClassNotFound" in str(e) or "No suitable driver" in str(e):
+            pytest.skip("no embedded database on the class path")
+        raise
+    whole = load_jdbc(spark, options)
+    assert values(whole.select("K", "V", "NAME")) == values(df)
+    cuts = stride_predicates("K", 0, 199, 5)
+    parts = load_jdbc(spark, options, cuts)
+    assert parts.rdd.getNumPartitions() == 5 and values(parts.select("K", "V", "NAME")) == values(df)
+    assert load_jdbc(spark, {**options, "dbtable": "(SELECT count(*) AS n FROM items WHERE V > 100) t"}).first()[0] == 133
+    export_jdbc(df.limit(10), options, 2)
+    assert load_jdbc(spark, options).count() == 210

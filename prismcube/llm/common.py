@@ -38,15 +38,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, at: str) -> DataFrame:
-    """df written to a path and read again; the shuffle files behind it go as soon as it is written."""
+def written(df: DataFrame, at: str, mode: str = "overwrite", by: tuple[str, ...] = ()) -> DataFrame:
+    """df written to a path (in folders by some columns), and what is there then; the shuffle files behind it go as soon as it is written."""
     conf = df.sparkSession.conf
     with WRITING:
         before = {k: conf.get(k) for k in WHILE_WRITING}
         for k, v in WHILE_WRITING.items():
             conf.set(k, v)
         try:
-            df.write.mode("overwrite").parquet(at)
+            df.write.mode(mode).partitionBy(*by).parquet(at)
         finally:
             for k, v in before.items():
                 conf.set(k, v)

@@ -2,9 +2,11 @@
 
 Every version of a text is a blob named by its SHA-256. A scan looks only at
 (blob, rule version) pairs that the ledger doesn't hold yet, one copy of each
-blob. The ledger is a written table that keeps what was found for each pair; every
-report and redaction first brings it up to date and then joins its findings back to
-all rows that have the blob.
+blob, and reads the texts once for all rules. The ledger is a table under a path,
+in folders by rule version, that keeps what was found for each pair and is only
+ever appended to; every report and redaction first brings it up to date and then
+joins its findings back to all rows that have the blob. Who keeps the path hands
+it to the next run.
 
 Positions come from marks: a rule's matches are wrapped in two marker characters,
 the text is split at the opening one, and running sums of the pieces' lengths
@@ -16,12 +18,12 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from prismcube.llm.common import States, text_of
+from prismcube.llm.common import States, scratch, text_of, written
 
 #: Two private-use characters as marks, and what stands for them should a text hold them.
 OPEN, CLOSE, INSTEAD = "\ue000", "\ue001", "\ufffd"
@@ -76,9 +78,10 @@ def hinted(rules: tuple[Rule, ...]) -> str:
 
 
 def find(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """kind, order, start, end (code points) of all matches in blobs (key columns ``blob``, ``text``)."""
+    """kind, order, start, end (code points) of all matches in blobs (key columns ``blob``, ``text``), or of those of the rules in ``versions``."""
     hit = blobs.filter(F.col("text").rlike(hinted(rules)))
-    each = F.array(*(F.struct(F.lit(r.kind).alias("kind"), F.lit(i).alias("order"), F.split(F.when(F.col("text").rlike(r.hint), marked(F.col("text"), r)), OPEN).alias("parts")) for i, r in enumerate(rules)))
+    wanted = lambda r: F.col("text").rlike(r.hint) & (F.array_contains("versions", r.version) if "versions" in blobs.columns else F.lit(True))
+    each = F.array(*(F.struct(F.lit(r.kind).alias("kind"), F.lit(i).alias("order"), F.split(F.when(wanted(r), marked(F.col("text"), r)), OPEN).alias("parts")) for i, r in enumerate(rules)))
     parts = hit.select("blob", F.explode(each).alias("r")).filter(F.size("r.parts") > 1)
     parts = parts.select("blob", "r.kind", "r.order", F.posexplode("r.parts").alias("n", "part"))
     cut = F.instr("part", CLOSE)  # 0 in the first part only, which holds no match
@@ -109,10 +112,7 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     texts = docs.select("doc_id", text_of().alias("text"))
     same = texts["doc_id"].eqNullSafe(todo["path"]) & (F.sha2(texts["text"].cast("binary"), 256) == todo["blob"])
     one = texts.join(todo.hint("shuffle_hash"), same).filter(F.col("text").rlike(hinted(rules))).dropDuplicates(["blob"])
-    if ledger is None:
-        return find(one, rules), new
-    found = [find(one.filter(F.array_contains("versions", r.version)), (r,)).withColumn("order", F.lit(i)) for i, r in enumerate(rules)]
-    return reduce(DataFrame.unionByName, found), new
+    return find(one, rules), new
 
 
 def ledger_rows(found: DataFrame, new: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -123,21 +123,43 @@ def ledger_rows(found: DataFrame, new: DataFrame, rules: tuple[Rule, ...] = RULE
     return new.join(spans, ["blob", "rule_version"], "left").select("blob", "rule_version", F.coalesce("spans", none).alias("spans"))
 
 
-def remember(docs: DataFrame, states: States, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The ledger (LEDGER) with what it lacked of docs: new pairs are scanned, and it is written anew with them.
+def read_ledger(spark: SparkSession, at: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The pairs of rules (LEDGER) that are kept under a path; none where nothing was written yet. A pair counts once, however often
+    it was written."""
+    try:
+        kept = spark.read.schema(LEDGER).parquet(at)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
+    return kept.filter(F.col("rule_version").isin([r.version for r in rules]))
+
 
-    Pairs that the given ledger lists without spans are scanned again.
+def remember(docs: DataFrame, at: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger under a path, after what it lacked of docs was scanned and appended to it.
+
+    Runs that add to one ledger at the same time may both scan a new pair; it counts once.
     """
-    if ledger is None or "spans" not in ledger.columns:
-        return states.save(ledger_rows(*scan(docs, None, rules), rules), "ledger")
-    kept = ledger.filter("spans is not null").dropDuplicates(["blob", "rule_version"])
-    return states.save(kept.select("blob", "rule_version", "spans").unionByName(ledger_rows(*scan(docs, kept, rules), rules)), "ledger")
+    kept = read_ledger(docs.sparkSession, at, rules)
+    new = ledger_rows(*scan(docs, kept if kept.head(1) else None, rules), rules)
+    written(new.select("blob", "spans", "rule_version"), at, "append", ("rule_version",))
+    return read_ledger(docs.sparkSession, at, rules)
+
+
+def kept_at(docs: DataFrame, ledger: DataFrame | str | None) -> str:
+    """Where a run's ledger is: the path that is given, or a new one, which starts with a given table's pairs that have spans."""
+    if isinstance(ledger, str):
+        return ledger
+    at = scratch(docs.sparkSession, "ledger")
+    if ledger is not None and "spans" in ledger.columns:
+        written(ledger.filter("spans is not null").select("blob", "spans", "rule_version"), at, "append", ("rule_version",))
+    return at
 
 
 def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """blob, kind, order, start, end of all findings of rules that a ledger has for texts of docs."""
     kinds = F.array(*(F.struct(F.lit(r.version).alias("rule_version"), F.lit(r.kind).alias("kind"), F.lit(i).alias("order")) for i, r in enumerate(rules)))
-    some = ledger.filter(F.size("spans") > 0).withColumn("r", F.explode(F.filter(kinds, lambda r: r["rule_version"] == F.col("rule_version"))))
+    some = ledger.filter(F.size("spans") > 0).dropDuplicates(["blob", "rule_version"]).withColumn("r", F.explode(F.filter(kinds, lambda r: r["rule_version"] == F.col("rule_version"))))
     return some.select("blob", "r.kind", "r.order", F.explode("spans").alias("s")).select("blob", "kind", "order", "s.start", "s.end")
 
 
@@ -151,10 +173,13 @@ def joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_spans of every row; null texts count as empty, repeated rows repeat."""
+def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | str | None = None) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_spans of every row; null texts count as empty, repeated rows repeat.
+
+    ledger is the path of one, which is brought up to date and can be handed to the next run, or a table of an earlier run's pairs.
+    """
     states = States(docs.sparkSession, "secrets")
-    found = findings(docs, remember(docs, states, ledger, rules), rules)
+    found = findings(docs, remember(docs, kept_at(docs, ledger), rules), rules)
     n = len(BASE)
     spans = found.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "order", "kind", "end"))).alias("all"))
     spans = spans.withColumn("base", F.filter("all", lambda s: s["order"] < n))
@@ -165,14 +190,14 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame |
     return back.withColumns(zero | {"base_sha256": F.coalesce("base_sha256", F.sha2(F.lit(""), 256)), "spans": F.coalesce("spans", F.lit(""))}).select("doc_id", *(f"n_{r.kind}" for r in BASE), "base_sha256", "spans", "n_spans")
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]", ledger: DataFrame | None = None) -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]", ledger: DataFrame | str | None = None) -> DataFrame:
     """docs with every match in ``text`` of a blob for which the ledger, brought up to date, has findings replaced by the mask, rule by rule.
 
     n_chars, if there is such a column, follows the text. All other rows and columns stay as they are. (In a text with
     findings the marker characters themselves become replacement characters.)
     """
     states = States(docs.sparkSession, "secrets")
-    found = findings(docs, remember(docs, states, ledger, rules), rules)
+    found = findings(docs, remember(docs, kept_at(docs, ledger), rules), rules)
     blobs = states.save(found.select(F.col("blob").alias("_hit")).distinct(), "blobs")
     text = out = F.col("text")
     for r in rules:

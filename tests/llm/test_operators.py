@@ -307,6 +307,34 @@ def test_reports_and_masks_with_a_ledger_are_whole(leaky):
     assert by_id(secrets.report(first, ledger=ledger.select("blob", "rule_version"))) == by_id(secrets.report(first))
 
 
+def test_second_run_scans_the_rest_and_appends(spark, leaky, tmp_path, monkeypatch):
+    """With a ledger's path: a second run looks at blobs that are new only, leaves the files of the first one and gives what one full run gives."""
+    from pathlib import Path
+
+    at = f"file://{tmp_path}/ledger"
+    first = leaky.filter("doc_id % 2 = 0")
+    kept = secrets.remember(first, at)
+    blobs = {r["blob"] for r in secrets.blobs_of(first).collect()}
+    assert kept.count() == len(blobs) * len(secrets.RULES)
+    files = {str(f): f.read_bytes() for f in Path(f"{tmp_path}/ledger").rglob("*.parquet")}
+    scanned = []
+    own = secrets.find
+    monkeypatch.setattr(secrets, "find", lambda b, rules: scanned.append({r["blob"] for r in b.select("blob").collect()}) or own(b, rules))
+    both = by_id(secrets.report(leaky, ledger=at))
+    monkeypatch.undo()
+    assert len(scanned) == 1 and not scanned[0] & blobs
+    assert both == by_id(secrets.report(leaky))
+    assert files.items() <= {str(f): f.read_bytes() for f in Path(f"{tmp_path}/ledger").rglob("*.parquet")}.items()
+    whole = secrets.read_ledger(spark, at)
+    every = {r["blob"] for r in secrets.blobs_of(leaky).collect()}
+    assert whole.count() == len(every) * len(secrets.RULES)
+    assert by_id(secrets.redact(leaky, ledger=at)) == by_id(secrets.redact(leaky)) and secrets.read_ledger(spark, at).count() == whole.count()
+    # a further rule is run on all blobs, the others on none
+    more = secrets.Rule("tie", r"tie one", "tie")
+    assert secrets.remember(leaky, at, (*secrets.RULES, more)).count() == len(every) * (len(secrets.RULES) + 1)
+    assert secrets.remember(leaky.filter("false"), f"file://{tmp_path}/none").count() == 0
+
+
 def test_whole_keys_are_masked(spark):
     begin, end, line = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "MIIEow" + "Ab+/" * 14 + "=="
     keys = [f"{begin}\nProc-Type: 4,ENCRYPTED\n\n{line}\n{line}\n{end}", f"{begin}\n{line}\n{line}"]

@@ -551,6 +551,26 @@ def test_numbers_as_words_repeated_rows_and_long_texts(spark):
     assert sorted(got) == [(1, 1, "changed"), (2, 1, "changed")]
 
 
+def test_numbers_as_words_and_copies_in_one_case(spark):
+    item = "when the farmer sold 25 brown cows and 13 old horses to his friend Boris in the town of Prague he was glad"
+    plain = "each of the small boats left the harbour again before the evening storm came over the hills"
+    b = spark.createDataFrame([(1, item), (2, plain), (2, plain)], "item_id long, text string")
+    cases = [
+        (1, "well: " + item.replace("25", "twenty-five").replace("13", "Thirty-One") + " indeed"),
+        (2, "SOME WORDS FIRST " + item.upper() + " AND MORE"),
+        (3, "and so " + item.lower() + ", they say"),
+        (4, "In a text of both cases: " + item.upper() + ". That was it."),
+        (5, plain.upper()),
+        (6, item.replace("Boris", "Clara").replace("Prague", "Vienna")),
+        (7, item.upper().replace("BORIS", "CLARA").replace("25", "7")),
+        (8, plain.replace("small", "twenty-two").replace("boats", "cars").replace("harbour", "garage").replace("storm", "rain")),
+    ]
+    df = spark.createDataFrame(cases, "doc_id long, text string").withColumn("named", F.lit(False))
+    got = {(r["doc_id"], r["item_id"], r["kind"]) for r in decontaminate.found_items(df, b).collect()}
+    assert {(1, 1, "changed"), (2, 1, "verbatim"), (3, 1, "verbatim"), (4, 1, "verbatim"), (5, 2, "verbatim"), (6, 1, "changed")} == {x for x in got if x[0] != 7}
+    assert len(decontaminate.found_items(df, b).collect()) == len(got)
+
+
 def test_benchmark_passages_are_found(spark, docs):
     b = spark.read.parquet(f"{SF}/benchmark.parquet")
     norm = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "

@@ -24,20 +24,21 @@ from pyspark.sql import functions as F
 from prismcube.llm.common import States, scratch, text_of
 
 END = "\r\n"
-#: Records in a file: compressed, this is what a reading task holds. Records parsed at once. Repeated payloads that are broadcast at most.
-RECORDS_A_FILE, RECORDS_AT_ONCE, BROADCAST_ROWS = 3000, 500, 500_000
+#: Records in a file and bytes of payloads, unless one payload is larger: this is what a reading task holds. Records parsed at once. Repeated payloads that are broadcast at most.
+RECORDS_A_FILE, FILE_BYTES, RECORDS_AT_ONCE, BROADCAST_ROWS = 3000, 64 << 20, 500, 500_000
+#: Sizes of payloads up to which captures share files; a file's number of records follows from the size.
+SIZES = (16 << 10, 128 << 10, 1 << 20, 8 << 20, 64 << 20)
 REQUEST, RESPONSE, REVISIT, METADATA = "request", "response", "revisit", "metadata"
 RECORD = "type string, id string, concurrent_to string, refers_to string, target string, payload_digest string, page_id long, payload binary, payload_bytes long, found_digest string"
 
 
-def captures(pages: DataFrame, least: int = 1000) -> DataFrame:
+def captures(pages: DataFrame, states: States, least: int = 1000) -> DataFrame:
     """pages as captures: capture (an id), page_id, url, html, digest, size, first (the capture it revisits, if any).
 
     Of pages with equal payloads of at least ``least`` bytes the one with the largest page_id is the response, the others
     revisit it; ties go to the later row. A null html is an empty payload, a null page_id comes before all others. The
     captures are written once, so that each has one id however often it is read.
     """
-    states = States(pages.sparkSession, "captures")
     base = pages.select("page_id", "url", text_of("html").alias("html"), F.monotonically_increasing_id().alias("capture"))
     base = states.save(base.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html").cast("long")}), "base")
     first = base.filter(F.col("size") >= least).groupBy("digest").agg(F.max(F.struct("page_id", "capture"))["capture"].alias("first"), F.count("*").alias("n"))
@@ -83,8 +84,21 @@ def records(rows: DataFrame, date: str) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", least: int = 1000, compression: str = "gzip") -> None:
-    """Write pages (page_id, url, html) as WARC files under path."""
-    records(captures(pages, least), date).write.option("lineSep", END + END).option("maxRecordsPerFile", RECORDS_A_FILE).option("compression", compression).text(path)
+    """Write pages (page_id, url, html) as WARC files under path.
+
+    Captures of like size are written together, so that the number of records bounds a file's bytes: one of large pages
+    has few of them.
+    """
+    states = States(pages.sparkSession, "captures")
+    rows = captures(pages, states, least)
+    place = F.lit(len(SIZES))
+    for i in reversed(range(len(SIZES))):
+        place = F.when(F.col("size") <= SIZES[i], i).otherwise(place)
+    for i in sorted(r["place"] for r in rows.select(place.alias("place")).distinct().collect()) or [0]:  # at most six
+        most = max(1, min(RECORDS_A_FILE, FILE_BYTES // SIZES[i] if i < len(SIZES) else 1))
+        some = records(rows.filter(place == i), date)
+        some.write.mode("append").option("lineSep", END + END).option("maxRecordsPerFile", most).option("compression", compression).text(path)
+    states.clear("base", "first")
 
 
 def parse(archive: BinaryIO, keep_payload: bool) -> Iterator[tuple]:

@@ -624,6 +624,22 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.round_trip(none(df)).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Many small pages and some large ones: no file holds more than the bound, or one record; joins also where nothing is broadcast."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 20)
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    rnd = random.Random(2)
+    data = [(i, f"http://a/{i}", rnd.choice("abc") * rnd.choice([10, 2000, 15_000, 120_000, 900_000])) for i in range(150)] + [(999, "http://big", "z" * (3 << 20))]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").coalesce(2)
+    at = tmp_path / "w"
+    warc.write_archives(df, str(at), compression="none")
+    sizes = [f.stat().st_size for f in at.glob("*.txt")]
+    assert len(sizes) < 150 and sorted(sizes)[-2] <= (1 << 20) + 10_000 and max(sizes) < (3 << 20) + 10_000
+    got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["record_type"]) for r in warc.round_trip(df).collect()}
+    last = {h: i for i, _, h in data}
+    assert got == {i: (len(h), hashlib.sha1(h.encode()).hexdigest(), "revisit" if len(h) >= 1000 and last[h] != i else "response") for i, _, h in data}
+
+
 def test_archive_sql(spark):
     got = queries.QUERIES["op10_warc"](spark, SF).toPandas()
     assert rows(got) == rows(connect(SF).sql(queries.ORACLES["op10_warc"]).df())

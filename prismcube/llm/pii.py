@@ -6,8 +6,12 @@ neighbours, and skip potentials tie all tokens of equal or similar form to one f
 node of the text, which is observed where the patterns find the form, so that a value
 which is recognised once is recognised wherever it stands again without its telling
 form, however often and far away. Loopy inference passes messages along both kinds
-of edges until they settle. The weights are fitted by pseudo-likelihood to
-the base labels of all documents, summed up by pattern of features and neighbours.
+of edges until they settle, in each text by itself. The weights are fitted by
+pseudo-likelihood to the base labels of all documents, summed up by pattern of
+features and neighbours. Since a repeat without its telling form has no base label,
+how much repeats agree is learned from planted ones: each value that the patterns find
+counts as if it stood there again in a form that they don't find, and as two look-alikes
+of that form that are no repeats of a found value, one alone and one said twice.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 #: Labels: 0 is none, then the kinds. Largest change of settled messages, rounds that messages which never settle end after, belief from which a token counts.
 LABELS, SETTLED, MOST_ROUNDS, BELIEF = 1 + len(KINDS), 1e-3, 1000, 0.9
 FEATURES = 12
+#: Characters of texts whose graph is held at once, unless one text is longer.
+CHARS_AT_ONCE = 2_000_000
 
 
 def luhn(digits: str) -> bool:
@@ -177,8 +183,9 @@ class Field:
             agree += rate * ((off * skip).sum() - 1e-4 * ridge * agree)
         return cls(node, chain, max(0.0, float(agree)))
 
-    def beliefs(self, bits: np.ndarray, known: np.ndarray, chain: np.ndarray, form: np.ndarray) -> np.ndarray:
-        """Marginals of every token once the messages have settled; tokens with a base label, and forms that most often have it, are held to it."""
+    def beliefs(self, bits: np.ndarray, known: np.ndarray, chain: np.ndarray, form: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals of every token once the messages have settled, and whether those of each text did within MOST_ROUNDS; tokens
+        with a base label, and forms that most often have it, are held to it."""
         tokens, k = len(bits), LABELS
         forms = form[:, 1].max() + 1 if len(form) else 0
         votes = np.zeros((forms, k), np.int64)
@@ -195,44 +202,75 @@ class Field:
         c, s = len(chain), len(skip)
         back = np.r_[np.arange(c) + c, np.arange(c), 2 * c + s + np.arange(s), 2 * c + np.arange(s)].astype(np.int64)
         message = np.zeros((len(ends), k))
+        # a text's messages rest once they have settled, so what they settle to doesn't depend on the other texts
+        place = np.r_[text, text[form[np.unique(form[:, 1], return_index=True)[1], 0]]] if forms else text
+        open_ = np.arange(len(ends))
+        settled = np.ones(int(text.max()) + 1 if tokens else 0, bool)
 
         def gathered() -> np.ndarray:
             return own + np.stack([np.bincount(ends[:, 1], message[:, j], n) for j in range(k)], 1) if len(ends) else own
 
-        for _ in range(MOST_ROUNDS if len(ends) else 0):
-            from_ = gathered()[ends[:, 0]] - message[back]
-            made = from_[:, :, None] + pair
+        for _ in range(MOST_ROUNDS):
+            if not len(open_):
+                break
+            from_ = gathered()[ends[open_, 0]] - message[back[open_]]
+            made = from_[:, :, None] + pair[open_]
             top = made.max(1)
             made = top + np.log(np.exp(made - top[:, None, :]).sum(1))
             made -= made.max(1, keepdims=True)
-            change, message = np.abs(made - message).max(), 0.5 * message + 0.5 * made
-            if change < SETTLED:
-                break
+            change = np.zeros(len(settled))
+            np.maximum.at(change, place[ends[open_, 0]], np.abs(made - message[open_]).max(1))
+            message[open_] = 0.5 * message[open_] + 0.5 * made
+            open_ = open_[change[place[ends[open_, 0]]] >= SETTLED]
+        settled[place[ends[open_, 0]]] = False
         score = gathered()[:tokens]
         p = np.exp(score - score.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
+        return p / p.sum(1, keepdims=True), settled
+
+
+def disguised(kind: int, value: str) -> str:
+    """A value in a form that its pattern doesn't find: an address without the dots behind its sign, an ip with hyphens, a card in
+    groups with strokes, a phone's digits."""
+    digits = "".join(c for c in value if "0" <= c <= "9")
+    if kind == 0:
+        name, _, place = value.partition("@")
+        return f"{name}@{place.replace('.', '')}"
+    return value.replace(".", "-") if kind == 1 else "/".join(digits[i : i + 4] for i in range(0, len(digits), 4)) if kind == 2 else digits
+
+
+def planted(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(bits, label, left, right, skip) of a repeat of each base value in another form, and of two look-alikes of it."""
+    for start, kind, end in base:
+        other = disguised(kind, text[start:end])
+        if form(other) is not None and not base_spans(other):
+            for label, skip in ((1 + kind, 1 + kind), (0, -1), (0, 0)):
+                yield shape(other), label, -1, -1, skip
 
 
 COUNTS = "bits long, label long, left long, right long, skip long, n long"
 
 
 def neighbour_counts(docs: DataFrame) -> DataFrame:
-    """How often each pattern of features, base label and neighbours' base labels occurs in all documents."""
+    """How often each pattern of features, base label and neighbours' base labels occurs in all documents, planted ones included."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            g = Graph()
-            for i, text in enumerate(rows["text"]):
-                if text and ("@" in text or DIGIT.search(text)):
-                    g.add(i, text, base_spans(text))
-            bits, label, chain, skip = g.arrays()
-            out = np.full((len(bits), 5), -1, np.int64)
-            out[:, 0], out[:, 1] = bits, label
-            out[chain[:, 1], 2] = label[chain[:, 0]]
-            out[chain[:, 0], 3] = label[chain[:, 1]]
-            out[skip[:, 0], 4] = label[skip[:, 1]]
-            out[skip[:, 1], 4] = label[skip[:, 0]]
-            found = Counter(map(tuple, out.tolist()))
+            found: Counter = Counter()
+            for _, texts in in_parts([x or "" for x in rows["text"]]):
+                g = Graph()
+                for i, text in enumerate(texts):
+                    if "@" in text or DIGIT.search(text):
+                        base = base_spans(text)
+                        g.add(i, text, base)
+                        found.update(planted(text, base))
+                bits, label, chain, skip = g.arrays()
+                out = np.full((len(bits), 5), -1, np.int64)
+                out[:, 0], out[:, 1] = bits, label
+                out[chain[:, 1], 2] = label[chain[:, 0]]
+                out[chain[:, 0], 3] = label[chain[:, 1]]
+                out[skip[:, 0], 4] = label[skip[:, 1]]
+                out[skip[:, 1], 4] = label[skip[:, 0]]
+                found.update(map(tuple, out.tolist()))
             yield pd.DataFrame([(*x, n) for x, n in found.items()], columns=["bits", "label", "left", "right", "skip", "n"], dtype=np.int64)
 
     each_batch = docs.select("text").mapInPandas(each, COUNTS)
@@ -275,35 +313,56 @@ def added_spans(g: Graph, beliefs: np.ndarray, base: dict[int, list[tuple[int, i
     return clean
 
 
-RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
+RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long, settled boolean"
+
+
+def in_parts(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Texts, some at a time, and the place of the first of them."""
+    low, held = 0, 0
+    for i, x in enumerate(texts):
+        if i > low and held + len(x) > CHARS_AT_ONCE:
+            yield low, texts[low:i]
+            low, held = i, 0
+        held += len(x)
+    if texts:
+        yield low, texts[low:]
+
+
+def find(texts: list[str], field: Field) -> list[tuple]:
+    """What report() tells of each text, but doc_id."""
+    g, base = Graph(), {}
+    for i, text in enumerate(texts):
+        if "@" in text or DIGIT.search(text):
+            base[i] = base_spans(text)
+            g.add(i, text, base[i])
+    bits, label, chain, _ = g.arrays()
+    more, settled = {}, np.ones(0, bool)
+    if len(bits):
+        beliefs, settled = field.beliefs(bits, label, chain, np.array(g.form, np.int64).reshape(-1, 2), np.array(g.text, np.int64))
+        more = added_spans(g, beliefs, base, texts)
+    out = []
+    for i in range(len(texts)):
+        own = base.get(i, [])
+        kinds = Counter(k for _, k, _ in own)
+        every = sorted(own + more.get(i, []))
+        out.append((*(kinds[k] for k in range(len(KINDS))), hashlib.sha256(named(own).encode()).hexdigest(), named(every), len(every), bool(settled[i]) if i < len(settled) else True))
+    return out
 
 
 def report(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans of every row; the field is fitted to docs if none is given.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, settled of every row; the field is fitted to docs if none is given.
 
     Null texts count as empty; repeated rows repeat; an empty table gives no rows. Spans that the field adds have kinds
-    field_email and so on and never overlap base spans.
+    field_email and so on and never overlap base spans. settled is false where a text's messages had not come to rest
+    after MOST_ROUNDS, so that its added spans are a guess. A text's result doesn't depend on the rows beside it.
     """
     field = field or fit(docs)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            texts = [x or "" for x in rows["text"]]
-            g, base = Graph(), {}
-            for i, text in enumerate(texts):
-                if "@" in text or DIGIT.search(text):
-                    base[i] = base_spans(text)
-                    g.add(i, text, base[i])
-            bits, label, chain, _ = g.arrays()
-            more = added_spans(g, field.beliefs(bits, label, chain, np.array(g.form, np.int64).reshape(-1, 2)), base, texts) if len(bits) else {}
-            out = []
-            for i in range(len(texts)):
-                own = base.get(i, [])
-                kinds = Counter(k for _, k, _ in own)
-                every = sorted(own + more.get(i, []))
-                out.append((*(kinds[k] for k in range(len(KINDS))), hashlib.sha256(named(own).encode()).hexdigest(), named(every), len(every)))
-            made = pd.DataFrame(out, columns=[x.split()[0] for x in RESULT.split(", ")[1:]])
-            made.insert(0, "doc_id", rows["doc_id"].to_numpy())
-            yield made
+            for low, texts in in_parts([x or "" for x in rows["text"]]):
+                made = pd.DataFrame(find(texts, field), columns=[x.split()[0] for x in RESULT.split(", ")[1:]])
+                made.insert(0, "doc_id", rows["doc_id"].to_numpy()[low : low + len(texts)])
+                yield made
 
     return docs.select("doc_id", "text").mapInPandas(each, RESULT)

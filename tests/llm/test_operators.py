@@ -251,6 +251,35 @@ def test_covers_are_difference_covers():
         assert {(a - b) % v for a in cover for b in cover} == {*range(v)}
 
 
+def test_field_fitted_on_documents_finds_repeats_and_no_look_alikes(spark, docs, monkeypatch):
+    """The field of the given documents: repeats of found values in other forms are found, look-alikes aren't; texts don't affect each other."""
+    field = pii.fit(docs)
+    said = "Call +1 (212) 555-1234 today, or ring 212 555-1234 or 2125551234 when late. ref 2125551234 again, order 9988776655 twice 9988776655"
+    (row,) = pii.find([said], field)
+    assert row[5] == "phone:5:22,field_phone:42:50,field_phone:54:64,field_phone:80:90" and row[7]
+    rnd, tries, hits, false = random.Random(3), 0, 0, 0
+    for _, text in texts(docs):
+        for start, kind, end in pii.base_spans(text)[:1]:
+            other = pii.disguised(kind, text[start:end])
+            if pii.form(other) is None or pii.base_spans(other):
+                continue
+            fake = "".join(rnd.choice("123456789") if c.isdigit() else c for c in other) if kind else "x" + other
+            new = f"{text} said again {other} or then {fake} and so {fake} end"
+            at = len(text) + 12
+            found = [tuple(map(int, x.split(":")[1:])) for x in pii.find([new], field)[0][5].split(",") if x.startswith("field_")]
+            tries, hits = tries + 1, hits + any(a < at + len(other) and at < b for a, b in found)
+            false += sum(a >= at + len(other) for a, b in found) if not pii.base_spans(fake) else 0
+    assert tries > 5 and hits >= 0.9 * tries and false <= 0.1 * hits
+    # alone and among others, in batches of any size
+    many = [t for _, t in texts(docs) if pii.base_spans(t)][:20] + [said, "", "12 34"]
+    whole = pii.find(many, field)
+    assert whole == [pii.find([t], field)[0] for t in many]
+    monkeypatch.setattr(pii, "CHARS_AT_ONCE", 500)
+    assert [r for _, some in pii.in_parts(many) for r in pii.find(some, field)] == whole
+    monkeypatch.setattr(pii, "MOST_ROUNDS", 1)
+    assert not pii.find([said], field)[0][7] and pii.find(["no numbers"], field)[0][7]
+
+
 # --- 5: secrets ------------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")

@@ -143,11 +143,12 @@ def coalesce_score(rules: DataFrame, scored: DataFrame, key: str, score: str) ->
 def time_split(df: DataFrame, at: str, as_of: str, key: str, days: int = 90, test_days: int = 15, validation: float = 0.2) -> DataFrame:
     """Rows of the last days with ``fold``: test for the latest ones, a fifth of the rest validation, else train.
 
-    The fold of a row follows from its key, so it is the same in every run.
+    The fold of a row follows from its key (the first eight hexadecimal digits of its MD5, modulo 1000), so it is the same in
+    every run; rows without a key are for training.
     """
     end = F.lit(as_of).cast("timestamp")
     since = lambda d: end - F.expr(f"interval {d} days")
-    own = F.pmod(F.xxhash64(key), F.lit(1000)) < int(1000 * validation)
+    own = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % 1000 < int(1000 * validation)
     fold = F.when(F.col(at) > since(test_days), "test").when(own, "validation").otherwise("train")
     return df.filter((F.col(at) > since(days)) & (F.col(at) <= end)).withColumn("fold", fold)
 

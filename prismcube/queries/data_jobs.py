@@ -251,6 +251,21 @@ def delta_key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.assert_keys(k, ["a", "b"])
 
 
+@query("SELECT c_custkey, c_acctbal, c_mktsegment, CAST(1 AS INT) AS times FROM customer")
+def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written over JDBC by three connections and read back in five strides, each row once.
+
+    The database is the embedded one that comes with Spark; it lives in one JVM, so this query needs a local master.
+    """
+    c = customers(spark, sf_dir).select("c_custkey", "c_acctbal", "c_mktsegment")
+    name = new_path(spark, "jdbc").rpartition("-")[2]
+    options = {"url": f"jdbc:derby:memory:{name};create=true", "dbtable": "customers", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    delta.export_jdbc(c.toDF(*(x.upper() for x in c.columns)), options, 3, mode="overwrite")
+    top = c.agg(F.max("c_custkey")).first()[0]
+    back = tables.load_jdbc(spark, options, extract.stride_predicates("C_CUSTKEY", 0, max(5, top), 5))
+    return back.groupBy(*(F.col(x.upper()).alias(x) for x in c.columns)).agg(F.count("*").cast("int").alias("times"))
+
+
 @query("SELECT c_custkey, CAST(NULL AS VARCHAR) AS phone, c_name FROM customer")
 def delta_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L4: missing columns as nulls."""

@@ -64,14 +64,14 @@ def interval_hot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINES = "l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_suppkey END AS k, CAST(l_shipdate AS TIMESTAMP) AS s, CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(l_quantity AS INT)) AS e FROM lineitem)"
-TERMS = "b AS (SELECT DISTINCT CASE WHEN p_size < 25 THEN 0 ELSE p_partkey % 100 END AS k, TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey AS INT)) AS s, TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey + p_size AS INT)) AS e FROM part WHERE p_retailprice > 1000)"
+TERMS = "b AS (SELECT DISTINCT CASE WHEN p_size < 25 THEN 0 ELSE p_partkey % 100 END AS k, TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey AS INT)) AS s, TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey + p_size AS INT)) AS e FROM part)"
 
 
 def lines_and_terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     ship = F.col("l_shipdate").cast("timestamp")
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_suppkey")).alias("k"), ship.alias("start"), (ship + F.make_dt_interval(F.col("l_quantity").cast("int"))).alias("end"))
     day = lambda n: F.lit("1995-01-01").cast("timestamp") + F.make_dt_interval(n.cast("int"))
-    part = read(spark, sf_dir, "part").filter("p_retailprice > 1000")
+    part = read(spark, sf_dir, "part")
     terms = part.select(F.when(F.col("p_size") < 25, 0).otherwise(F.col("p_partkey") % 100).alias("k"), day(F.col("p_partkey")).alias("start"), day(F.col("p_partkey") + F.col("p_size")).alias("end")).distinct()
     return lines, terms
 

@@ -277,6 +277,12 @@ def rank_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("test", "n", F.when(F.col("test"), F.col("v") == 0).otherwise(share).alias("fair"))
 
 
+@query("""SELECT event_id, CASE WHEN ts > TIMESTAMP '2024-01-17' THEN 'test' WHEN ('0x' || left(md5(CAST(event_id AS VARCHAR)), 8))::BIGINT % 1000 < 200 THEN 'validation' ELSE 'train' END AS fold FROM events WHERE ts > TIMESTAMP '2023-11-03' AND ts <= TIMESTAMP '2024-02-01'""")
+def rank_time_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold of each row."""
+    return ranking.time_split(read(spark, sf_dir, "events"), "ts", "2024-02-01", "event_id").select("event_id", "fold")
+
+
 @query()
 def rank_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of boosted trees that tell purchases from other events."""

@@ -78,7 +78,8 @@ def join_point_in_disjoint(points: DataFrame, intervals: DataFrame, on: Sequence
     # very many equal points may be parted anywhere
     both = began.unionByName(asked).withColumn("_tie", F.when(F.col("_kind") == 1, F.xxhash64("_p")))
     last = carried(both, on, ["_at", "_kind", "_end", "_tie"], F.col("_i"), "_found", parts)
-    last = last.filter((F.col("_kind") == 1) & (F.col("_at") < F.col("_found")[end]))
-    inside = last.select("_p.*", *(F.col("_found")[c].alias(c) for c in names))
-    ends = p.withColumn("_e", F.col(at)).join(i.withColumn("_e", F.col(end)), [*on, "_e"]).select(*points.columns, *names)
-    return inside.select(*points.columns, *names).unionByName(ends)
+    # both sides are read again from what carried() has written
+    asked, began = last.filter("_kind = 1"), last.filter("_kind = 0")
+    inside = asked.filter(F.col("_at") < F.col("_found")[end]).select("_p", F.col("_found").alias("_i"))
+    ends = asked.select(*on, "_at", "_p").join(began.select(*on, F.col("_end").alias("_at"), "_i"), [*on, "_at"]).select("_p", "_i")
+    return inside.unionByName(ends).select("_p.*", *(F.col("_i")[c].alias(c) for c in names))

@@ -167,4 +167,5 @@ def correlation_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correlations by lag, as rows."""
     facts = ["orders", "total", "customers"]
-    return unpivot_correlations(correlate_facts(months(spark, sf_dir), facts, ["n_regionkey"], order=["mnth"], leads=[1]), facts, ["n_regionkey"])
+    own = cut(months(spark, sf_dir), "months")  # read for the means, then for the sums
+    return unpivot_correlations(correlate_facts(own, facts, ["n_regionkey"], order=["mnth"], leads=[1]), facts, ["n_regionkey"])

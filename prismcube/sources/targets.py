@@ -76,10 +76,12 @@ def source_of(fetch: Fetch, work: list[Work], template: Template, name: str, env
                     error = f"{type(e).__name__}: {e}"[:2000]
                 yield key, number, None, (environment, name, key, number, batch, n, int(1000 * (time.monotonic() - clock)), error is not None, error, began, datetime.now(timezone.utc))
 
+    label = f"targets_{uuid.uuid4().hex}"
+
     class Targets(DataSource):
         @classmethod
         def name(cls) -> str:
-            return f"targets_{uuid.uuid4().hex}"
+            return label
 
         def schema(self) -> str:
             return f"target_key string, stride int, row struct<{template.schema}>, log struct<{LOG}>"
@@ -87,8 +89,6 @@ def source_of(fetch: Fetch, work: list[Work], template: Template, name: str, env
         def reader(self, schema: object) -> DataSourceReader:
             return Reader()
 
-    label = Targets.name()
-    Targets.name = classmethod(lambda cls: label)
     return Targets
 
 

@@ -102,6 +102,9 @@ def test_correlations_of_few_values(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0, 5.0), ("a", 2.0, 4.0, 5.0), ("a", None, 9.0, 5.0), ("b", 1.0, 1.0, 1.0), (None, 1.0, None, 2.0)], "g string, x double, y double, z double")
     got = {r["g"]: r for r in correlate_facts(df, ["x", "y", "z"], ["g"]).collect()}
     assert got["a"]["corr_x_y"] == [1.0] and got["a"]["n_x_y"] == [2] and got["a"]["n_y_z"] == [3] and got["a"]["corr_y_z"] == [None]
+    numbered = spark.createDataFrame([(1, 1.0, 2.0), (None, 1.0, 3.0), (None, 2.0, 5.0), (1, 3.0, 1.0), (1, 4.0, 1.0)], "g int, x double, y double").repartition(3)
+    assert {(r["g"], r["corr"], r["n"]) for r in correlation_rows(numbered, ["x", "y"], ["g"]).collect()} == {(1, -0.9449, 3), (None, 1.0, 2)}
+    assert correlation_rows(numbered.filter("false"), ["x", "y"], ["g"]).count() == 0 and correlation_rows(numbered, ["x", "y"], []).count() == 1
     assert got["b"]["corr_x_y"] == [None] and got[None]["n_x_y"] == [0] and got[None]["n_x_z"] == [1] and got["a"]["n_records"] == 3
 
 

@@ -60,6 +60,12 @@ def join_point_in_interval(points: DataFrame, intervals: DataFrame, on: Sequence
     return near(points, intervals, on, (at, at), (start, end)).filter(F.col(at).between(F.col(start), F.col(end)))
 
 
+def join_point_by_key(points: DataFrame, intervals: DataFrame, on: Sequence[str], at: str, start: str = "start", end: str = "end") -> DataFrame:
+    """join_point_in_interval() where each key has few intervals: one join on the key, then all its pairs are compared. The
+    cheapest of the three there; for keys with many intervals take one of the others (M3)."""
+    return points.join(intervals, [*on]).filter(F.col(at).between(F.col(start), F.col(end)))
+
+
 def join_point_in_disjoint(points: DataFrame, intervals: DataFrame, on: Sequence[str], at: str, start: str = "start", end: str = "end", parts: int | None = None) -> DataFrame:
     """join_point_in_interval() where intervals of a key share ends at most: no pair is formed but those of the result (M3).
 

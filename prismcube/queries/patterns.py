@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prismcube.operators import patterns as m
-from prismcube.operators.intervals import join_contained, join_point_in_disjoint, join_point_in_interval
+from prismcube.operators.intervals import join_contained, join_point_by_key, join_point_in_disjoint, join_point_in_interval
 from prismcube.queries.registry import query, read, rounded
 from prismcube.sources.checkpoints import new_path
 from prismcube.sources.tables import archive_snapshot
@@ -38,10 +38,10 @@ def pattern_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SPANS}, p AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT l_orderkey, l_linenumber, o_orderkey FROM p JOIN spans USING (o_custkey) WHERE l_shipdate BETWEEN s AND e")
 def pattern_point_in_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3: ship dates in the spans of the same customer."""
+    """M3: ship dates in the spans of the same customer, of whom each has few."""
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     p = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(o, "l_orderkey")
-    return join_point_in_disjoint(p, spans(spark, sf_dir), ["o_custkey"], "l_shipdate").select("l_orderkey", "l_linenumber", "o_orderkey")
+    return join_point_by_key(p, spans(spark, sf_dir), ["o_custkey"], "l_shipdate").select("l_orderkey", "l_linenumber", "o_orderkey")
 
 
 #: Half of all orders under one key.

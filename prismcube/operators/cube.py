@@ -32,19 +32,31 @@ def fact_input(fact: Fact) -> Column:
 
 def hist_quantiles(hist: Column, pcts: Sequence[int]) -> Column:
     """Quantiles from a histogram's bins (x, y): the first bin that reaches the rank, on the line from the bin before it by the
-    share of its rows that the rank takes; in the first bin its centre (A15)."""
+    share of its rows that the rank takes; in the first bin its centre (A15).
+
+    Histograms of several partitions are put together without merging bins of one value while there is room for all, so
+    neighbours with one centre (but for the rounding of its weighted means) count as one bin.
+    """
     total = F.aggregate(hist, F.lit(0.0), lambda a, b: a + b["y"])
+    none = F.lit(None).cast("double")
 
     def one(p: int) -> Column:
         rank = total * (p / 100)
-        start = F.struct(F.lit(0.0).alias("seen"), F.lit(None).cast("double").alias("q"), F.lit(None).cast("double").alias("x"))
+        start = F.struct(F.lit(0.0).alias("seen"), none.alias("before"), none.alias("x"), F.lit(0.0).alias("y"), none.alias("q"))
+
+        def reached(a: Column) -> Column:
+            """The quantile once the bin that is held is whole."""
+            here = F.when(a["before"].isNull(), a["x"]).otherwise(a["before"] + (a["x"] - a["before"]) * (rank - a["seen"]) / a["y"])
+            return F.when(a["q"].isNull() & a["x"].isNotNull() & (a["seen"] + a["y"] >= rank), here).otherwise(a["q"])
 
         def step(a: Column, b: Column) -> Column:
             x, y = b["x"].cast("double"), b["y"].cast("double")
-            here = F.when(a["x"].isNull(), x).otherwise(a["x"] + (x - a["x"]) * (rank - a["seen"]) / y)
-            return F.struct((a["seen"] + y).alias("seen"), F.when(a["q"].isNull() & (a["seen"] + y >= rank), here).otherwise(a["q"]).alias("q"), x.alias("x"))
+            same = a["x"].isNotNull() & (F.abs(x - a["x"]) <= 1e-9 * F.greatest(F.abs(x), F.abs(a["x"])))
+            more = F.struct(a["seen"].alias("seen"), a["before"].alias("before"), a["x"].alias("x"), (a["y"] + y).alias("y"), a["q"].alias("q"))
+            new = F.struct((a["seen"] + a["y"]).alias("seen"), a["x"].alias("before"), x.alias("x"), y.alias("y"), reached(a).alias("q"))
+            return F.when(same, more).otherwise(new)
 
-        return F.aggregate(hist, start, step, lambda a: a["q"])
+        return F.aggregate(hist, start, step, reached)
 
     return F.when(F.size(hist) > 0, F.array(*(one(p) for p in pcts)))
 

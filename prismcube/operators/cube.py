@@ -120,7 +120,8 @@ def one_level(flat: DataFrame, spec: CubeSpec, sets: list[tuple[str, ...]], run:
     dims = spec.all_dims
     kind = {f.name: flat.schema[f"_in_{f.name}"].dataType for f in spec.facts}
     exact = [f for f in spec.facts if run and f.agg == "percentile" and f.exact and isinstance(kind[f.name], NumericType)]
-    distinct = []
+    large = any(f.agg in LARGE_STATE for f in spec.facts)
+    distinct = [f for f in spec.facts if run and large and f.agg == "count_distinct"]
     flat = cut(flat, "cube") if exact or distinct else flat
     value = lambda f: F.col(f"_in_{f.name}")
 

@@ -11,7 +11,7 @@ from prismcube.queries.registry import query, read
 from prismcube.sources.checkpoints import new_path
 from prismcube.sources.delta import delta
 from prismcube.sources.extract import failed_targets
-from prismcube.sources.keyed import KeyedTable, Layout, save_bucketed
+from prismcube.sources.keyed import KeyedTable, Layout, buckets_for, save_bucketed
 from prismcube.sources.targets import Template, extract_targets, pair_log
 from prismcube.sources.versions import SubsetError, VersionedTable
 
@@ -155,10 +155,12 @@ def keyed_untouched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_orderstatus, count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2")
 def bucket_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I4: orders and their lines, kept in equal buckets of the order, joined and summed up where they lie."""
+    """I4: orders and their lines, kept in equal buckets of the order, as many as their rows need, joined and summed up where they lie."""
     at = new_path(spark, "bucketed")
     name = at.rpartition("-")[2]
-    o = save_bucketed(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), f"orders_{name}", 8, ["o_orderkey"], path=f"{at}/orders")
-    l_ = save_bucketed(read(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice"), f"lines_{name}", 8, ["l_orderkey"], path=f"{at}/lines")
+    orders, lines = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), read(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
+    n = buckets_for(max(orders.count(), lines.count()))
+    o = save_bucketed(orders, f"orders_{name}", n, ["o_orderkey"], path=f"{at}/orders")
+    l_ = save_bucketed(lines, f"lines_{name}", n, ["l_orderkey"], path=f"{at}/lines")
     joined = o.join(l_, F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderkey", "o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total"))

@@ -91,6 +91,12 @@ class KeyedTable:
         return touched
 
 
+def buckets_for(rows: int, least: int = 8, rows_each: int = 500_000) -> int:
+    """A number of buckets for tables that are joined by them: enough that one of even keys holds about rows_each rows of the
+    largest table, whatever that table grows to; a multiple of least. Spark allows a hundred thousand buckets."""
+    return min(100_000 // least, max(1, -(-rows // (rows_each * least)))) * least
+
+
 def save_bucketed(df: DataFrame, table: str, buckets: int, cluster_by: Sequence[str], partition: Sequence[str] = (), path: str | None = None) -> DataFrame:
     """df as a catalogue table in sorted buckets of cluster_by, inside partitions if given (I4), and the table.
 

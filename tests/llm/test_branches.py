@@ -66,3 +66,18 @@ def test_two_writers_leave_the_session_as_it_was(spark):
     [t.join() for t in threads]
     assert not wrong and sorted(done) == [499_500 + 1000 * i for i in range(6)]
     assert {k: spark.conf.get(k) for k in common.WHILE_WRITING} == conf
+
+
+def test_workers_give_memory_back():
+    """What earlier stages left in a worker goes before a partition is read, not only Arrow's own memory (pipeline, round 3)."""
+    from prismcube.llm.common import tidy
+
+    def held() -> int:
+        return int(next(x for x in open("/proc/self/status") if x.startswith("VmRSS")).split()[1])  # kB
+
+    left = [bytes(3000) for _ in range(40_000)]
+    kept = left[::400]
+    full = held()
+    del left
+    assert [*tidy(lambda batches: (held() for _ in batches))(iter([0]))][0] < full - 60_000
+    assert len(kept) == 100
